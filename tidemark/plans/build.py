@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date
+from tidemark.functions.frames import empty_frame
 from tidemark.operators.changes import change_order, latest_change, within_dates
 from tidemark.operators.merge import merge_snapshot, partition_rows
 from tidemark.sources.catalog import describe, last_published, table_exists
@@ -79,7 +80,7 @@ def previous_snapshot(
     """The rows a run starts from: the current version, the date's partition, or none."""
     schema = spec.snapshot_schema(mode)
     if not table_exists(spark, target.table):
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     if mode == FLAT:
         location = describe(spark, target.table)["location"]
         return load_or_empty(spark, location, schema, target.fmt)
@@ -99,9 +100,10 @@ def build_snapshot(
     Lazy and free of side effects apart from looking up names in the catalog and the
     file index (and, with `merge="broadcast_delta"`, storing the changes)."""
     window = run_window(spark, spec, as_of, target, mode)
+    feed = scan_feed(spark, spec)
     if options.check_names:
-        check_file_names(spark, spec.path)
-    delta = latest_in_window(scan_feed(spark, spec), spec, window, mode, options)
+        check_file_names(feed, spec.path)
+    delta = latest_in_window(feed, spec, window, mode, options)
     old = previous_snapshot(spark, spec, window, target, mode)
     columns = spec.snapshot_schema(mode).fieldNames()
     return merge_snapshot(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.frames import empty_frame
 from tidemark.functions.names import cols
 from tidemark.operators.changes import (
     change_sequence,
@@ -254,7 +255,7 @@ def snapshot_merge_composite(spark: SparkSession, folder: str) -> DataFrame:
     """The state of mid-month, brought to the end of the month."""
     feed = feed_a(spark, folder)
     keys, columns = SPEC_A2.primary_keys, SPEC_A2.columns
-    none = spark.createDataFrame([], SPEC_A2.schema)
+    none = empty_frame(spark, SPEC_A2.schema)
     first = _latest(feed, SPEC_A2, A_START, A_MID)
     mid, _ = store(merge_snapshot(none, first, keys, columns), "mid")
     return plain(merge_snapshot(mid, _latest(feed, SPEC_A2, A_MID, A_END), keys, columns))
@@ -275,7 +276,7 @@ def snapshot_late_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
     """No table yet and a date past the start: load rows come before every change."""
     feed = load_a(spark, folder).unionByName(feed_a(spark, folder))
     latest = _latest(feed, SPEC_A, A_START, A_END, with_load=True)
-    none = spark.createDataFrame([], SPEC_A.schema)
+    none = empty_frame(spark, SPEC_A.schema)
     return plain(merge_snapshot(none, latest, SPEC_A.primary_keys, SPEC_A.columns))
 
 
@@ -286,7 +287,7 @@ def snapshot_late_bootstrap_restamped(spark: SparkSession, folder: str) -> DataF
     window = RunWindow(A_END, None, A_START, True)
     options = RunOptions(load_rank="processing_date")
     latest = latest_in_window(feed, SPEC_A, window, options=options)
-    none = spark.createDataFrame([], SPEC_A.schema)
+    none = empty_frame(spark, SPEC_A.schema)
     return plain(merge_snapshot(none, latest, SPEC_A.primary_keys, SPEC_A.columns))
 
 

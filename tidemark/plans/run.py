@@ -70,10 +70,9 @@ def run_snapshot(
     if mode == PARTITIONED and table_exists(spark, target.table):
         resumed = resume_partition(spark, target)
     window = run_window(spark, spec, as_of, target, mode)
-    if options.check_names:
-        check_file_names(spark, spec.path)
-
     feed = scan_feed(spark, spec)
+    if options.check_names:
+        check_file_names(feed, spec.path)
     seen = Observation("feed") if options.count_rows else None
     if seen is not None:
         feed = _counted(feed, window, seen)

@@ -7,6 +7,9 @@ from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tidemark.functions.frames import empty_frame
 
 SETTING = "spark.checkpoint.dir"
 
@@ -41,4 +44,5 @@ def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
 
 def release(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
     """Give the space of an intermediate table back; an empty frame stays behind."""
-    spark.createDataFrame([], "released int").write.format(fmt).mode("overwrite").save(path)
+    nothing = empty_frame(spark, T.StructType().add("released", "boolean"))
+    nothing.write.format(fmt).mode("overwrite").save(path)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from tidemark.functions.frames import empty_frame
 from tidemark.scratch import release
 from tidemark.sinks.tables import (
     in_table_order,
@@ -21,7 +23,7 @@ from tidemark.sources.catalog import current_version, last_partition, table_exis
 from tidemark.sources.snapshots import load_or_empty
 from tidemark.spec import FLAT, PARTITION, Target
 
-_JOURNAL = "staged string, day date, table_name string"
+_JOURNAL = T.StructType().add("staged", "string").add("day", "date")
 
 
 def publish_version(df: DataFrame, target: Target, version: date) -> None:
@@ -61,7 +63,7 @@ def publish_partition(df: DataFrame, target: Target, day: date) -> None:
     last_partition(spark, target.table)  # refuses tables of the other kind
     path = new_staging_path(target)
     stage(in_table_order(df, spark, target.table).drop(PARTITION), target, path)
-    entry = spark.createDataFrame([(path, day, target.table)], _JOURNAL)
+    entry = spark.createDataFrame([(path, day)], _JOURNAL)
     entry.coalesce(1).write.mode("overwrite").parquet(_journal(target))
     resume_partition(spark, target)
 
@@ -72,7 +74,7 @@ def resume_partition(spark: SparkSession, target: Target) -> date | None:
     if entry is None:
         return None
     insert_partition(spark, target, entry.staged, PARTITION, str(entry.day))
-    spark.createDataFrame([], _JOURNAL).write.mode("overwrite").parquet(_journal(target))
+    empty_frame(spark, _JOURNAL).write.mode("overwrite").parquet(_journal(target))
     release(spark, entry.staged, target.fmt)
     return entry.day
 

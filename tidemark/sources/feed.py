@@ -11,12 +11,30 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.dates import compact, file_day, midnight
+from tidemark.functions.frames import empty_frame
 from tidemark.spec import FILE_NAME, FILE_PATH, IS_CHANGE, ROW_INDEX, STAMP, FeedSpec
 
 LOAD_PREFIX = "LOAD"
 
+_LISTING = (
+    T.StructType()
+    .add("path", "string")
+    .add("file_name", "string")
+    .add("length", "long")
+    .add("kind", "string")
+    .add("file_date", "date")
+)
+_POSITION = (
+    T.StructType()
+    .add(FILE_NAME, "string")
+    .add(IS_CHANGE, "integer")
+    .add(FILE_PATH, "string")
+    .add(ROW_INDEX, "long")
+)
+
 
 def is_load(file_name: Column) -> Column:
     return file_name.startswith(LOAD_PREFIX)
@@ -45,9 +63,7 @@ def list_feed(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame(
-            [], "path string, file_name string, length long, kind string, file_date date"
-        )
+        return empty_frame(spark, _LISTING)
     name = F.col("_metadata.file_name")
     return files.select(
         "path",
@@ -58,16 +74,6 @@ def list_feed(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def check_file_names(spark: SparkSession, path: str) -> None:
-    """Refuse a feed holding files that are neither load nor dated change files.
-
-    The filter runs inside the file index: a clean feed starts no task at all."""
-    bad = list_feed(spark, path).where(F.col("kind") == "other").select("path").take(3)
-    if bad:
-        names = ", ".join(row.path for row in bad)
-        raise ValueError(f"feed file names must start with {LOAD_PREFIX} or YYYYMMDD: {names}")
-
-
 def scan_feed(spark: SparkSession, spec: FeedSpec) -> DataFrame:
     """All rows below the feed path under the fixed schema, with their position.
 
@@ -78,8 +84,7 @@ def scan_feed(spark: SparkSession, spec: FeedSpec) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        position = f", {FILE_NAME} string, {IS_CHANGE} int, {FILE_PATH} string, {ROW_INDEX} long"
-        return spark.createDataFrame([], spec.envelope.toDDL() + position)
+        return empty_frame(spark, T.StructType(spec.envelope.fields + _POSITION.fields))
     name = F.col("_metadata.file_name")
     return rows.select(
         "*",
@@ -90,6 +95,19 @@ def scan_feed(spark: SparkSession, spec: FeedSpec) -> DataFrame:
     )
 
 
+def check_file_names(feed: DataFrame, path: str) -> None:
+    """Refuse a scanned feed holding files that are neither load nor dated change files.
+
+    The name test runs inside the file index that the scan has already listed, so a
+    clean feed leaves no partition to read and starts no job."""
+    odd = feed.where(file_kind(F.col(FILE_NAME)) == "other")
+    if odd.rdd.getNumPartitions() == 0:
+        return
+    listed = list_feed(feed.sparkSession, path).where(F.col("kind") == "other")
+    names = ", ".join(row.path for row in listed.select("path").take(3))
+    raise ValueError(f"feed file names must start with {LOAD_PREFIX} or YYYYMMDD: {names}")
+
+
 def select_files(feed: DataFrame, first: date, last: date, with_load: bool) -> DataFrame:
     """Rows of change files named after a day in [first, last], plus load files if asked."""
     name = F.col(FILE_NAME)

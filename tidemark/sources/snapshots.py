@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import as_date
+from tidemark.functions.frames import empty_frame
 from tidemark.spec import Target
 
 
 def load_or_empty(
-    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
 ) -> DataFrame:
     """A stored frame under a fixed schema; an empty one when the path does not exist."""
     try:
@@ -22,7 +23,7 @@ def load_or_empty(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
 
 
 def version_as_of(
