@@ -1,0 +1,31 @@
+"""The intended results computed row by row in Python, for small fixtures."""
+
+from __future__ import annotations
+
+
+def latest(changes, key, order):
+    """Last change per key; null keys count as one."""
+    newest = {}
+    for row in sorted(changes, key=order):
+        newest[key(row)] = row
+    return newest
+
+
+def merge(old, newest, columns, keys, overwrite):
+    """Old rows (dicts) and the last change per key, as the set of rows that remain."""
+    result = []
+    pending = dict(newest)
+    for row in old:
+        key = tuple(row[k] for k in keys)
+        change = None if None in key else pending.get(key)
+        if change is None:
+            result.append(row)
+        elif change["Op"] != "D":
+            result.append(
+                {c: change[c] if overwrite or change[c] is not None else row[c] for c in columns}
+            )
+    known = {tuple(row[k] for k in keys) for row in old}
+    for key, change in newest.items():
+        if (None in key or key not in known) and change["Op"] != "D":
+            result.append({c: change[c] for c in columns})
+    return result

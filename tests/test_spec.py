@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import types as T
+
+from tests.conftest import SCHEMA, START, change, rows
+from tidemark import FeedSpec, RunOptions, Target, build_snapshot, job, run_snapshot
+from tidemark.functions.dates import as_date
+from tidemark.sinks.tables import create_or_insert
+
+
+def test_dates():
+    assert as_date("2020-11-13") == date(2020, 11, 13)
+    assert as_date(date(2020, 1, 2)) == date(2020, 1, 2)
+    for wrong in ("2020-1-3", "20201113", "2020-11-13 ", "2020-13-01", "", None, 20201113):
+        with pytest.raises(ValueError):
+            as_date(wrong)
+    with pytest.raises(ValueError):
+        as_date(datetime(2020, 1, 1, 3))
+
+
+def make(**changes):
+    return FeedSpec(
+        **{
+            "path": "x",
+            "primary_keys": ("id",),
+            "schema": SCHEMA,
+            "cdc_start_date": START,
+            **changes,
+        }
+    )
+
+
+def test_schemas():
+    spec = make(partition_date="day", cdc_start_date="2020-11-13")
+    assert spec.envelope.fieldNames() == ["Op", "cdc_timestamp", "id", "name", "city", "day"]
+    assert spec.snapshot_schema().fieldNames() == ["id", "name", "city", "day"]
+    assert spec.snapshot_schema("partitioned").fields[-1] == T.StructField("dt", T.DateType())
+    assert spec.cdc_start_date == START
+    assert make(primary_keys="id").primary_keys == ("id",)
+    assert make(partition_date="").partition_date is None
+
+
+@pytest.mark.parametrize(
+    "wrong",
+    [
+        {"primary_keys": ()},
+        {"primary_keys": ("nope",)},
+        {"partition_date": "nope"},
+        {"schema": T.StructType().add("id", "integer").add("op", "string")},
+        {"schema": T.StructType().add("id", "integer").add("CDC_TIMESTAMP", "string")},
+        {"schema": T.StructType().add("id", "integer").add("_cdc_x", "string")},
+        {"schema": T.StructType().add("id", "integer").add("ID", "string")},
+        {"schema": T.StructType().add("id", T.MapType(T.StringType(), T.StringType()))},
+        {"schema": T.StructType().add("id", "date").add("dt", "date"), "partition_date": "id"},
+        {"cdc_start_date": "13.11.2020"},
+    ],
+)
+def test_spec_refuses(wrong):
+    with pytest.raises(ValueError):
+        make(**wrong)
+
+
+def test_options_refuse():
+    for wrong in ({"null_policy": "x"}, {"load_rank": "x"}, {"merge": "x"}, {"bad_timestamp": "x"}):
+        with pytest.raises(ValueError):
+            RunOptions(**wrong)
+
+
+def test_guards(spark, feed, target):
+    feed.load("LOAD1.parquet", {"id": 1, "name": "a", "day": START})
+    with pytest.raises(ValueError, match="cdc_start_date"):
+        build_snapshot(spark, feed.spec(), "2020-11-12", target)
+    run_snapshot(spark, feed.spec(), "2020-11-15", target)
+    with pytest.raises(ValueError, match="last published"):
+        run_snapshot(spark, feed.spec(), "2020-11-14", target)
+    run_snapshot(spark, feed.spec(), "2020-11-15", target)
+    with pytest.raises(ValueError, match="partition_date"):
+        build_snapshot(spark, feed.spec(partition_date=None), "2020-11-16", target, "partitioned")
+    with pytest.raises(ValueError, match="schema_overwrite"):
+        create_or_insert(spark.range(1), target, partition_keys=["id"], version="2020-11-15")
+    with pytest.raises(ValueError, match="mode"):
+        build_snapshot(spark, feed.spec(), "2020-11-16", target, "weekly")
+
+
+def test_cli_args(spark, feed, target, tmp_path):
+    feed.load("LOAD1.parquet", {"id": 1, "name": "a", "day": START})
+    feed.write("20201113-1.parquet", change("U", "2020-11-13 08:00:00", 1, "b", day=START))
+    feeds = {
+        "people": {
+            "path": str(feed.folder),
+            "primary_keys": ["id"],
+            "partition_date": "day",
+            "cdc_start_date": "2020-11-13",
+            "schema": "id int, name string, city string, day date",
+        }
+    }
+    (tmp_path / "feeds.json").write_text(json.dumps(feeds))
+    common = ["--feeds", str(tmp_path / "feeds.json"), "--output-table", target.table]
+    common += ["--output-root", target.root, "--processing-date", "2020-11-13"]
+    with pytest.raises(ValueError, match="people"):
+        job.main([*common, "--input-table", "nobody"], spark)
+    report = job.main([*common, "--input-table", "people", "--partitioned"], spark)
+    assert report.mode == "partitioned" and report.as_of == START
+    assert rows(spark.table(target.table)) == [(1, "b", None, START, START)]
+    with pytest.raises(SystemExit):
+        job.parse_args(["--input-table", "people"])
+    with pytest.raises(SystemExit):
+        job.parse_args([*common, "--input-table", "people", "--processing-date", "13.11.2020"])
+
+
+def test_target_paths():
+    assert Target("t", "/data/t/").version_path(START) == "/data/t/version=2020-11-13"
