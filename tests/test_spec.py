@@ -114,3 +114,8 @@ def test_cli_args(spark, feed, target, tmp_path):
 
 def test_target_paths():
     assert Target("t", "/data/t/").version_path(START) == "/data/t/version=2020-11-13"
+    for root in ("s3a://bucket/t", "file:/tmp/t", "/t", "a/t", "hdfs:///a/b/t"):
+        assert Target("t", root).root == root
+    for root in ("s3a://bucket", "s3a://bucket/", "t", "/", ""):
+        with pytest.raises(ValueError):
+            Target("t", root)

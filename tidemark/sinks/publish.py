@@ -14,10 +14,9 @@ from tidemark.sinks.tables import (
     insert_partition,
     new_staging_path,
     overwrite_table,
-    point_table,
+    rewrite_table,
     stage,
     staging_root,
-    write_files,
 )
 from tidemark.sources.catalog import current_version, last_partition, table_exists
 from tidemark.sources.snapshots import load_or_empty
@@ -29,21 +28,11 @@ _JOURNAL = T.StructType().add("staged", "string").add("day", "date")
 def publish_version(df: DataFrame, target: Target, version: date) -> None:
     """Publish a flat snapshot as `version=D` and point the table at it.
 
-    A new version is written in one go into a folder nothing refers to yet. Repeating
-    the current version would overwrite the files being read, so the result is staged
-    and the table shows the staged copy until the rewrite is complete: whenever this
-    stops, the table is whole and the run can simply be repeated."""
-    spark = df.sparkSession
-    if current_version(spark, target.table) != version:
-        overwrite_table(df, target, str(version))
-        return
-    run = new_staging_path(target)
-    copy = f"{run}/version={version}"
-    rows = stage(df, target, copy)
-    point_table(spark, target, df.schema, copy)
-    write_files(rows, target.version_path(version), target)
-    point_table(spark, target, df.schema, target.version_path(version))
-    release(spark, copy, target.fmt)
+    A new version is written in one go, into a folder that nothing refers to yet.
+    Repeating the current version replaces the very files that are being read, so it
+    goes through a staged copy."""
+    again = current_version(df.sparkSession, target.table) == version
+    (rewrite_table if again else overwrite_table)(df, target, str(version))
 
 
 def _journal(target: Target) -> str:

@@ -18,8 +18,9 @@ STAGING = "_staging"
 
 
 def staging_root(target: Target) -> str:
-    """Next to the data, so that it lives as long as the table does."""
-    return f"{target.root}/{STAGING}"
+    """Beside the table's folder: as durable as the table, and outside what is replaced."""
+    parent, name = target.root.rsplit("/", 1)
+    return f"{parent}/{STAGING}/{name}"
 
 
 def new_staging_path(target: Target) -> str:
@@ -38,9 +39,11 @@ def write_files(
     writer.save(path)
 
 
-def stage(df: DataFrame, target: Target, path: str) -> DataFrame:
+def stage(
+    df: DataFrame, target: Target, path: str, partition_keys: Sequence[str] | None = None
+) -> DataFrame:
     """Materialise a result that depends on what is about to be replaced."""
-    df.write.format(target.fmt).mode("overwrite").save(path)
+    write_files(df, path, target, partition_keys)
     return df.sparkSession.read.load(path, format=target.fmt, schema=df.schema)
 
 
@@ -90,6 +93,11 @@ def point_table(
     spark.catalog.refreshTable(target.table)
 
 
+def _keys_last(df: DataFrame, partition_keys: Sequence[str] | None) -> DataFrame:
+    payload = [name for name in df.columns if name not in set(partition_keys or ())]
+    return df.select(*cols(payload), *cols(partition_keys or ()))
+
+
 def overwrite_table(
     df: DataFrame,
     target: Target,
@@ -101,13 +109,32 @@ def overwrite_table(
     The files are complete before the catalog changes, so a failed write leaves the
     table as it was. `df` must not read the folder that is written."""
     path = target.version_path(version) if version else target.root
-    if partition_keys:
-        payload = [name for name in df.columns if name not in set(partition_keys)]
-        df = df.select(*cols(payload), *cols(partition_keys))
+    df = _keys_last(df, partition_keys)
     write_files(df, path, target, partition_keys)
     point_table(df.sparkSession, target, df.schema, path, partition_keys)
 
 
+def rewrite_table(
+    df: DataFrame,
+    target: Target,
+    version: str | None = None,
+    partition_keys: Sequence[str] | None = None,
+) -> None:
+    """The same for a folder that the table already shows and that `df` may read.
+
+    The rows are staged, and the table shows the staged copy until its own folder is
+    complete again: whenever this stops, the table is whole and it can be repeated."""
+    spark = df.sparkSession
+    path = target.version_path(version) if version else target.root
+    df = _keys_last(df, partition_keys)
+    copy = f"{new_staging_path(target)}/{path.rsplit('/', 1)[1]}"
+    rows = stage(df, target, copy, partition_keys)
+    point_table(spark, target, df.schema, copy, partition_keys)
+    write_files(rows, path, target, partition_keys)
+    point_table(spark, target, df.schema, path, partition_keys)
+    release(spark, copy, target.fmt)
+
+
 def in_table_order(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
     """Columns by name in the table's order, since inserts go by position."""
     wanted = spark.table(table).columns
@@ -176,10 +203,7 @@ def create_or_insert(
     if not table_exists(spark, target.table):
         overwrite_table(df, target, version, partition_keys)
     elif schema_overwrite:
-        path = new_staging_path(target)
-        rows = stage(df, target, path) if staged else df
-        overwrite_table(rows, target, version, partition_keys)
-        if staged:
-            release(spark, path, target.fmt)
+        write = rewrite_table if staged else overwrite_table
+        write(df, target, version, partition_keys)
     else:
         overwrite_partitions(df, target)

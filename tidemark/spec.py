@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
@@ -27,6 +28,10 @@ ROW_INDEX = "_cdc_row_index"
 FLAT, PARTITIONED = "flat", "partitioned"
 
 
+# Scheme and bucket or host of a path.
+_AUTHORITY = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/]*)?")
+
+
 def _one_of(name: str, value: str, allowed: tuple[str, ...]) -> None:
     if value not in allowed:
         raise ValueError(f"{name} must be one of {allowed}, not {value!r}")
@@ -106,6 +111,9 @@ class Target:
 
     def __post_init__(self):
         object.__setattr__(self, "root", self.root.rstrip("/"))
+        # The staging area lies beside the table's folder, so there must be a parent.
+        if "/" not in _AUTHORITY.sub("", self.root, count=1):
+            raise ValueError(f"table data needs a folder of its own, not {self.root!r}")
 
     def version_path(self, version: date | str) -> str:
         return f"{self.root}/version={version}"
