@@ -39,9 +39,10 @@ ARROW = {
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        SparkSession.builder.master("local[2]")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
