@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import START, change
 from tidemark import RunOptions, build_snapshot, run_snapshot
 from tidemark.operators.changes import latest_change
 from tidemark.operators.merge import merge_snapshot
 from tidemark.scratch import scratch_root, store
-from tidemark.sources.feed import file_kind, list_feed, scan_feed
-from pyspark.sql import functions as F
+from tidemark.sources.feed import list_feed, scan_feed
 
 
 def plan(df) -> str:
@@ -46,6 +47,17 @@ def test_sort_merge_reuses_the_shuffle_of_the_ranking(spark, filled, target):
     assert text.count("Exchange hashpartitioning") == 2
 
 
+def test_sort_merge_with_a_bucketed_snapshot_shuffles_the_changes_only(spark, filled, target):
+    target = replace(target, buckets=4)
+    run_snapshot(spark, filled.spec(), START, target)
+    merged = build_snapshot(spark, filled.spec(), "2020-11-14", target)
+    text = plan(merged)
+    assert "FullOuter" in text and "Bucketed: true" in text
+    old = text[text.index("SortMergeJoin") : text.index("Bucketed: true")]
+    assert "Exchange" not in old
+    assert [row.name for row in merged.collect()] == ["c"]
+
+
 def test_broadcast_merge_never_shuffles_the_old_rows(spark, filled, target):
     run_snapshot(spark, filled.spec(), START, target)
     options = RunOptions(merge="broadcast_delta")
@@ -71,7 +83,6 @@ def test_scan_reads_only_what_is_needed(spark, filled):
 def test_name_check_leaves_nothing_to_read(spark, filled):
     odd = list_feed(spark, str(filled.folder)).where(F.col("kind") == "other")
     assert odd.rdd.getNumPartitions() == 0
-    assert file_kind is not None
 
 
 def test_merge_of_a_stored_frame_reads_null_keys_by_pushdown(spark, filled):

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import types as T
 
 from tests import model
-from tests.conftest import START, change, rows
+from tests.conftest import SCHEMA, START, change, rows
 from tidemark import FLAT, PARTITIONED, RunOptions, build_snapshot, run_snapshot
+from tidemark.sources.catalog import describe
 
 D = [START + timedelta(days=i) for i in range(6)]
+SCHEMA_WITHOUT_CITY = T.StructType([f for f in SCHEMA.fields if f.name != "city"])
 FIRST = RunOptions()
 OVERWRITE = RunOptions(null_policy="overwrite")
 
@@ -185,8 +189,6 @@ def test_no_files_at_all(spark, feed, target):
 
 
 def test_new_column_appears_in_the_next_version(spark, feed, target):
-    from pyspark.sql import types as T
-
     feed.load("LOAD1.parquet", person(1, "a", city="here"))
     narrow = T.StructType().add("id", "integer").add("name", "string")
     run_snapshot(spark, feed.spec(schema=narrow, partition_date=None), D[0], target)
@@ -196,6 +198,26 @@ def test_new_column_appears_in_the_next_version(spark, feed, target):
     assert published(spark, target, "id", "city") == [(1, None), (2, "there")]
 
 
+def test_bucketed_table_takes_and_loses_its_buckets(spark, feed, target):
+    feed.load("LOAD1.parquet", *[person(i, f"n{i}") for i in range(50)])
+    feed.write(file(D[1]), change("D", at(D[1]), 7), change("I", at(D[1]), 70, "new", "x"))
+    narrow = feed.spec(schema=SCHEMA_WITHOUT_CITY, partition_date=None)
+    bucketed = replace(target, buckets=4)
+    run_snapshot(spark, narrow, D[0], target)
+    run_snapshot(spark, narrow, D[0], bucketed)
+    run_snapshot(spark, narrow, D[1], bucketed)
+    assert describe(spark, target.table)["num_buckets"] == 4
+    assert len(published(spark, target)) == 50
+    run_snapshot(spark, feed.spec(), D[1], bucketed)
+    assert published(spark, target, "id", "city")[-1] == (9, None)
+    assert (70, "x") in published(spark, target, "id", "city")
+    run_snapshot(spark, feed.spec(), D[1], target)
+    assert "num_buckets" not in describe(spark, target.table)
+    assert len(published(spark, target)) == 50
+    with pytest.raises(ValueError, match="bucketed"):
+        run_snapshot(spark, feed.spec(), D[1], bucketed, PARTITIONED)
+
+
 def random_files(feed, seed, days):
     """Feed files with ties, deletes and nulls; returns all rows in feed order."""
     chance = random.Random(seed)
@@ -219,7 +241,9 @@ def random_files(feed, seed, days):
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("merge", ["sort_merge", "broadcast_delta"])
-def test_chains_against_brute_force(spark, feed, target, seed, merge):
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_chains_against_brute_force(spark, feed, target, seed, merge, buckets):
+    target = replace(target, buckets=buckets)
     load, made = random_files(feed, seed, D[:4])
     columns = ["id", "name", "city", "day"]
     overwrite = seed == 1

@@ -28,6 +28,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--processing-date", required=True, type=as_date, help="YYYY-MM-DD")
     parser.add_argument("--partitioned", action="store_true", help="publish one date partition")
     parser.add_argument("--max-records-per-file", type=int)
+    parser.add_argument("--buckets", type=int, help="bucket a flat table by its key")
     parser.add_argument("--null-policy", default="keep_old", choices=["keep_old", "overwrite"])
     parser.add_argument("--load-rank", default="first", choices=["first", "processing_date"])
     parser.add_argument("--bad-timestamp", default="fail", choices=["fail", "drop"])
@@ -50,7 +51,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         spark,
         spec,
         args.processing_date,
-        Target(args.output_table, args.output_root, max_records_per_file=args.max_records_per_file),
+        Target(
+            args.output_table,
+            args.output_root,
+            max_records_per_file=args.max_records_per_file,
+            buckets=args.buckets,
+        ),
         PARTITIONED if args.partitioned else FLAT,
         RunOptions(
             null_policy=args.null_policy,

@@ -7,9 +7,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.dates import as_date
 from tidemark.functions.frames import empty_frame
+from tidemark.functions.names import cols
 from tidemark.operators.changes import change_order, latest_change, within_dates
 from tidemark.operators.merge import merge_snapshot, partition_rows
 from tidemark.sources.catalog import describe, last_published, table_exists
@@ -45,7 +47,7 @@ def run_window(
     A run starts at the last published day, not after it, so that changes exported
     late are picked up. The load takes part on the start date and while there is no
     table."""
-    check_mode(spec, mode)
+    check_mode(spec, mode, target)
     as_of = as_date(as_of)
     check_dates(spec, as_of, None)
     exists = table_exists(spark, target.table)
@@ -74,6 +76,18 @@ def latest_in_window(
     return latest
 
 
+def _fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """A table's rows under another schema: new columns are null, others keep their
+    name; read through the catalog, which knows the buckets."""
+    known = set(df.columns)
+    return df.select(
+        *[
+            (column if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f, column in zip(schema.fields, cols(schema.fieldNames()))
+        ]
+    )
+
+
 def previous_snapshot(
     spark: SparkSession, spec: FeedSpec, window: RunWindow, target: Target, mode: str
 ) -> DataFrame:
@@ -82,8 +96,10 @@ def previous_snapshot(
     if not table_exists(spark, target.table):
         return empty_frame(spark, schema)
     if mode == FLAT:
-        location = describe(spark, target.table)["location"]
-        return load_or_empty(spark, location, schema, target.fmt)
+        entry = describe(spark, target.table)
+        if entry.get("num_buckets"):
+            return _fitted(spark.table(target.table), schema)
+        return load_or_empty(spark, entry["location"], schema, target.fmt)
     return spark.table(target.table).where(F.col(PARTITION) == F.lit(window.as_of))
 
 

@@ -65,7 +65,8 @@ def run_snapshot(
     options: RunOptions = RunOptions(),
 ) -> RunReport:
     """Bring a table to the state of a date and publish it; repeating a run is safe."""
-    check_mode(spec, mode)
+    check_mode(spec, mode, target)
+    target = target.bucketed_by(spec.primary_keys)
     resumed = None
     if mode == PARTITIONED and table_exists(spark, target.table):
         resumed = resume_partition(spark, target)
@@ -86,6 +87,9 @@ def run_snapshot(
         delta, scratch = store(delta, "delta")
     merge = merge_stored if options.merge == "broadcast_delta" else sort_merge
     merged = merge(old, delta, spec.primary_keys, columns, options.null_policy)
+    if target.buckets and window.last_date is None:
+        # Later merges keep the buckets of the snapshot they start from.
+        merged = merged.repartition(target.buckets, *cols(spec.primary_keys))
     publish(merged, target, window.as_of, mode)
     if scratch is not None:
         release(spark, scratch)

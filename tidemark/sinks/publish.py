@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.frames import empty_frame
@@ -52,9 +53,15 @@ def publish_partition(df: DataFrame, target: Target, day: date) -> None:
     last_partition(spark, target.table)  # refuses tables of the other kind
     path = new_staging_path(target)
     stage(in_table_order(df, spark, target.table).drop(PARTITION), target, path)
-    entry = spark.createDataFrame([(path, day)], _JOURNAL)
-    entry.coalesce(1).write.mode("overwrite").parquet(_journal(target))
-    resume_partition(spark, target)
+    entry = spark.range(0, 1, 1, 1).select(F.lit(path).alias("staged"), F.lit(day).alias("day"))
+    entry.write.mode("overwrite").parquet(_journal(target))
+    _insert_staged(spark, target, path, day)
+
+
+def _insert_staged(spark: SparkSession, target: Target, path: str, day: date) -> None:
+    insert_partition(spark, target, path, PARTITION, str(day))
+    empty_frame(spark, _JOURNAL).write.mode("overwrite").parquet(_journal(target))
+    release(spark, path, target.fmt)
 
 
 def resume_partition(spark: SparkSession, target: Target) -> date | None:
@@ -62,9 +69,7 @@ def resume_partition(spark: SparkSession, target: Target) -> date | None:
     entry = load_or_empty(spark, _journal(target), _JOURNAL).first()
     if entry is None:
         return None
-    insert_partition(spark, target, entry.staged, PARTITION, str(entry.day))
-    empty_frame(spark, _JOURNAL).write.mode("overwrite").parquet(_journal(target))
-    release(spark, entry.staged, target.fmt)
+    _insert_staged(spark, target, entry.staged, entry.day)
     return entry.day
 
 

@@ -36,7 +36,16 @@ def write_files(
         writer = writer.option("maxRecordsPerFile", target.max_records_per_file)
     if partition_keys:
         writer = writer.partitionBy(*partition_keys)
-    writer.save(path)
+    if not target.buckets:
+        writer.save(path)
+        return
+    # Only table writes can bucket; dropping the helper table leaves the files.
+    helper = f"tidemark_{uuid4().hex}"
+    writer = writer.bucketBy(target.buckets, *target.bucket_keys).option("path", path)
+    try:
+        writer.saveAsTable(helper)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {helper}")
 
 
 def stage(
@@ -75,6 +84,8 @@ def point_table(
             not partition_keys
             and not entry.get("partition_columns")
             and entry.get("provider") == target.fmt
+            and entry.get("num_buckets") == target.buckets
+            and tuple(entry.get("bucket_columns") or ()) == target.bucket_keys
             and _shape(spark.table(target.table).schema) == _shape(schema)
         )
         if same:
@@ -84,6 +95,9 @@ def point_table(
         spark.sql(f"DROP TABLE {target.table}")
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
     by = f"PARTITIONED BY ({', '.join(map(quoted, partition_keys))})" if partition_keys else ""
+    if target.buckets:
+        names = ", ".join(map(quoted, target.bucket_keys))
+        by += f" CLUSTERED BY ({names}) INTO {target.buckets} BUCKETS"
     spark.sql(
         f"CREATE TABLE {target.table} ({nullable.toDDL()}) USING {target.fmt} {by} "
         f"LOCATION {_text(path)}"

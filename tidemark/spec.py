@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import types as T
@@ -102,12 +102,18 @@ class FeedSpec:
 
 @dataclass(frozen=True)
 class Target:
-    """A catalog table and the folder that holds its data."""
+    """A catalog table and the folder that holds its data.
+
+    With `buckets`, versions of a flat table are bucketed by its key, so that a merge
+    with many changes shuffles the changes only, not the snapshot. Choose a number that
+    keeps one bucket within the memory of a task."""
 
     table: str
     root: str
     fmt: str = "parquet"
     max_records_per_file: int | None = None
+    buckets: int | None = None
+    bucket_keys: tuple[str, ...] = ()
 
     def __post_init__(self):
         object.__setattr__(self, "root", self.root.rstrip("/"))
@@ -115,6 +121,9 @@ class Target:
         if "/" not in _AUTHORITY.sub("", self.root, count=1):
             raise ValueError(f"table data needs a folder of its own, not {self.root!r}")
 
+    def bucketed_by(self, keys: tuple[str, ...]) -> Target:
+        return replace(self, bucket_keys=keys) if self.buckets else self
+
     def version_path(self, version: date | str) -> str:
         return f"{self.root}/version={version}"
 
@@ -148,8 +157,10 @@ class RunOptions:
         _one_of("merge", self.merge, ("broadcast_delta", "sort_merge"))
 
 
-def check_mode(spec: FeedSpec, mode: str) -> None:
+def check_mode(spec: FeedSpec, mode: str, target: Target) -> None:
     _one_of("mode", mode, (FLAT, PARTITIONED))
+    if mode == PARTITIONED and target.buckets:
+        raise ValueError("only flat tables can be bucketed")
     if mode == PARTITIONED and spec.partition_date is None:
         raise ValueError("a partitioned run needs partition_date in the feed spec")
 
