@@ -13,7 +13,12 @@ from pyspark.sql import types as T
 from tests.conftest import rows
 from tidemark.sinks import publish as publishing
 from tidemark.sinks import tables
-from tidemark.sinks.publish import publish_partition, publish_version, resume_partition
+from tidemark.sinks.publish import (
+    publish_partition,
+    publish_version,
+    resume_partition,
+    resume_version,
+)
 from tidemark.sinks.tables import create_or_insert, overwrite_partitions, overwrite_table
 from tidemark.sources.catalog import (
     current_version,
@@ -126,8 +131,10 @@ def test_rewrite_interrupted_half_way(spark, target, monkeypatch):
         with pytest.raises(Crash):
             publish_version(flat(spark, (1, "b")), target, D[0])
     assert shown(spark, target) == [(1, "b")]
-    publish_version(spark.table(target.table), target, D[1])
-    assert shown(spark, target) == [(1, "b")]
+    assert rows(version_as_of(spark, target, D[0], SCHEMA)) == []
+    assert resume_version(spark, target) == D[0]
+    assert shown(spark, target) == rows(version_as_of(spark, target, D[0], SCHEMA)) == [(1, "b")]
+    assert resume_version(spark, target) is None
 
 
 @pytest.mark.parametrize("step", ["write_files", "point_table"])
@@ -266,6 +273,28 @@ def test_partition_lost_between_delete_and_write(spark, target, monkeypatch):
     assert shown(spark, target)[-1] == (4, "b", D[1])
 
 
+def test_small_partitions_get_one_file_each(spark, target):
+    made = daily(spark, *[(i, "x", D[i % 3]) for i in range(90)]).repartition(8)
+    overwrite_table(made, target, partition_keys=["dt"])
+    assert [len(files(f"{target.root}/dt={day}")) for day in D] == [1, 1, 1]
+    overwrite_partitions(made, target)
+    assert [len(files(f"{target.root}/dt={day}")) for day in D] == [1, 1, 1]
+
+
+def test_large_partition_is_split_over_tasks(spark, target):
+    """One date holds all rows; adaptive execution cuts it into several files."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        made = spark.range(0, 60_000, 1, 8).select(
+            "id", F.sha2(F.col("id").cast("string"), 256).alias("name"), F.lit(D[0]).alias("dt")
+        )
+        overwrite_table(made, target, partition_keys=["dt"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(files(f"{target.root}/dt={D[0]}")) > 2
+    assert spark.table(target.table).distinct().count() == 60_000
+
+
 def test_last_partition(spark, target):
     assert last_partition(spark, target.table) is None
     overwrite_table(daily(spark), target, partition_keys=["dt"])

@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 from tests import model
 from tests.conftest import SCHEMA, START, change, rows
 from tidemark import FLAT, PARTITIONED, RunOptions, build_snapshot, run_snapshot
+from tidemark.sinks import tables
 from tidemark.sources.catalog import describe
+from tidemark.sources.snapshots import version_as_of
 
 D = [START + timedelta(days=i) for i in range(6)]
 SCHEMA_WITHOUT_CITY = T.StructType([f for f in SCHEMA.fields if f.name != "city"])
@@ -344,6 +346,28 @@ def test_repeating_a_run_changes_nothing(spark, feed, target, mode):
         assert published(spark, target) == before
 
 
+def test_run_finishes_what_a_crash_left(spark, feed, target, monkeypatch):
+    """The repeat of a day dies during its rewrite; the next day's run mends it first."""
+    feed.load("LOAD1.parquet", person(1, "a"))
+    run_snapshot(spark, feed.spec(), D[0], target)
+    write = tables.write_files
+
+    def torn(df, path, *rest):
+        if path == target.version_path(D[0]):
+            raise RuntimeError("lost")
+        return write(df, path, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "write_files", torn)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_snapshot(spark, feed.spec(), D[0], target)
+    feed.write(file(D[1]), change("U", at(D[1]), 1, "b"))
+    report = run_snapshot(spark, feed.spec(), D[1], target)
+    assert report.resumed == D[0]
+    assert published(spark, target, "name") == [("b",)]
+    assert rows(version_as_of(spark, target, D[0], SCHEMA), "name") == [("a",)]
+
+
 def test_modes_do_not_mix(spark, feed, target):
     feed.load("LOAD1.parquet", person(1, "a"))
     run_snapshot(spark, feed.spec(), D[0], target)

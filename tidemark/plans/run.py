@@ -13,14 +13,12 @@ from tidemark.functions.names import cols
 from tidemark.operators.merge import merge_stored, sort_merge
 from tidemark.plans.build import RunWindow, latest_in_window, previous_snapshot, run_window
 from tidemark.scratch import release, store
-from tidemark.sinks.publish import publish, resume_partition
-from tidemark.sources.catalog import table_exists
+from tidemark.sinks.publish import publish, resume
 from tidemark.sources.feed import check_file_names, scan_feed, select_files
 from tidemark.spec import (
     FLAT,
     IS_CHANGE,
     OP,
-    PARTITIONED,
     STAMP,
     FeedSpec,
     RunOptions,
@@ -67,9 +65,7 @@ def run_snapshot(
     """Bring a table to the state of a date and publish it; repeating a run is safe."""
     check_mode(spec, mode, target)
     target = target.bucketed_by(spec.primary_keys)
-    resumed = None
-    if mode == PARTITIONED and table_exists(spark, target.table):
-        resumed = resume_partition(spark, target)
+    resumed = resume(spark, target, mode)
     window = run_window(spark, spec, as_of, target, mode)
     feed = scan_feed(spark, spec)
     if options.check_names:
@@ -85,14 +81,16 @@ def run_snapshot(
     if options.merge == "broadcast_delta" or seen is not None:
         # Stored once: later readings of the changes do not scan the feed again.
         delta, scratch = store(delta, "delta")
-    merge = merge_stored if options.merge == "broadcast_delta" else sort_merge
-    merged = merge(old, delta, spec.primary_keys, columns, options.null_policy)
-    if target.buckets and window.last_date is None:
-        # Later merges keep the buckets of the snapshot they start from.
-        merged = merged.repartition(target.buckets, *cols(spec.primary_keys))
-    publish(merged, target, window.as_of, mode)
-    if scratch is not None:
-        release(spark, scratch)
+    try:
+        merge = merge_stored if options.merge == "broadcast_delta" else sort_merge
+        merged = merge(old, delta, spec.primary_keys, columns, options.null_policy)
+        if target.buckets and window.last_date is None:
+            # Later merges keep the buckets of the snapshot they start from.
+            merged = merged.repartition(target.buckets, *cols(spec.primary_keys))
+        publish(merged, target, window.as_of, mode)
+    finally:
+        if scratch is not None:
+            release(spark, scratch)
     return RunReport(
         table=target.table,
         as_of=window.as_of,

@@ -11,15 +11,17 @@ from pyspark.sql import types as T
 from tidemark.functions.frames import empty_frame
 from tidemark.scratch import release
 from tidemark.sinks.tables import (
+    STAGING,
     in_table_order,
     insert_partition,
+    move_back,
     new_staging_path,
     overwrite_table,
     rewrite_table,
     stage,
     staging_root,
 )
-from tidemark.sources.catalog import current_version, last_partition, table_exists
+from tidemark.sources.catalog import current_version, describe, last_partition, table_exists
 from tidemark.sources.snapshots import load_or_empty
 from tidemark.spec import FLAT, PARTITION, Target
 
@@ -36,6 +38,22 @@ def publish_version(df: DataFrame, target: Target, version: date) -> None:
     (rewrite_table if again else overwrite_table)(df, target, str(version))
 
 
+def resume_version(spark: SparkSession, target: Target) -> date | None:
+    """Finish a repeated version that was cut off while the table showed its staged
+    copy, so that its folder is whole for time travel too."""
+    version = current_version(spark, target.table)
+    if version is None:
+        return None
+    location = describe(spark, target.table)["location"]
+    if f"/{STAGING}/" not in location:
+        return None
+    rows = spark.read.load(
+        location, format=target.fmt, schema=spark.table(target.table).schema
+    )
+    move_back(rows, target, location, target.version_path(version))
+    return version
+
+
 def _journal(target: Target) -> str:
     return f"{staging_root(target)}/journal"
 
@@ -73,5 +91,12 @@ def resume_partition(spark: SparkSession, target: Target) -> date | None:
     return entry.day
 
 
+def resume(spark: SparkSession, target: Target, mode: str) -> date | None:
+    """Finish what an earlier run left half done; the date concerned, if any."""
+    if not table_exists(spark, target.table):
+        return None
+    return (resume_version if mode == FLAT else resume_partition)(spark, target)
+
+
 def publish(df: DataFrame, target: Target, day: date, mode: str) -> None:
     (publish_version if mode == FLAT else publish_partition)(df, target, day)

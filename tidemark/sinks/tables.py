@@ -27,10 +27,22 @@ def new_staging_path(target: Target) -> str:
     return f"{staging_root(target)}/{uuid4().hex}"
 
 
+def sized_by_partition(df: DataFrame, partition_keys: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition together before writing: one file for a small one.
+
+    A rebalance, unlike a repartition, lets adaptive execution split a large partition
+    over many tasks; without adaptive execution the rows stay where they are."""
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
+    return df.hint("rebalance", *cols(partition_keys))
+
+
 def write_files(
     df: DataFrame, path: str, target: Target, partition_keys: Sequence[str] | None = None
 ) -> None:
     """Replace the contents of a folder."""
+    if partition_keys:
+        df = sized_by_partition(df, partition_keys)
     writer = df.write.format(target.fmt).mode("overwrite")
     if target.max_records_per_file:
         writer = writer.option("maxRecordsPerFile", target.max_records_per_file)
@@ -144,9 +156,20 @@ def rewrite_table(
     copy = f"{new_staging_path(target)}/{path.rsplit('/', 1)[1]}"
     rows = stage(df, target, copy, partition_keys)
     point_table(spark, target, df.schema, copy, partition_keys)
+    move_back(rows, target, copy, path, partition_keys)
+
+
+def move_back(
+    rows: DataFrame,
+    target: Target,
+    copy: str,
+    path: str,
+    partition_keys: Sequence[str] | None = None,
+) -> None:
+    """Rewrite a table's own folder from the staged copy it shows, then show the folder."""
     write_files(rows, path, target, partition_keys)
-    point_table(spark, target, df.schema, path, partition_keys)
-    release(spark, copy, target.fmt)
+    point_table(rows.sparkSession, target, rows.schema, path, partition_keys)
+    release(rows.sparkSession, copy, target.fmt)
 
 
 def in_table_order(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
@@ -196,7 +219,8 @@ def overwrite_partitions(df: DataFrame, target: Target) -> None:
     stage(ordered, target, path)
     session = _inserting_session(spark, target, partitionOverwriteMode="dynamic")
     rows = session.read.load(path, format=target.fmt, schema=ordered.schema)
-    rows.write.insertInto(target.table, overwrite=True)
+    keys = describe(session, target.table)["partition_columns"]
+    sized_by_partition(rows, keys).write.insertInto(target.table, overwrite=True)
     spark.catalog.refreshTable(target.table)
     release(spark, path, target.fmt)
 
