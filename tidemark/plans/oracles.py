@@ -179,6 +179,11 @@ def _run_partitioned() -> str:
 ORACLES: dict[str, str] = {
     "feed_scan": _show(FEED_A, _ROW),
     "feed_scan_files": _show(FEED_A, _ROW),
+    "feed_scan_selected_files": _show(
+        f"SELECT * FROM ({FEED_A}) AS feed "
+        f"WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '{A_MID}'",
+        _ROW,
+    ),
     "feed_files": f"""
         SELECT file_name, 'change' AS kind,
                CAST(CAST(strptime(substr(file_name, 1, 8), '%Y%m%d') AS date) AS varchar)
@@ -235,6 +240,7 @@ ORACLES: dict[str, str] = {
         SELECT '{A_START}' AS version, count(*) AS n_rows FROM ({PREVIOUS_A}) AS a
         UNION ALL SELECT '{A_END}', count(*) FROM ({_merged_a}) AS b""",
     "run_flat": _show(_run_flat(), COLUMNS_A),
+    "run_flat_bucketed": _show(_run_flat(), COLUMNS_A),
     "run_partitioned": _show(_run_partitioned(), _DT),
     "build_without_publishing": _show(_bootstrap(A_START, _LOAD_FIRST), COLUMNS_A),
     "table_state": f"""

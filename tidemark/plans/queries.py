@@ -121,6 +121,14 @@ def feed_scan_files(spark: SparkSession, folder: str) -> DataFrame:
     return plain(rows.select(OP, STAMP, *SPEC_A.columns))
 
 
+@query("feed_scan_selected_files")
+def feed_scan_selected_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Only the exported files named after a day in a range; the load is left out."""
+    rows = scan_feed(spark, _exported(spark, folder))
+    picked = select_files(rows, date(2024, 1, 5), A_MID, with_load=False)
+    return plain(picked.select(OP, STAMP, *SPEC_A.columns))
+
+
 @query("feed_files")
 def feed_files(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per change file of feed B named after a day of the first half."""
@@ -402,6 +410,16 @@ def run_flat(spark: SparkSession, folder: str) -> DataFrame:
     return plain(spark.table(target.table))
 
 
+@query("run_flat_bucketed")
+def run_flat_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a table bucketed by its key and merges that keep the buckets."""
+    spec = _exported(spark, folder)
+    target = replace(_target(spark, "run_bucketed"), buckets=8)
+    for day in (A_START, A_MID, A_END, A_END):
+        run_snapshot(spark, spec, day, target, options=RunOptions(merge="sort_merge"))
+    return plain(spark.table(target.table))
+
+
 @query("run_partitioned")
 def run_partitioned(spark: SparkSession, folder: str) -> DataFrame:
     """The partitions of a middle and the last day, the last one published twice."""
