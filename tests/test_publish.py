@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date
 from pathlib import Path
 from uuid import uuid4
@@ -273,6 +274,32 @@ def test_partition_lost_between_delete_and_write(spark, target, monkeypatch):
     assert shown(spark, target)[-1] == (4, "b", D[1])
 
 
+def test_journal_of_a_dropped_table_is_not_replayed(spark, target, monkeypatch):
+    two_days(spark, target)
+    with monkeypatch.context() as patch:
+        crash_at(patch, publishing, "insert_partition")
+        with pytest.raises(Crash):
+            publish_partition(daily(spark, (4, "stale", D[1])), target, D[1])
+    spark.sql(f"DROP TABLE {target.table}")
+    publish_partition(daily(spark, (5, "fresh", D[0])), target, D[0])
+    assert resume_partition(spark, target) is None
+    assert shown(spark, target) == [(5, "fresh", D[0])]
+
+
+def test_journal_belongs_to_one_catalog_entry(spark, target, monkeypatch):
+    """The table is made anew by other means than a publication."""
+    two_days(spark, target)
+    with monkeypatch.context() as patch:
+        crash_at(patch, publishing, "insert_partition")
+        with pytest.raises(Crash):
+            publish_partition(daily(spark, (4, "stale", D[1])), target, D[1])
+    spark.sql(f"DROP TABLE {target.table}")
+    time.sleep(1.1)  # creation times are kept in seconds
+    create_or_insert(daily(spark, (5, "fresh", D[0])), target, partition_keys=["dt"])
+    assert resume_partition(spark, target) is None
+    assert shown(spark, target) == [(5, "fresh", D[0])]
+
+
 def test_small_partitions_get_one_file_each(spark, target):
     made = daily(spark, *[(i, "x", D[i % 3]) for i in range(90)]).repartition(8)
     overwrite_table(made, target, partition_keys=["dt"])

@@ -15,7 +15,6 @@ from tidemark.functions.names import cols
 from tidemark.operators.changes import (
     change_sequence,
     deleted_keys,
-    latest_change,
     latest_change_agg,
     within_dates,
 )

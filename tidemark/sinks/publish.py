@@ -25,7 +25,7 @@ from tidemark.sources.catalog import current_version, describe, last_partition,
 from tidemark.sources.snapshots import load_or_empty
 from tidemark.spec import FLAT, PARTITION, Target
 
-_JOURNAL = T.StructType().add("staged", "string").add("day", "date")
+_JOURNAL = T.StructType().add("staged", "string").add("day", "date").add("created", "string")
 
 
 def publish_version(df: DataFrame, target: Target, version: date) -> None:
@@ -66,27 +66,40 @@ def publish_partition(df: DataFrame, target: Target, day: date) -> None:
     which `resume_partition` finishes an insert that was cut off."""
     spark = df.sparkSession
     if not table_exists(spark, target.table):
+        _clear_journal(spark, target)  # of an earlier table in the same folder
         overwrite_table(df, target, partition_keys=[PARTITION])
         return
     last_partition(spark, target.table)  # refuses tables of the other kind
     path = new_staging_path(target)
     stage(in_table_order(df, spark, target.table).drop(PARTITION), target, path)
-    entry = spark.range(0, 1, 1, 1).select(F.lit(path).alias("staged"), F.lit(day).alias("day"))
+    created = describe(spark, target.table)["created_time"]
+    entry = spark.range(0, 1, 1, 1).select(
+        F.lit(path).alias("staged"), F.lit(day).alias("day"), F.lit(created).alias("created")
+    )
     entry.write.mode("overwrite").parquet(_journal(target))
     _insert_staged(spark, target, path, day)
 
 
+def _clear_journal(spark: SparkSession, target: Target) -> None:
+    empty_frame(spark, _JOURNAL).write.mode("overwrite").parquet(_journal(target))
+
+
 def _insert_staged(spark: SparkSession, target: Target, path: str, day: date) -> None:
     insert_partition(spark, target, path, PARTITION, str(day))
-    empty_frame(spark, _JOURNAL).write.mode("overwrite").parquet(_journal(target))
+    _clear_journal(spark, target)
     release(spark, path, target.fmt)
 
 
 def resume_partition(spark: SparkSession, target: Target) -> date | None:
-    """Finish the partition insert in the journal, if there is one; safe to repeat."""
+    """Finish the partition insert in the journal, if there is one; safe to repeat.
+
+    An entry made for an earlier table of the same name is dropped, not replayed."""
     entry = load_or_empty(spark, _journal(target), _JOURNAL).first()
     if entry is None:
         return None
+    if entry.created != describe(spark, target.table)["created_time"]:
+        _clear_journal(spark, target)
+        return None
     _insert_staged(spark, target, entry.staged, entry.day)
     return entry.day
 
