@@ -166,7 +166,7 @@ def test_chain_and_single_run(spark, feed, target):
 
 def test_bad_timestamps(spark, feed, target):
     feed.write(file(D[0]), change("U", "soon", 1, "bad"), change("U", at(D[0]), 2, "good"))
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="malformed change time: soon"):
         run_snapshot(spark, feed.spec(), D[0], target)
     options = RunOptions(bad_timestamp="drop", count_rows=True)
     report = run_snapshot(spark, feed.spec(), D[0], target, options=options)
@@ -395,3 +395,40 @@ def test_snapshot_frame_has_no_side_effects(spark, feed, target):
     assert rows(first, "name") == [("a",)]
     assert rows(second, "name") == [("b",)]
     assert not spark.catalog.tableExists(target.table)
+
+
+@pytest.mark.parametrize("mode", [FLAT, PARTITIONED])
+def test_result_does_not_depend_on_how_the_work_is_split(spark, feed, target, mode):
+    random_files(feed, 5, D[:3])
+    found = []
+    for split, shuffle, adaptive in (("128m", "1", "true"), ("1k", "7", "true"), ("1k", "3", "false")):
+        session = spark.newSession()
+        session.conf.set("spark.sql.files.maxPartitionBytes", split)
+        session.conf.set("spark.sql.shuffle.partitions", shuffle)
+        session.conf.set("spark.sql.adaptive.enabled", adaptive)
+        for merge in ("sort_merge", "broadcast_delta"):
+            options = RunOptions(merge=merge)
+            snapshot = build_snapshot(session, feed.spec(), D[2], target, mode, options)
+            found.append(rows(snapshot))
+            keys = [row[0] for row in found[-1]]
+            assert len(keys) == len(set(keys))
+    assert found[0] and all(other == found[0] for other in found)
+
+
+def test_read_options_reach_the_scan(spark, feed, target):
+    feed.write(file(D[0]), change("I", at(D[0]), 1, "kept"))
+    (feed.folder / file(D[0], 2)).write_bytes(b"garbage")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        rows(build_snapshot(spark, feed.spec(), D[0], target))
+    spec = feed.spec(read_options={"ignoreCorruptFiles": "true"})
+    assert rows(build_snapshot(spark, spec, D[0], target), "name") == [("kept",)]
+
+
+def test_malformed_time_fails_without_ansi_too(spark, feed, target):
+    feed.write(file(D[0]), change("U", "soon", 1, "bad"), change("U", at(D[0]), 2, "good"))
+    session = spark.newSession()
+    session.conf.set("spark.sql.ansi.enabled", "false")
+    with pytest.raises(Exception, match="malformed change time: soon"):
+        rows(build_snapshot(session, feed.spec(), D[0], target))
+    options = RunOptions(bad_timestamp="drop")
+    assert rows(build_snapshot(session, feed.spec(), D[0], target, options=options), "id") == [(2,)]

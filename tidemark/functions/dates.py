@@ -28,8 +28,13 @@ def midnight(day: date) -> str:
 
 
 def change_day(stamp: Column, bad_timestamp: str = "fail") -> Column:
-    """Day of a change time; malformed text raises, or becomes null under "drop"."""
-    return F.to_date(stamp) if bad_timestamp == "fail" else F.try_to_date(stamp)
+    """Day of a change time. Malformed text raises, whatever the session's ANSI setting,
+    or becomes null under "drop"; a missing time is null either way."""
+    day = F.try_to_date(stamp)
+    if bad_timestamp == "drop":
+        return day
+    message = F.concat(F.lit("malformed change time: "), stamp)
+    return F.coalesce(day, F.when(stamp.isNotNull(), F.raise_error(message).cast("date")))
 
 
 def file_day(file_name: Column) -> Column:
