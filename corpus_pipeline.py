@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.exact_dups import drop_exact_duplicates
 from tidemark.llm.mixing import mixed_documents
+from tidemark.llm.near_dups import drop_near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.queries import END_ID, MAX_REPEATS, tokenizer
 from tidemark.scratch import store
@@ -21,6 +22,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked texts stays: the one with the smallest id."""
+    return drop_near_duplicates(docs, threshold_percent=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once at least; those of small sources more often, as the weights ask."""
     return mixed_documents(docs, max_repeats=MAX_REPEATS)
@@ -33,6 +39,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("exact dedup", exact_dedup),
+    ("MinHash near dedup", near_dedup),
     ("mix sources", mix_sources),
     ("pack", pack_sequences),
 ]

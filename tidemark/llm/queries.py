@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import table
 from tidemark.llm.exact_dups import exact_duplicates
 from tidemark.llm.mixing import mix
+from tidemark.llm.near_dups import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.records import read_records, records_folder, write_records
 
@@ -46,6 +47,11 @@ def op5_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"), END_ID)
 
 
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes and components of texts that share 85 % of their five-word shingles."""
+    return near_duplicates(table(spark, folder, "documents"), threshold_percent=85)
+
+
 def op8_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
@@ -54,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_token_records": op4_token_records,
     "op5_pack_sequences": op5_pack_sequences,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_exact_duplicates": op8_exact_duplicates,
 }
 
