@@ -7,9 +7,6 @@ from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
-from tidemark.functions.frames import empty_frame
 
 SETTING = "spark.checkpoint.dir"
 
@@ -42,7 +39,7 @@ def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def release(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
-    """Give the space of an intermediate table back; an empty frame stays behind."""
-    nothing = empty_frame(spark, T.StructType().add("released", "boolean"))
-    nothing.write.format(fmt).mode("overwrite").save(path)
+def release(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table through its file system; a path already gone is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -169,7 +169,7 @@ def move_back(
     """Rewrite a table's own folder from the staged copy it shows, then show the folder."""
     write_files(rows, path, target, partition_keys)
     point_table(rows.sparkSession, target, rows.schema, path, partition_keys)
-    release(rows.sparkSession, copy, target.fmt)
+    release(rows.sparkSession, copy)
 
 
 def in_table_order(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
@@ -222,7 +222,7 @@ def overwrite_partitions(df: DataFrame, target: Target) -> None:
     keys = describe(session, target.table)["partition_columns"]
     sized_by_partition(rows, keys).write.insertInto(target.table, overwrite=True)
     spark.catalog.refreshTable(target.table)
-    release(spark, path, target.fmt)
+    release(spark, path)
 
 
 def create_or_insert(
