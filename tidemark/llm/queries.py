@@ -13,6 +13,7 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.near_dups import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.records import read_records, records_folder, write_records
+from tidemark.llm.suffix_dedup import remove_repeats
 
 #: The end-of-document id that the sinks append.
 END_ID = 2
@@ -33,6 +34,11 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return drawn.withColumnRenamed("id", "doc_id")
 
 
+def op3_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each text without strings of 100 bytes that start earlier too."""
+    return remove_repeats(table(spark, folder, "documents"), threshold=100)
+
+
 def op4_token_records(spark: SparkSession, folder: str) -> DataFrame:
     """Ids written as records in id order, and what reading them back gives."""
     manifest = write_records(
@@ -58,6 +64,7 @@ def op8_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_remove_repeats": op3_remove_repeats,
     "op4_token_records": op4_token_records,
     "op5_pack_sequences": op5_pack_sequences,
     "op7_near_duplicates": op7_near_duplicates,
