@@ -14,9 +14,15 @@ from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.near_dups import drop_near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.queries import END_ID, MAX_REPEATS, tokenizer
+from tidemark.llm.toxicity import drop_toxic
 from tidemark.scratch import store
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more go."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
     return drop_exact_duplicates(docs)
@@ -38,6 +44,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("toxicity", toxicity),
     ("exact dedup", exact_dedup),
     ("MinHash near dedup", near_dedup),
     ("mix sources", mix_sources),

@@ -14,6 +14,7 @@ from tidemark.llm.near_dups import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.records import read_records, records_folder, write_records
 from tidemark.llm.suffix_dedup import remove_repeats
+from tidemark.llm.toxicity import held_out, train, with_scores
 
 #: The end-of-document id that the sinks append.
 END_ID = 2
@@ -62,6 +63,18 @@ def op8_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every text, learned from the labelled rows that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = train(docs, table(spark, folder, "labels"))
+    return with_scores(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_remove_repeats": op3_remove_repeats,
@@ -69,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pack_sequences": op5_pack_sequences,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_exact_duplicates": op8_exact_duplicates,
+    "op10_toxicity": op10_toxicity,
 }
 
 NORMALISED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
