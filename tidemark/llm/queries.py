@@ -11,6 +11,7 @@ from tidemark.llm.common import table
 from tidemark.llm.exact_dups import exact_duplicates
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dups import near_duplicates
+from tidemark.llm.neighbours import nearest_neighbours
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.records import read_records, records_folder, write_records
 from tidemark.llm.suffix_dedup import remove_repeats
@@ -54,6 +55,11 @@ def op5_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"), END_ID)
 
 
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten neighbours of every hundredth vector, among all others."""
+    return nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Classes and components of texts that share 85 % of their five-word shingles."""
     return near_duplicates(table(spark, folder, "documents"), threshold_percent=85)
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_remove_repeats": op3_remove_repeats,
     "op4_token_records": op4_token_records,
     "op5_pack_sequences": op5_pack_sequences,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_exact_duplicates": op8_exact_duplicates,
     "op10_toxicity": op10_toxicity,
