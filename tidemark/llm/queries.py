@@ -15,6 +15,7 @@ from tidemark.llm.neighbours import nearest_neighbours
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.records import read_records, records_folder, write_records
 from tidemark.llm.suffix_dedup import remove_repeats
+from tidemark.llm.surrogates import pseudonymise
 from tidemark.llm.toxicity import held_out, train, with_scores
 
 #: The end-of-document id that the sinks append.
@@ -23,6 +24,9 @@ END_ID = 2
 #: No source is repeated more than this many times as often as the one repeated least.
 MAX_REPEATS = 2.0
 
+#: Key of the registered query; a deployment keeps its own one secret.
+SURROGATE_KEY = "registered query"
+
 
 def tokenizer(name: str) -> str:
     import public_tokenizers
@@ -69,6 +73,13 @@ def op8_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+def op9_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text with surrogates in place of personal data."""
+    return pseudonymise(table(spark, folder, "documents"), SURROGATE_KEY).withColumn(
+        "text_sha256", F.sha2(F.encode("text", "UTF-8"), 256)
+    )
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Score of every text, learned from the labelled rows that are not held out."""
     docs = table(spark, folder, "documents")
@@ -89,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_exact_duplicates": op8_exact_duplicates,
+    "op9_surrogates": op9_surrogates,
     "op10_toxicity": op10_toxicity,
 }
 
