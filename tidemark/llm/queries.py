@@ -16,6 +16,7 @@ from tidemark.llm.packing import pack_documents
 from tidemark.llm.records import read_records, records_folder, write_records
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.surrogates import pseudonymise
+from tidemark.llm.token_counts import token_counts
 from tidemark.llm.toxicity import held_out, train, with_scores
 
 #: The end-of-document id that the sinks append.
@@ -40,6 +41,15 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return drawn.withColumnRenamed("id", "doc_id")
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every text under a unigram model of a public byte vocabulary."""
+    import public_tokenizers
+
+    return token_counts(
+        table(spark, folder, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
 def op3_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of each text without strings of 100 bytes that start earlier too."""
     return remove_repeats(table(spark, folder, "documents"), threshold=100)
@@ -94,6 +104,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_token_counts": op2_token_counts,
     "op3_remove_repeats": op3_remove_repeats,
     "op4_token_records": op4_token_records,
     "op5_pack_sequences": op5_pack_sequences,
