@@ -1,0 +1,40 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+from tests.llm.conftest import odd_rows, table
+from tidemark.llm.exact_dups import drop_exact_duplicates, exact_duplicates
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def expected(rows):
+    groups = {}
+    for i, t, *_ in rows:
+        groups.setdefault((t or "").translate(LOWER), []).append(i)
+    for i, t, *_ in rows:
+        same = groups[(t or "").translate(LOWER)]
+        keep = max((x for x in same if x is not None), default=None)
+        yield i, keep, len(same), i == keep, hashlib.sha256((t or "").translate(LOWER).encode()).hexdigest()
+
+
+def test_odd_rows(odd):
+    found = Counter(map(tuple, exact_duplicates(odd).collect()))
+    assert found == Counter(expected(odd_rows()))
+
+
+def test_prefixes_and_lengths_alone_prove_nothing(spark):
+    rows = [(1, "same start, A"), (2, "same start, b"), (3, "same start, a"), (4, "other text, x")]
+    for prefix in (4, 128):
+        found = Counter(map(tuple, exact_duplicates(table(spark, *rows), prefix=prefix).collect()))
+        assert found == Counter(expected(rows))
+
+
+def test_dropping(odd, nothing):
+    kept = drop_exact_duplicates(odd)
+    assert kept.columns == odd.columns
+    texts = Counter((r.text or "").translate(LOWER) for r in kept.collect())
+    assert set(texts.values()) == {1}
+    assert set(texts) == {(t or "").translate(LOWER) for _, t, *_ in odd_rows()}
+    assert drop_exact_duplicates(nothing).count() == exact_duplicates(nothing).count() == 0

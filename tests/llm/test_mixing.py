@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import math
+from collections import Counter, defaultdict
+
+import pytest
+
+from tests.llm.conftest import odd_rows
+from tidemark.llm.mixing import mix, mixed_documents, weights
+
+
+def sizes(spark, *tokens):
+    return spark.createDataFrame([(f"s{i}", t, t) for i, t in enumerate(tokens)], "source string, tokens long, docs long")
+
+
+def test_entropy_target_is_met(spark):
+    for target in (0.9, 1.2, math.log(4) - 1e-4):
+        w = [r.weight for r in weights(sizes(spark, 1000, 200, 50, 10), entropy=target, budget=10).collect()]
+        assert sum(w) == pytest.approx(1)
+        assert -sum(x * math.log(x) for x in w) == pytest.approx(target, abs=1e-6)
+
+
+def test_repetition_limit_is_met(spark):
+    rows = weights(sizes(spark, 1000, 200, 50, 10), max_repeats=3.0).collect()
+    repeats = [r.quota / r.tokens for r in rows]
+    assert min(repeats) == 1 and max(repeats) == pytest.approx(3, rel=0.05)
+    equal = weights(sizes(spark, 1000, 500), max_repeats=8.0).collect()
+    assert [r.weight for r in equal] == pytest.approx([0.5, 0.5])
+
+
+def test_one_target_must_be_given(spark):
+    with pytest.raises(ValueError, match="max_repeats or entropy"):
+        weights(sizes(spark, 1))
+
+
+def test_draws_of_odd_rows(odd, nothing):
+    draws = mix(odd, max_repeats=4.0, block_docs=2).collect()
+    by_source = defaultdict(list)
+    for r in draws:
+        by_source[r.source].append(r)
+    units = {(r[3], r[0]) for r in odd_rows()}
+    assert {(r.source, r.id) for r in draws} == units  # nothing is left out
+    for source, rows in by_source.items():
+        rows.sort(key=lambda r: r.start)
+        at = 0
+        for r in rows:  # a gapless stream that ends as it passes the quota
+            assert r.start == at
+            at += r.tokens
+        assert rows[-1].start < rows[0].quota <= at
+        per_epoch = Counter(r.epoch for r in rows)
+        full = len({i for s, i in units if s == source})
+        assert all(n == full for e, n in per_epoch.items() if e < max(per_epoch))
+        for e in per_epoch:  # each epoch is a permutation, blocks stay together
+            ids = [r.id for r in rows if r.epoch == e]
+            blocks = [r.block for r in rows if r.epoch == e]
+            assert len(set(ids)) == len(ids)
+            assert len([b for i, b in enumerate(blocks) if i == 0 or blocks[i - 1] != b]) == len(set(blocks))
+    assert mix(nothing, max_repeats=2.0).count() == 0
+
+
+def test_budget_and_seed(odd):
+    small = mix(odd, max_repeats=4.0, budget=100, block_docs=2).collect()
+    assert sum(r.tokens for r in small if r.start + r.tokens <= r.quota) <= 100
+    order = lambda seed: [r.id for r in sorted(mix(odd, max_repeats=4.0, seed=seed).where("source = 'src1'").collect(), key=lambda r: r.start)]
+    assert order(1) == order(1) != order(2)
+
+
+def test_mixed_documents(odd, nothing):
+    mixed = mixed_documents(odd, max_repeats=3.0)
+    assert mixed.columns == odd.columns
+    draws = Counter((r.source, r.id) for r in mix(odd, max_repeats=3.0).collect())
+    input_rows = Counter(odd_rows())
+    found = Counter(map(tuple, mixed.collect()))
+    assert found == Counter({row: n * draws[row[3], row[0]] for row, n in input_rows.items()})
+    assert mixed_documents(nothing, max_repeats=2.0).count() == 0
