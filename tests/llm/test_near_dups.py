@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import SCHEMA, odd_rows, table, words
+from tidemark.llm import near_dups
+from tidemark.llm.components import components
+from tidemark.llm.near_dups import (
+    agreeing,
+    drop_near_duplicates,
+    fewest_agreeing,
+    minima,
+    near_duplicates,
+    packed,
+    shingle_sets,
+    similarity,
+)
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LOWEST = -(2**63)
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def brute_force(rows, percent):
+    """(id, set size, component) of each row by comparing all pairs."""
+    sets = [(LOWEST if i is None else i, shingles(t)) for i, t in rows]
+    parent = {i: i for i, _ in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[:n]:
+            if a & b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    back = lambda i: None if i == LOWEST else i
+    return Counter((back(i), len(s), back(root(i))) for i, s in sets)
+
+
+def found(df, percent=85):
+    rows = near_duplicates(df, percent).collect()
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+    return Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows)
+
+
+def edited(text, n, made):
+    w = text.split(" ")
+    for _ in range(n):
+        w[made.randrange(len(w))] = "edit" + str(made.randrange(10**6))
+    return " ".join(w)
+
+
+def test_odd_rows(odd, nothing):
+    assert found(odd) == brute_force([(r[0], r[1]) for r in odd_rows()], 85)
+    assert near_duplicates(nothing).count() == drop_near_duplicates(nothing).count() == 0
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_groups_of_copies_around_the_threshold(spark, monkeypatch, block):
+    """Copies of copies: some reach each other only through a third text."""
+    monkeypatch.setattr(near_dups, "BLOCK", block)
+    made = random.Random(5)
+    rows = []
+    for group in range(6):
+        base = words(100 + group, 200)
+        for n in range(12):
+            text = edited(base, made.choice((1, 2, 3, 4, 6)), made)
+            rows += [(len(rows), text)] * made.choice((1, 1, 2))
+            if n % 4 == 0:
+                base = text
+    rows += [(10_000 + i, words(500 + i, 150)) for i in range(40)]
+    made.shuffle(rows)
+    for percent in (85, 80):
+        assert found(table(spark, *rows), percent) == brute_force(rows, percent)
+
+
+def test_a_bucket_returns_joining_links_only(spark):
+    """A search in one bucket gives no more links than members, whatever the pairs."""
+    made = random.Random(1)
+    base = words(9, 300)
+    texts = [edited(base, 1, made).encode() for _ in range(60)]
+    data, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    sets = shingle_sets(data, bounds)
+    group = pa.table(
+        {
+            "id": pa.array(range(60), pa.int64()),
+            "component": pa.array(range(60), pa.int64()),
+            "block": pa.array([0] * 60, pa.int64()),
+            "signature": list(packed(minima(sets)).view(np.int64)),
+            "shingles": [s.tobytes() for s in sets],
+        }
+    )
+    key = (pa.scalar(1), pa.scalar(0), pa.scalar(0))
+    assert near_dups.bridges(key, group, fewest_agreeing(0.85), 85).num_rows == 59
+
+
+def test_estimate_is_corrected_for_chance(spark):
+    made = random.Random(3)
+    base = words(11, 600)
+    pairs = [(base, edited(base, n, made)) for n in (0, 5, 20, 60)] + [(base, words(12, 600))]
+    for a, b in pairs:
+        data = (a.encode(), b.encode())
+        sets = shingle_sets(np.frombuffer(data[0] + data[1], np.uint8), np.array([0, len(data[0]), len(data[0]) + len(data[1])]))
+        true = len(np.intersect1d(*sets)) / len(np.union1d(*sets))
+        x, y = packed(minima(sets)).view(np.int64).tolist()
+        row = spark.createDataFrame([(x, y)], "x array<long>, y array<long>")
+        got = row.select(similarity(agreeing(F.col("x"), F.col("y")))).first()[0]
+        assert got == pytest.approx(true, abs=0.2)
+
+
+def test_components_of_a_path_and_a_star(spark):
+    links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
+    rows = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.id: r.component for r in rows} == {i: 0 for i in range(51)} | {i: 100 for i in range(100, 160)}
+
+
+def test_dropping(spark, odd):
+    kept = drop_near_duplicates(odd)
+    assert kept.columns == [f.name for f in SCHEMA.fields]
+    expected = Counter(i for (i, _, c), n in brute_force([(r[0], r[1]) for r in odd_rows()], 85).items() for _ in range(n) if i == c)
+    assert Counter(r.doc_id for r in kept.collect()) == expected

@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from tests.llm.conftest import odd_rows, table, words
+from tidemark.llm.suffix_dedup import remove_repeats
+
+
+def brute_force(rows, threshold):
+    """Result rows of (id, text). Places are ordered by id, start and checksum of the text; a repeated
+    row is the same document."""
+    place = lambda doc, s: (doc[0] is not None, doc[0] or 0, s, zlib.crc32((doc[1] or "").encode()))
+    seen, result = {}, {}
+    for doc in set(rows):
+        data = (doc[1] or "").encode()
+        for s in range(len(data) - threshold + 1):
+            string = data[s : s + threshold]
+            seen[string] = min(seen.get(string, place(doc, s)), place(doc, s))
+    for doc in set(rows):
+        data = (doc[1] or "").encode()
+        cover = bytearray(len(data))
+        for s in range(len(data) - threshold + 1):
+            if seen[data[s : s + threshold]] != place(doc, s):
+                cover[s : s + threshold] = b"\1" * threshold
+        kept = bytes(b for b, c in zip(data, cover, strict=True) if not c)
+        result[doc] = (doc[0], len(data), sum(cover), len(re.findall(b"\1+", bytes(cover))), hashlib.sha256(kept).hexdigest())
+    return Counter(result[r] for r in rows)
+
+
+def found(df, threshold=100):
+    return Counter(map(tuple, remove_repeats(df, threshold).collect()))
+
+
+def test_odd_rows(odd, nothing):
+    assert found(odd) == brute_force([(r[0], r[1]) for r in odd_rows()], 100)
+    assert remove_repeats(nothing).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [50, 100, 131])
+def test_shared_passages_at_any_place(spark, threshold):
+    made = random.Random(threshold)
+    passages = [words(200 + i, 60)[: made.randint(threshold - 15, 3 * threshold)] for i in range(8)]
+    rows = []
+    for i in range(60):
+        parts = [words(1000 + i * 7 + k, made.randint(0, 30)) for k in range(4)]
+        for k in (1, 2):
+            if made.random() < 0.7:
+                whole = made.choice(passages)
+                begin = made.randint(0, 40)
+                parts.insert(k, made.choice(("", " ", "é")) + whole[begin : begin + made.randint(20, 400)])
+        rows.append((i * 3, "".join(parts)))
+    rows += [(500, rows[3][1]), (501, rows[3][1][5:]), (502, "ab" * 400), (503, "z" * 700), (504, "ab" * 90 + "z" * 120)]
+    made.shuffle(rows)
+    assert found(table(spark, *rows).repartition(4), threshold) == brute_force(rows, threshold)
+
+
+def test_a_string_is_repeated_from_its_full_length_on(spark):
+    text = words(7, 40)[:100]
+    assert found(table(spark, (1, "<" + text + ">"), (2, "[" + text + "]"))) == brute_force([(1, "<" + text + ">"), (2, "[" + text + "]")], 100)
+    cut = text[:99]
+    assert all(r[2] == 0 for r in found(table(spark, (1, "<" + cut + ">"), (2, "[" + cut + "]"))))
+
+
+def test_kept_text(spark):
+    text = words(8, 60)
+    rows = {r.doc_id: bytes(r.kept).decode() for r in remove_repeats(table(spark, (1, text), (2, "own " + text)), with_text=True).collect()}
+    assert rows == {1: text, 2: "own "}
+    with pytest.raises(ValueError, match="threshold"):
+        remove_repeats(table(spark, (1, text)), 20)
