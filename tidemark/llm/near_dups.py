@@ -9,9 +9,10 @@
    of low bits that agree by chance; pairs six deviations below the threshold go.
 4. The others are confirmed on the full sets, and linked texts become components.
 5. A bucket whose other members still lie in several components is searched in full: its members
-   are dealt to blocks, pairs of blocks estimate on packed signatures, and what passes is confirmed.
-   So no link that the bands propose is lost, whatever a bucket's size, and one row stands for every
-   pair that the components already join.
+   are dealt to blocks with their sets, and a task compares two blocks on packed signatures and then on
+   the sets. A link it finds joins the components there and then, so it returns no more links than it has
+   members, and pairs that components already join are not looked at. So no link that the bands
+   propose is lost that would change a component, whatever a bucket's size.
 
 Nothing is collected; hot classes and buckets are combined before the shuffle or met in sort-merge joins
 on stored tables, which adaptive execution splits. Texts of candidates are shuffled once.
@@ -157,8 +158,8 @@ def confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             one, other = known[x], set_of(y)
             if min(len(one), len(other)) * 100 < percent * max(len(one), len(other)):
                 continue
-            common = len(np.intersect1d(one, other, assume_unique=True))
-            if common and 100 * common >= percent * (len(one) + len(other) - common):
+            both = common(one, other)
+            if both and 100 * both >= percent * (len(one) + len(other) - both):
                 keep.append(i)
         yield pa.RecordBatch.from_arrays(
             [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"]
@@ -170,24 +171,48 @@ def set_of(text: str) -> np.ndarray:
     return shingle_sets(data, np.array([0, len(data)]))[0]
 
 
-def plausible(key: tuple, table: pa.Table, fewest: int) -> pa.Table:
-    """Pairs of different components in one block of a bucket, or between two, that may be links."""
+def common(one: np.ndarray, other: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    place = np.searchsorted(other, one)
+    return int((other[np.minimum(place, len(other) - 1)] == one).sum())
+
+
+def bridges(key: tuple, table: pa.Table, fewest: int, percent: int) -> pa.Table:
+    """Links between different components in one block of a bucket, or between two blocks, as many as
+    it takes to join them."""
     low, high = key[1].as_py(), key[2].as_py()
     ids, comps, blocks = (table.column(n).to_numpy() for n in ("id", "component", "block"))
     words = np.array(table.column("signature").to_pylist(), np.int64).reshape(-1, LONGS).view(np.uint64)
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+    sizes = np.array([len(s) for s in sets])
     ones = np.uint64(sum(1 << BITS * i for i in range(PER_LONG)))
+    _, group = np.unique(comps, return_inverse=True)  # joined as links are found
     left, right = np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
     found = []
     for i in left:
-        x = words[i] ^ words[right]
+        near = right[(group[right] != group[i]) & (np.minimum(sizes[right], sizes[i]) * 100 >= percent * np.maximum(sizes[right], sizes[i]))]
+        if low == high:
+            near = near[ids[near] > ids[i]]
+        x = words[i] ^ words[near]
         x |= x >> np.uint64(2)
         x |= x >> np.uint64(1)
         agree = MINIMA - np.bitwise_count(x & ones).sum(axis=1)
-        near = right[(agree >= fewest) & (comps[right] != comps[i])]
-        found += [(ids[i], ids[j]) for j in near if low != high or ids[i] < ids[j]]
-    a = [min(p) for p in found]
-    b = [max(p) for p in found]
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        for j in near[np.argsort(-agree, kind="stable")[: (agree >= fewest).sum()]]:
+            if group[i] == group[j]:
+                continue
+            both = common(sets[i], sets[j])
+            if both and 100 * both >= percent * (sizes[i] + sizes[j] - both):
+                found.append((ids[i], ids[j]))
+                group[group == group[j]] = group[i]
+    return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+
+
+def shingle_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to the id and its set as bytes."""
+    for batch in batches:
+        for ids, data, bounds in runs(batch):
+            sets = [s.tobytes() for s in shingle_sets(data, bounds)]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["id", "shingles"])
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -211,7 +236,8 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, threshold_percent: int = 85, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept, class_id, links (of its class)."""
+    """One row per document: id, n_shingles, component_id, kept, class_id (the smallest id with
+    an equal set)."""
     spark = docs.sparkSession
     fewest = fewest_agreeing(threshold_percent / 100)
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
@@ -248,34 +274,39 @@ def near_duplicates(
     )
     split, split_path = store(split.where("low <> high").select("band", "n"), "split")
     if not split.isEmpty():
+        # bands with the same members need one search
+        same = placed.join(split, "band").groupBy("band", "n").agg(F.sum(F.xxhash64("id") % 2**31).alias("of"))
+        one_each = same.groupBy("of", "n").agg(F.min("band").alias("band"))
         blocks = F.ceil(F.col("n") / BLOCK)
         block = F.pmod(F.xxhash64("id"), blocks)
         other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+        searched = placed.join(one_each, "band")
+        sets = texts.join(searched.select("id").distinct(), "id", "left_semi").mapInArrow(
+            shingle_bytes, "id long, shingles binary"
+        )
+        sets, sets_path = store(sets, "sets")
         dealt = (
-            placed.join(split, "band").join(signatures, "id")
+            searched.join(signatures, "id")
             .select("id", "component", "signature", "band", block.alias("block"), other)
             .select(
                 "id", "component", "signature", "band", "block",
                 F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
             )
+            .join(sets, "id")
         )
 
         def search(key: tuple, group: pa.Table) -> pa.Table:
-            return plausible(key, group, fewest)
+            return bridges(key, group, fewest, threshold_percent)
 
         more = dealt.groupBy("band", "low", "high").applyInArrow(search, "a long, b long").distinct()
-        more, more_path = store(more, "pairs")
-        links = links.unionAll(confirmed(more, texts, threshold_percent))
+        links, _ = store(links.unionAll(more), "links")
         found = components(links)
-        release(spark, more_path)
+        release(spark, sets_path)
     for path in (buckets_path, members_path, signatures_path, pairs_path, split_path):
         release(spark, path)
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
-    named = (
-        classes.join(found.withColumnRenamed("id", "class"), "class", "left")
-        .join(degree, "class", "left")
-        .withColumn("component", F.coalesce("component", "class"))
+    named = classes.join(found.withColumnRenamed("id", "class"), "class", "left").withColumn(
+        "component", F.coalesce("component", "class")
     )
     named, _ = store(named, "classes")
     component = F.coalesce("component", "id")
@@ -286,7 +317,6 @@ def near_duplicates(
         null_back(component).alias("component_id"),
         (F.col("id") == component).alias("kept"),
         null_back(F.coalesce("class", "id")).alias("class_id"),
-        F.coalesce("links", F.lit(0)).alias("links"),
     )
 
 
