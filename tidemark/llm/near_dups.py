@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NULL_ID, free_name, text_of
+from tidemark.llm.common import NULL_ID, arrow_rows, free_name, text_of
 from tidemark.llm.components import components
 from tidemark.llm.words import mixed, runs, spread_words
 from tidemark.scratch import release, store
@@ -43,6 +43,9 @@ BITS = 4
 PER_LONG = 64 // BITS
 LONGS = MINIMA // PER_LONG
 
+#: Texts in an Arrow batch.
+BATCH = 1_000
+
 #: Members of a bucket that one task compares with each other.
 BLOCK = 2048
 
@@ -224,7 +227,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return confirm(batches, percent)
 
-    return store(both.sortWithinPartitions("a").mapInArrow(run, "a long, b long"), "confirmed")[0]
+    with arrow_rows(pairs.sparkSession, BATCH):
+        return store(both.sortWithinPartitions("a").mapInArrow(run, "a long, b long"), "confirmed")[0]
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -242,7 +246,8 @@ def near_duplicates(
     fewest = fewest_agreeing(threshold_percent / 100)
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     rows = docs.select(number.alias("id"), text_of(text_col).alias("text"))
-    signed, _ = store(rows.mapInArrow(sign, SIGNATURES), "signatures")
+    with arrow_rows(spark, BATCH):
+        signed, _ = store(rows.mapInArrow(sign, SIGNATURES), "signatures")
     filled = signed.where("n_shingles > 0")
     same_set = ["n_shingles", "set_a", "set_b"]
     classes, _ = store(filled.groupBy(*same_set).agg(F.min("id").alias("class")), "classes")
@@ -284,7 +289,8 @@ def near_duplicates(
         sets = texts.join(searched.select("id").distinct(), "id", "left_semi").mapInArrow(
             shingle_bytes, "id long, shingles binary"
         )
-        sets, sets_path = store(sets, "sets")
+        with arrow_rows(spark, BATCH):
+            sets, sets_path = store(sets, "sets")
         dealt = (
             searched.join(signatures, "id")
             .select("id", "component", "signature", "band", block.alias("block"), other)
