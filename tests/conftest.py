@@ -15,7 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tidemark.spec import FeedSpec, Target  # noqa: E402
 
-START = date(2020, 11, 13)
+START = date(2021, 3, 5)
 
 SCHEMA = (
     T.StructType()

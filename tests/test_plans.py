@@ -23,8 +23,8 @@ def plan(df) -> str:
 @pytest.fixture
 def filled(feed):
     feed.load("LOAD1.parquet", {"id": 1, "name": "a", "day": START})
-    feed.write("20201113-1.parquet", change("U", "2020-11-13 08:00:00", 1, "b", day=START))
-    feed.write("20201114-1.parquet", change("U", "2020-11-14 08:00:00", 1, "c", day=START))
+    feed.write("20210305-1.parquet", change("U", "2021-03-05 08:00:00", 1, "b", day=START))
+    feed.write("20210306-1.parquet", change("U", "2021-03-06 08:00:00", 1, "c", day=START))
     return feed
 
 
@@ -42,7 +42,7 @@ def test_first_snapshot_needs_no_join(spark, filled, target):
 
 def test_sort_merge_reuses_the_shuffle_of_the_ranking(spark, filled, target):
     run_snapshot(spark, filled.spec(), START, target)
-    text = plan(build_snapshot(spark, filled.spec(), "2020-11-14", target))
+    text = plan(build_snapshot(spark, filled.spec(), "2021-03-06", target))
     assert "SortMergeJoin" in text and "FullOuter" in text
     assert text.count("Exchange hashpartitioning") == 2
 
@@ -50,7 +50,7 @@ def test_sort_merge_reuses_the_shuffle_of_the_ranking(spark, filled, target):
 def test_sort_merge_with_a_bucketed_snapshot_shuffles_the_changes_only(spark, filled, target):
     target = replace(target, buckets=4)
     run_snapshot(spark, filled.spec(), START, target)
-    merged = build_snapshot(spark, filled.spec(), "2020-11-14", target)
+    merged = build_snapshot(spark, filled.spec(), "2021-03-06", target)
     text = plan(merged)
     assert "FullOuter" in text and "Bucketed: true" in text
     old = text[text.index("SortMergeJoin") : text.index("Bucketed: true")]
@@ -61,7 +61,7 @@ def test_sort_merge_with_a_bucketed_snapshot_shuffles_the_changes_only(spark, fi
 def test_broadcast_merge_never_shuffles_the_old_rows(spark, filled, target):
     run_snapshot(spark, filled.spec(), START, target)
     options = RunOptions(merge="broadcast_delta")
-    text = plan(build_snapshot(spark, filled.spec(), "2020-11-14", target, options=options))
+    text = plan(build_snapshot(spark, filled.spec(), "2021-03-06", target, options=options))
     assert "SortMergeJoin" not in text
     # The one shuffle left makes the keys found in both sides distinct.
     (shuffle,) = re.findall(r"Exchange hashpartitioning\((.*?)\)", text)
@@ -70,8 +70,8 @@ def test_broadcast_merge_never_shuffles_the_old_rows(spark, filled, target):
 
 def test_old_partition_is_pruned(spark, filled, target):
     run_snapshot(spark, filled.spec(), START, target, "partitioned")
-    text = plan(build_snapshot(spark, filled.spec(), "2020-11-14", target, "partitioned"))
-    assert re.search(r"PartitionFilters: \[.*dt#\d+ = 2020-11-14", text)
+    text = plan(build_snapshot(spark, filled.spec(), "2021-03-06", target, "partitioned"))
+    assert re.search(r"PartitionFilters: \[.*dt#\d+ = 2021-03-06", text)
 
 
 def test_scan_reads_only_what_is_needed(spark, filled):
@@ -94,4 +94,20 @@ def test_merge_of_a_stored_frame_reads_null_keys_by_pushdown(spark, filled):
 
 def test_scratch_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
-    assert scratch_root(spark) == named.rstrip("/") if named else scratch_root(spark)
+    if named:
+        assert scratch_root(spark) == named.rstrip("/")
+    else:
+        assert scratch_root(spark) and scratch_root(spark) == scratch_root(spark)
+
+
+def test_scratch_of_a_cluster_must_be_named():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Cluster())

@@ -432,3 +432,71 @@ def test_malformed_time_fails_without_ansi_too(spark, feed, target):
         rows(build_snapshot(session, feed.spec(), D[0], target))
     options = RunOptions(bad_timestamp="drop")
     assert rows(build_snapshot(session, feed.spec(), D[0], target, options=options), "id") == [(2,)]
+
+
+def test_counts_of_missing_empty_and_out_of_window_feeds(spark, feed, target):
+    options = RunOptions(count_rows=True)
+    nothing = {"read": 0, "undated": 0, "too_early": 0, "too_late": 0}
+    missing = feed.spec(path=str(feed.folder / "missing"))
+    assert run_snapshot(spark, missing, D[0], target, options=options).rows == nothing
+    assert run_snapshot(spark, feed.spec(), D[1], target, options=options).rows == nothing
+    feed.write(file(D[5]), change("U", at(D[5]), 1, "later"))
+    assert run_snapshot(spark, feed.spec(), D[2], target, options=options).rows == nothing
+    assert published(spark, target) == []
+
+
+@pytest.mark.parametrize("merge", ["broadcast_delta", "sort_merge"])
+def test_counts_are_the_same_for_every_merge(spark, feed, target, merge):
+    feed.write(file(D[0]), change("U", at(D[0]), 1, "a"), change("U", at(D[1]), 2, "too late"))
+    report = run_snapshot(spark, feed.spec(), D[0], target, options=RunOptions(count_rows=True, merge=merge))
+    assert report.rows == {"read": 2, "undated": 0, "too_early": 0, "too_late": 1}
+
+
+def test_dates_are_checked_before_any_work(spark, feed, target, monkeypatch):
+    feed.load("LOAD1.parquet", person(1, "a"))
+    run_snapshot(spark, feed.spec(), D[2], target)
+
+    def resume(*_):
+        raise AssertionError("work before the checks")
+
+    monkeypatch.setattr("tidemark.plans.run.resume", resume)
+    for day, message in ((D[1], "last published"), (D[0] - timedelta(days=1), "cdc_start_date"), ("today", "today")):
+        with pytest.raises(ValueError, match=message):
+            run_snapshot(spark, feed.spec(), day, target)
+
+
+@pytest.mark.parametrize("merge", ["broadcast_delta", "sort_merge"])
+def test_bucketed_versions_keep_one_file_a_bucket(spark, feed, target, merge):
+    feed.load("LOAD1.parquet", *[person(i, "a") for i in range(200)])
+    for day in D[1:4]:
+        feed.write(file(day), *[change("U", at(day), i, str(day)) for i in range(150, 260)])
+    target = replace(target, buckets=4)
+    for day in (D[0], D[1], D[2], D[3], D[3]):
+        run_snapshot(spark, feed.spec(), day, target, options=RunOptions(merge=merge))
+        names = [r.name for r in spark.table(target.table).selectExpr("_metadata.file_name AS name").distinct().collect()]
+        assert len(names) == 4
+    assert spark.table(target.table).count() == 260
+
+
+def test_malformed_partition_dates_follow_the_policy(spark, feed, target):
+    schema = "id int, name string, city string"
+    spec = replace(feed.spec(), schema=T.StructType.fromDDL(schema), partition_date="city")
+    feed.write(
+        file(D[0]), change("U", at(D[0]), 1, "a", city=str(D[0])), change("U", at(D[0]), 2, "b", city="soon"),
+        columns=["Op", "cdc_timestamp", "id", "name", "city"],
+    )
+    run_snapshot(spark, spec, D[0], target, PARTITIONED, RunOptions(bad_timestamp="drop"))
+    assert published(spark, target, "id") == [(1,)]
+    with pytest.raises(Exception, match="soon"):
+        run_snapshot(spark, spec, D[0], target, PARTITIONED)
+
+
+def test_a_run_leaves_no_scratch(spark, feed, target, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.scratch.scratch_root", lambda _: str(tmp_path))
+    feed.load("LOAD1.parquet", person(1, "a"))
+    for _ in range(2):
+        run_snapshot(spark, feed.spec(), D[0], target, options=RunOptions(count_rows=True))
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr("tidemark.plans.run.publish", lambda *_: (_ for _ in ()).throw(RuntimeError()))
+        run_snapshot(spark, feed.spec(), D[0], target)
+    assert not list((tmp_path / "tidemark").glob("*"))

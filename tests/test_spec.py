@@ -9,13 +9,13 @@ from pyspark.sql import types as T
 from tests.conftest import SCHEMA, START, change, rows
 from tidemark import FeedSpec, RunOptions, Target, build_snapshot, job, run_snapshot
 from tidemark.functions.dates import as_date
-from tidemark.sinks.tables import create_or_insert
+from tidemark.sinks.tables import write_table
 
 
 def test_dates():
-    assert as_date("2020-11-13") == date(2020, 11, 13)
+    assert as_date("2021-03-05") == date(2021, 3, 5)
     assert as_date(date(2020, 1, 2)) == date(2020, 1, 2)
-    for wrong in ("2020-1-3", "20201113", "2020-11-13 ", "2020-13-01", "", None, 20201113):
+    for wrong in ("2020-1-3", "20210305", "2021-03-05 ", "2020-13-01", "", None, 20210305):
         with pytest.raises(ValueError):
             as_date(wrong)
     with pytest.raises(ValueError):
@@ -35,7 +35,7 @@ def make(**changes):
 
 
 def test_schemas():
-    spec = make(partition_date="day", cdc_start_date="2020-11-13")
+    spec = make(partition_date="day", cdc_start_date="2021-03-05")
     assert spec.envelope.fieldNames() == ["Op", "cdc_timestamp", "id", "name", "city", "day"]
     assert spec.snapshot_schema().fieldNames() == ["id", "name", "city", "day"]
     assert spec.snapshot_schema("partitioned").fields[-1] == T.StructField("dt", T.DateType())
@@ -56,7 +56,7 @@ def test_schemas():
         {"schema": T.StructType().add("id", "integer").add("ID", "string")},
         {"schema": T.StructType().add("id", T.MapType(T.StringType(), T.StringType()))},
         {"schema": T.StructType().add("id", "date").add("dt", "date"), "partition_date": "id"},
-        {"cdc_start_date": "13.11.2020"},
+        {"cdc_start_date": "05.03.2021"},
     ],
 )
 def test_spec_refuses(wrong):
@@ -73,34 +73,34 @@ def test_options_refuse():
 def test_guards(spark, feed, target):
     feed.load("LOAD1.parquet", {"id": 1, "name": "a", "day": START})
     with pytest.raises(ValueError, match="cdc_start_date"):
-        build_snapshot(spark, feed.spec(), "2020-11-12", target)
-    run_snapshot(spark, feed.spec(), "2020-11-15", target)
+        build_snapshot(spark, feed.spec(), "2021-03-04", target)
+    run_snapshot(spark, feed.spec(), "2021-03-07", target)
     with pytest.raises(ValueError, match="last published"):
-        run_snapshot(spark, feed.spec(), "2020-11-14", target)
-    run_snapshot(spark, feed.spec(), "2020-11-15", target)
+        run_snapshot(spark, feed.spec(), "2021-03-06", target)
+    run_snapshot(spark, feed.spec(), "2021-03-07", target)
     with pytest.raises(ValueError, match="partition_date"):
-        build_snapshot(spark, feed.spec(partition_date=None), "2020-11-16", target, "partitioned")
-    with pytest.raises(ValueError, match="schema_overwrite"):
-        create_or_insert(spark.range(1), target, partition_keys=["id"], version="2020-11-15")
+        build_snapshot(spark, feed.spec(partition_date=None), "2021-03-08", target, "partitioned")
+    with pytest.raises(ValueError, match="versions"):
+        write_table(spark.range(1), target, partition_keys=["id"], version="2021-03-07")
     with pytest.raises(ValueError, match="mode"):
-        build_snapshot(spark, feed.spec(), "2020-11-16", target, "weekly")
+        build_snapshot(spark, feed.spec(), "2021-03-08", target, "weekly")
 
 
 def test_cli_args(spark, feed, target, tmp_path):
     feed.load("LOAD1.parquet", {"id": 1, "name": "a", "day": START})
-    feed.write("20201113-1.parquet", change("U", "2020-11-13 08:00:00", 1, "b", day=START))
+    feed.write("20210305-1.parquet", change("U", "2021-03-05 08:00:00", 1, "b", day=START))
     feeds = {
         "people": {
             "path": str(feed.folder),
             "primary_keys": ["id"],
             "partition_date": "day",
-            "cdc_start_date": "2020-11-13",
+            "cdc_start_date": "2021-03-05",
             "schema": "id int, name string, city string, day date",
         }
     }
     (tmp_path / "feeds.json").write_text(json.dumps(feeds))
     common = ["--feeds", str(tmp_path / "feeds.json"), "--output-table", target.table]
-    common += ["--output-root", target.root, "--processing-date", "2020-11-13"]
+    common += ["--output-root", target.root, "--processing-date", "2021-03-05"]
     with pytest.raises(ValueError, match="people"):
         job.main([*common, "--input-table", "nobody"], spark)
     report = job.main([*common, "--input-table", "people", "--partitioned"], spark)
@@ -109,13 +109,24 @@ def test_cli_args(spark, feed, target, tmp_path):
     with pytest.raises(SystemExit):
         job.parse_args(["--input-table", "people"])
     with pytest.raises(SystemExit):
-        job.parse_args([*common, "--input-table", "people", "--processing-date", "13.11.2020"])
+        job.parse_args([*common, "--input-table", "people", "--processing-date", "05.03.2021"])
 
 
 def test_target_paths():
-    assert Target("t", "/data/t/").version_path(START) == "/data/t/version=2020-11-13"
+    assert Target("t", "/data/t/").version_path(START) == "/data/t/version=2021-03-05"
     for root in ("s3a://bucket/t", "file:/tmp/t", "/t", "a/t", "hdfs:///a/b/t"):
         assert Target("t", root).root == root
     for root in ("s3a://bucket", "s3a://bucket/", "t", "/", ""):
         with pytest.raises(ValueError):
             Target("t", root)
+
+
+def test_job_refuses_a_catalog_in_memory(spark):
+    with pytest.raises(RuntimeError, match="in memory"):
+        job.refuse_catalog_in_memory(spark)
+
+
+def test_job_options(tmp_path):
+    common = "--feeds f --input-table a --output-table b --output-root /c/d --processing-date 2021-03-05".split()
+    args = job.parse_args([*common, "--merge", "sort_merge", "--count-rows", "--no-check-names", "--format", "orc"])
+    assert (args.merge, args.count_rows, args.no_check_names, args.format) == ("sort_merge", True, True, "orc")

@@ -1,10 +1,12 @@
 """spark-submit entry point: bring one table to the state of a date.
 
-    spark-submit --py-files tidemark.zip tidemark/job.py --feeds feeds.json \\
-        --input-table employees --output-table default.employees_snapshot \\
-        --output-root s3a://bucket/employees_snapshot --processing-date 2020-11-13
+    spark-submit --py-files tidemark.zip tidemark/job.py --feeds s3a://lake/conf/feeds.json \\
+        --input-table orders --output-table sales.orders \\
+        --output-root s3a://lake/sales/orders --processing-date 2024-03-01
 
-`feeds.json` maps table names to the settings of `FeedSpec.from_dict`.
+The feeds file maps table names to the settings of `FeedSpec.from_dict`; Spark reads it, so it
+may lie wherever the data may. The job needs a persistent catalog: a run starts from what the
+catalog shows, and one kept in memory forgets every table when its session ends.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--processing-date", required=True, type=as_date, help="YYYY-MM-DD")
     parser.add_argument("--partitioned", action="store_true", help="publish one date partition")
     parser.add_argument("--max-records-per-file", type=int)
+    parser.add_argument("--format", default="parquet", help="format of the table's files")
+    parser.add_argument("--merge", default="broadcast_delta", choices=["broadcast_delta", "sort_merge"])
+    parser.add_argument("--count-rows", action="store_true", help="report rows the dates leave out")
+    parser.add_argument("--no-check-names", action="store_true", help="ignore odd file names")
     parser.add_argument("--buckets", type=int, help="bucket a flat table by its key")
     parser.add_argument("--null-policy", default="keep_old", choices=["keep_old", "overwrite"])
     parser.add_argument("--load-rank", default="first", choices=["first", "processing_date"])
@@ -35,18 +41,26 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def read_feed(path: str, name: str) -> FeedSpec:
-    with open(path, encoding="utf-8") as file:
-        feeds = json.load(file)
+def read_feed(spark: SparkSession, path: str, name: str) -> FeedSpec:
+    feeds = json.loads(spark.read.text(path, wholetext=True).first().value)
     if name not in feeds:
         raise ValueError(f"{path} has no feed {name!r}, only {', '.join(sorted(feeds))}")
     return FeedSpec.from_dict(feeds[name])
 
 
+def refuse_catalog_in_memory(spark: SparkSession) -> None:
+    """A table published into such a catalog would be unknown to the next run."""
+    own = spark.conf.get("spark.sql.catalog.spark_catalog", None)
+    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory" and not own:
+        raise RuntimeError("the session's catalog is kept in memory; configure a persistent one")
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> RunReport:
     args = parse_args(argv)
-    spark = spark or SparkSession.builder.appName(args.output_table).getOrCreate()
-    spec = read_feed(args.feeds, args.input_table)
+    if spark is None:
+        spark = SparkSession.builder.appName(args.output_table).enableHiveSupport().getOrCreate()
+        refuse_catalog_in_memory(spark)
+    spec = read_feed(spark, args.feeds, args.input_table)
     return run_snapshot(
         spark,
         spec,
@@ -54,6 +68,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         Target(
             args.output_table,
             args.output_root,
+            fmt=args.format,
             max_records_per_file=args.max_records_per_file,
             buckets=args.buckets,
         ),
@@ -62,6 +77,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             null_policy=args.null_policy,
             load_rank=args.load_rank,
             bad_timestamp=args.bad_timestamp,
+            merge=args.merge,
+            check_names=not args.no_check_names,
+            count_rows=args.count_rows,
         ),
     )
 

@@ -7,8 +7,9 @@ from datetime import date
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.names import cols
 from tidemark.scratch import store
@@ -21,11 +22,16 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _HIT = "_cdc_hit"
 
 
-def partition_rows(latest: DataFrame, partition_date: str, day: date) -> DataFrame:
+def partition_rows(
+    latest: DataFrame, partition_date: str, day: date, bad_date: str = "fail"
+) -> DataFrame:
     """Latest changes that belong to one date partition, with the date as `dt`.
 
-    Applied after ranking: a key whose newest row is of another day has no row here."""
+    Applied after ranking: a key whose newest row is of another day has no row here.
+    `bad_date` says whether a malformed text date stops the run or leaves its row out."""
     (column,) = cols([partition_date])
+    if bad_date == "drop" and isinstance(latest.schema[partition_date].dataType, T.StringType):
+        column = F.try_to_timestamp(column)
     return latest.withColumn(PARTITION, F.to_date(column)).where(F.col(PARTITION) == F.lit(day))
 
 
@@ -109,10 +115,18 @@ def fits_broadcast(
     Rows are counted first; the bytes of their text form only if the count passes."""
     if delta.count() > max_rows:
         return False
-    size = F.sum(F.length(F.to_json(F.struct(*cols(delta.columns)))))
+    size = F.sum(F.octet_length(F.to_json(F.struct(*cols(delta.columns)))))
     return (delta.agg(size.alias("size")).first().size or 0) <= max_bytes
 
 
+def store_measured(delta: DataFrame, label: str) -> tuple[DataFrame, str, tuple[int, int]]:
+    """Store a frame and count its rows, and the bytes of their text form, on the way."""
+    seen = Observation(f"{label}-size")
+    text = F.octet_length(F.to_json(F.struct(*cols(delta.columns)))).cast("long")
+    stored, path = store(delta.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(text).alias("size")), label)
+    return stored, path, (seen.get["n"], seen.get["size"] or 0)
+
+
 def merge_stored(
     old: DataFrame,
     delta: DataFrame,
@@ -121,10 +135,15 @@ def merge_stored(
     null_policy: str = "keep_old",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    size: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Merge a stored set of changes the cheap way if its size allows."""
+    """Merge a stored set of changes the cheap way if its size allows; `size` is its rows and
+    bytes where `store_measured` has counted them."""
     slim = delta.select(OP, *cols(columns))
-    small = fits_broadcast(slim, max_rows, max_bytes)
+    if size is None:
+        small = fits_broadcast(slim, max_rows, max_bytes)
+    else:
+        small = size[0] <= max_rows and size[1] <= max_bytes
     return (broadcast_merge if small else sort_merge)(old, slim, keys, columns, null_policy)
 
 

@@ -72,7 +72,7 @@ def latest_in_window(
     )
     latest = latest_change(changes, spec.primary_keys, change_order(options.load_rank))
     if mode == PARTITIONED:
-        latest = partition_rows(latest, spec.partition_date, window.as_of)
+        latest = partition_rows(latest, spec.partition_date, window.as_of, options.bad_timestamp)
     return latest
 
 

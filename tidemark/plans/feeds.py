@@ -114,30 +114,22 @@ def load_a(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def previous_a(spark: SparkSession, folder: str, day: date = date(2023, 12, 31)) -> DataFrame:
-    """Customers in credit as the previous snapshot of feed A; the others are new to it."""
-    return (
-        table(spark, folder, "customer")
-        .where(F.col("c_acctbal") >= 0)
-        .select(
-            F.col("c_custkey").alias("user_id"),
-            F.col("c_mktsegment").alias("event_type"),
-            F.col("c_acctbal").alias("value"),
-            F.lit(day).alias("event_date"),
-        )
+    """All suppliers as the previous snapshot of feed A; more users than these have events."""
+    return table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("user_id"),
+        F.col("s_name").alias("event_type"),
+        F.col("s_acctbal").alias("value"),
+        F.lit(day).alias("event_date"),
     )
 
 
 def previous_b(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers in credit as the previous snapshot of feed B."""
-    return (
-        table(spark, folder, "customer")
-        .where(F.col("c_acctbal") >= 0)
-        .select(
-            "c_custkey",
-            F.col("c_acctbal").alias("amount"),
-            F.col("c_mktsegment").alias("priority"),
-            F.lit(date(1994, 12, 31)).alias("order_date"),
-        )
+    """All suppliers as the previous snapshot of feed B, whose keys are customers."""
+    return table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("c_custkey"),
+        F.col("s_acctbal").alias("amount"),
+        F.col("s_name").alias("priority"),
+        F.lit(date(1994, 12, 31)).alias("order_date"),
     )
 
 

@@ -37,14 +37,14 @@ SELECT CAST(NULL AS varchar) AS "Op", CAST({stamp} AS varchar) AS cdc_timestamp,
 FROM customer"""
 
 PREVIOUS_A = """
-SELECT c_custkey AS user_id, c_mktsegment AS event_type, c_acctbal AS value,
+SELECT s_suppkey AS user_id, s_name AS event_type, s_acctbal AS value,
        DATE '2023-12-31' AS event_date
-FROM customer WHERE c_acctbal >= 0"""
+FROM supplier"""
 
 PREVIOUS_B = """
-SELECT c_custkey, c_acctbal AS amount, c_mktsegment AS priority,
+SELECT s_suppkey AS c_custkey, s_acctbal AS amount, s_name AS priority,
        DATE '1994-12-31' AS order_date
-FROM customer WHERE c_acctbal >= 0"""
+FROM supplier"""
 
 COLUMNS_A = ("user_id", "event_type", "value", "event_date")
 COLUMNS_B = ("c_custkey", "amount", "priority", "order_date")
@@ -153,8 +153,8 @@ def _partition(first, day, feed: str = FEED_A) -> str:
 
 def _previous_partition(day) -> str:
     return (
-        "SELECT c_custkey AS user_id, c_mktsegment AS event_type, c_acctbal AS value, "
-        f"DATE '{day}' AS event_date, DATE '{day}' AS dt FROM customer WHERE c_acctbal >= 0"
+        "SELECT s_suppkey AS user_id, s_name AS event_type, s_acctbal AS value, "
+        f"DATE '{day}' AS event_date, DATE '{day}' AS dt FROM supplier"
     )
 
 
@@ -241,6 +241,21 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT '{A_END}', count(*) FROM ({_merged_a}) AS b""",
     "run_flat": _show(_run_flat(), COLUMNS_A),
     "run_flat_bucketed": _show(_run_flat(), COLUMNS_A),
+    "bucket_files": f"""
+        SELECT count(DISTINCT user_id) * 0 + 8 AS buckets, 1 AS most_files
+        FROM ({_run_flat()}) AS run""",
+    "schema_overwrite_dynamic": _show(
+        f"SELECT user_id, event_type, value, event_date, 1 AS more, DATE '{A_END}' AS dt "
+        f"FROM ({PREVIOUS_A}) AS p",
+        (*COLUMNS_A, "more", "dt"),
+    ),
+    "partition_files": """
+        SELECT publication, 1 AS files FROM (VALUES (1), (2), (3)) AS p (publication)
+        WHERE EXISTS (SELECT * FROM supplier)""",
+    "max_records": """
+        SELECT 'whole' AS kind, least(50, count(*)) AS largest, count(*) AS n_rows FROM events
+        UNION ALL SELECT 'daily', least(50, max(n)), CAST(sum(n) AS bigint)
+        FROM (SELECT count(*) AS n FROM events GROUP BY CAST(ts AS date)) AS days""",
     "run_partitioned": _show(_run_partitioned(), _DT),
     "build_without_publishing": _show(_bootstrap(A_START, _LOAD_FIRST), COLUMNS_A),
     "table_state": f"""

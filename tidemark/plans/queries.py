@@ -41,7 +41,7 @@ from tidemark.plans.feeds import (
 from tidemark.plans.run import run_snapshot
 from tidemark.scratch import scratch_path, store
 from tidemark.sinks.publish import publish_partition, publish_version
-from tidemark.sinks.tables import create_or_insert, overwrite_partitions
+from tidemark.sinks.tables import WHOLE, overwrite_partitions, overwrite_table, write_table
 from tidemark.sources.catalog import current_version, last_partition, partitions, table_exists
 from tidemark.sources.feed import (
     file_day,
@@ -337,7 +337,7 @@ def _two_days(spark: SparkSession, folder: str, label: str) -> Target:
     target = _target(spark, label)
     days = F.explode(F.array(F.lit(A_MID), F.lit(A_END)))
     old = previous_a(spark, folder).withColumn(PARTITION, days)
-    create_or_insert(old, target, partition_keys=[PARTITION])
+    write_table(old, target, partition_keys=[PARTITION])
     return target
 
 
@@ -362,6 +362,52 @@ def partition_overwrite_dynamic(spark: SparkSession, folder: str) -> DataFrame:
     return plain(spark.table(target.table))
 
 
+@query("schema_overwrite_dynamic")
+def schema_overwrite_dynamic(spark: SparkSession, folder: str) -> DataFrame:
+    """Two days, then one day whole under other columns, in a session whose overwrites are dynamic."""
+    target = _two_days(spark, folder, "schema_dynamic")
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    more = previous_a(session, folder).select("*", F.lit(1).alias("more"), F.lit(A_END).alias(PARTITION))
+    write_table(more, target, WHOLE, partition_keys=[PARTITION])
+    spark.catalog.refreshTable(target.table)
+    return plain(spark.table(target.table))
+
+
+@query("partition_files")
+def partition_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of a small day after each of three publications."""
+    target = _two_days(spark, folder, "partition_files")
+    counts = None
+    for n in (1, 2, 3):
+        publish_partition(_partition_after(spark, folder, A_END), target, A_END)
+        day = spark.table(target.table).where(F.col(PARTITION) == F.lit(A_END))
+        files = day.select(F.col("_metadata.file_path").alias("file")).distinct()
+        # counted and stored now, since the next publication replaces the files
+        row, _ = store(files.agg(F.lit(n).alias("publication"), F.count(F.lit(1)).alias("files")), "files")
+        counts = row if counts is None else counts.unionByName(row)
+    return counts
+
+
+@query("max_records")
+def max_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the largest file and of all files, of a whole write and of a day published again, when a
+    file may hold fifty."""
+    rows = feed_a(spark, folder).select(*SPEC_A.columns, F.col("event_date").alias(PARTITION))
+    flat = replace(_target(spark, "records_flat"), max_records_per_file=50)
+    overwrite_table(rows.drop(PARTITION), flat)
+    daily = replace(_target(spark, "records_daily"), max_records_per_file=50)
+    write_table(rows, daily, partition_keys=[PARTITION])
+    publish_partition(rows.where(F.col(PARTITION) == F.lit(A_END)), daily, A_END)
+    sizes = [
+        spark.table(target.table)
+        .groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.lit(kind).alias("kind"), F.max("n").alias("largest"), F.sum("n").alias("n_rows"))
+        for kind, target in (("whole", flat), ("daily", daily))
+    ]
+    return sizes[0].unionByName(sizes[1])
+
+
 # Publication and whole runs
 
 
@@ -412,11 +458,25 @@ def run_flat(spark: SparkSession, folder: str) -> DataFrame:
 @query("run_flat_bucketed")
 def run_flat_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     """The same with a table bucketed by its key and merges that keep the buckets."""
+    return plain(spark.table(_run_bucketed(spark, folder).table))
+
+
+def _run_bucketed(spark: SparkSession, folder: str) -> Target:
     spec = _exported(spark, folder)
     target = replace(_target(spark, "run_bucketed"), buckets=8)
     for day in (A_START, A_MID, A_END, A_END):
-        run_snapshot(spark, spec, day, target, options=RunOptions(merge="sort_merge"))
-    return plain(spark.table(target.table))
+        run_snapshot(spark, spec, day, target)
+    return target
+
+
+@query("bucket_files")
+def bucket_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Buckets of the last version and the most files that one of them has."""
+    name = F.col("_metadata.file_name")
+    bucket = F.regexp_extract(name, r"_(\d{5})\.c", 1).alias("bucket")
+    files = spark.table(_run_bucketed(spark, folder).table).select(bucket, name.alias("file")).distinct()
+    counted = files.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg(F.count(F.lit(1)).alias("buckets"), F.max("n").alias("most_files"))
 
 
 @query("run_partitioned")
@@ -457,7 +517,7 @@ def _daily(spark: SparkSession, folder: str, label: str) -> Target:
     """All events of feed A, one partition per day."""
     target = _target(spark, label)
     rows = feed_a(spark, folder).select(*SPEC_A.columns, F.col("event_date").alias(PARTITION))
-    create_or_insert(rows, target, partition_keys=[PARTITION])
+    write_table(rows, target, partition_keys=[PARTITION])
     return target
 
 

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import change_day
 from tidemark.functions.names import cols
-from tidemark.operators.merge import merge_stored, sort_merge
+from tidemark.operators.merge import merge_stored, sort_merge, store_measured
 from tidemark.plans.build import RunWindow, latest_in_window, previous_snapshot, run_window
 from tidemark.scratch import release, store
 from tidemark.sinks.publish import publish, resume
+from tidemark.sinks.tables import in_buckets
+from tidemark.sources.catalog import describe
 from tidemark.sources.feed import check_file_names, scan_feed, select_files
 from tidemark.spec import (
     FLAT,
@@ -23,7 +25,6 @@ from tidemark.spec import (
     FeedSpec,
     RunOptions,
     Target,
-    check_mode,
 )
 
 
@@ -40,6 +41,18 @@ class RunReport:
     rows: dict[str, int] = field(default_factory=dict)
 
 
+COUNTS = ("read", "undated", "too_early", "too_late")
+
+
+def keeps_buckets(spark: SparkSession, target: Target) -> bool:
+    """Whether the snapshot that a run starts from is in the target's buckets already."""
+    entry = describe(spark, target.table) or {}
+    return (
+        entry.get("num_buckets") == target.buckets
+        and tuple(entry.get("bucket_columns") or ()) == target.bucket_keys
+    )
+
+
 def _counted(feed: DataFrame, window: RunWindow, seen: Observation) -> DataFrame:
     """Count, while the feed streams by, the change rows the date window leaves out."""
     picked = select_files(feed, window.first, window.as_of, window.with_load)
@@ -63,30 +76,40 @@ def run_snapshot(
     options: RunOptions = RunOptions(),
 ) -> RunReport:
     """Bring a table to the state of a date and publish it; repeating a run is safe."""
-    check_mode(spec, mode, target)
+    run_window(spark, spec, as_of, target, mode)  # refuses bad arguments before any work
     target = target.bucketed_by(spec.primary_keys)
     resumed = resume(spark, target, mode)
     window = run_window(spark, spec, as_of, target, mode)
     feed = scan_feed(spark, spec)
     if options.check_names:
         check_file_names(feed, spec.path)
-    seen = Observation("feed") if options.count_rows else None
+    # A folder that is not there plans to nothing, which would carry no counts.
+    seen = Observation("feed") if options.count_rows and feed.inputFiles() else None
+    rows = dict.fromkeys(COUNTS, 0) if options.count_rows else {}
     if seen is not None:
         feed = _counted(feed, window, seen)
     columns = spec.snapshot_schema(mode).fieldNames()
     delta = latest_in_window(feed, spec, window, mode, options).select(OP, *cols(columns))
     old = previous_snapshot(spark, spec, window, target, mode)
 
+    # A bucketed snapshot does not move in a sort-merge join either, and the join leaves the
+    # rows in their buckets, which a broadcast would scatter over many files.
+    broadcast = options.merge == "broadcast_delta" and not target.buckets
     scratch = None
-    if options.merge == "broadcast_delta" or seen is not None:
-        # Stored once: later readings of the changes do not scan the feed again.
-        delta, scratch = store(delta, "delta")
     try:
-        merge = merge_stored if options.merge == "broadcast_delta" else sort_merge
-        merged = merge(old, delta, spec.primary_keys, columns, options.null_policy)
-        if target.buckets and window.last_date is None:
-            # Later merges keep the buckets of the snapshot they start from.
-            merged = merged.repartition(target.buckets, *cols(spec.primary_keys))
+        keys, policy = spec.primary_keys, options.null_policy
+        # Stored once: later readings of the changes do not scan the feed again.
+        if broadcast:
+            delta, scratch, size = store_measured(delta, "delta")
+            merged = merge_stored(old, delta, keys, columns, policy, size=size)
+        else:
+            if seen is not None:
+                delta, scratch = store(delta, "delta")
+            merged = sort_merge(old, delta, keys, columns, policy)
+        if seen is not None:
+            rows = seen.get
+        if target.buckets and not keeps_buckets(spark, target):
+            merged = in_buckets(merged, target)
         publish(merged, target, window.as_of, mode)
     finally:
         if scratch is not None:
@@ -98,5 +121,5 @@ def run_snapshot(
         last_date=window.last_date,
         with_load=window.with_load,
         resumed=resumed,
-        rows=seen.get if seen is not None else {},
+        rows=rows,
     )

@@ -34,10 +34,25 @@ def publish_version(df: DataFrame, target: Target, version: date) -> None:
     A new version is written in one go, into a folder that nothing refers to yet.
     Repeating the current version replaces the very files that are being read, so it
     goes through a staged copy."""
+    refuse_unknown_files(df.sparkSession, target, "version=*")
     again = current_version(df.sparkSession, target.table) == version
     (rewrite_table if again else overwrite_table)(df, target, str(version))
 
 
+def refuse_unknown_files(spark: SparkSession, target: Target, pattern: str) -> None:
+    """Refuse to replace data below the root while the catalog has no such table: it may
+    belong to another catalog, as after a session whose catalog was kept in memory only."""
+    if table_exists(spark, target.table):
+        return
+    found = spark._jvm.org.apache.hadoop.fs.Path(f"{target.root}/{pattern}")
+    files = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found)
+    if files:
+        raise ValueError(
+            f"{target.table} is not in the catalog, yet {target.root} holds {files[0].getPath().getName()}; "
+            "register that data or choose another root"
+        )
+
+
 def resume_version(spark: SparkSession, target: Target) -> date | None:
     """Finish a repeated version that was cut off while the table showed its staged
     copy, so that its folder is whole for time travel too."""
@@ -66,6 +81,7 @@ def publish_partition(df: DataFrame, target: Target, day: date) -> None:
     which `resume_partition` finishes an insert that was cut off."""
     spark = df.sparkSession
     if not table_exists(spark, target.table):
+        refuse_unknown_files(spark, target, f"{PARTITION}=*")
         _clear_journal(spark, target)  # of an earlier table in the same folder
         overwrite_table(df, target, partition_keys=[PARTITION])
         return

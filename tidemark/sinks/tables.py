@@ -16,6 +16,9 @@ from tidemark.spec import Target
 # Spark hides folders with a leading underscore from readers of the parent folder.
 STAGING = "_staging"
 
+# What a write replaces in a table that exists.
+PARTITIONS, WHOLE = "partitions", "whole"
+
 
 def staging_root(target: Target) -> str:
     """Beside the table's folder: as durable as the table, and outside what is replaced."""
@@ -37,13 +40,19 @@ def sized_by_partition(df: DataFrame, partition_keys: Sequence[str]) -> DataFram
     return df.hint("rebalance", *cols(partition_keys))
 
 
+def in_buckets(df: DataFrame, target: Target) -> DataFrame:
+    """Bring the rows of a bucket together before writing: one file a bucket and version."""
+    return df.repartition(target.buckets, *cols(target.bucket_keys))
+
+
 def write_files(
     df: DataFrame, path: str, target: Target, partition_keys: Sequence[str] | None = None
 ) -> None:
     """Replace the contents of a folder."""
     if partition_keys:
         df = sized_by_partition(df, partition_keys)
-    writer = df.write.format(target.fmt).mode("overwrite")
+    # Static whatever the session says: partitions that are not written must go.
+    writer = df.write.format(target.fmt).mode("overwrite").option("partitionOverwriteMode", "static")
     if target.max_records_per_file:
         writer = writer.option("maxRecordsPerFile", target.max_records_per_file)
     if partition_keys:
@@ -51,8 +60,10 @@ def write_files(
     if not target.buckets:
         writer.save(path)
         return
-    # Only table writes can bucket; dropping the helper table leaves the files.
-    helper = f"tidemark_{uuid4().hex}"
+    # Only table writes can bucket; dropping the helper table leaves the files. It lives in
+    # the target's database, where the caller may create tables anyway.
+    database, _, _ = target.table.rpartition(".")
+    helper = f"{database}.tidemark_{uuid4().hex}".lstrip(".")
     writer = writer.bucketBy(target.buckets, *target.bucket_keys).option("path", path)
     try:
         writer.saveAsTable(helper)
@@ -132,14 +143,25 @@ def overwrite_table(
 ) -> None:
     """Write a frame whole and make the table show it, schema included.
 
-    The files are complete before the catalog changes, so a failed write leaves the
-    table as it was. `df` must not read the folder that is written."""
+    The files are complete before the catalog changes, so a failed write leaves the table
+    as it was; a folder that the table already shows is rewritten through a staged copy.
+    `df` must not read the folder that is written."""
     path = target.version_path(version) if version else target.root
+    entry = describe(df.sparkSession, target.table)
+    if entry is not None and _same_folder(entry.get("location"), path):
+        rewrite_table(df, target, version, partition_keys)
+        return
     df = _keys_last(df, partition_keys)
     write_files(df, path, target, partition_keys)
     point_table(df.sparkSession, target, df.schema, path, partition_keys)
 
 
+def _same_folder(location: str | None, path: str) -> bool:
+    """Whether a catalog location is the folder: schemes may be spelled file:/ or left out."""
+    plain = lambda p: p.removeprefix("file:").replace("///", "/").rstrip("/")
+    return location is not None and plain(location) == plain(path)
+
+
 def rewrite_table(
     df: DataFrame,
     target: Target,
@@ -167,6 +189,8 @@ def move_back(
     partition_keys: Sequence[str] | None = None,
 ) -> None:
     """Rewrite a table's own folder from the staged copy it shows, then show the folder."""
+    if target.buckets:
+        rows = in_buckets(rows, target)  # read as plain files, which know no buckets
     write_files(rows, path, target, partition_keys)
     point_table(rows.sparkSession, target, rows.schema, path, partition_keys)
     release(rows.sparkSession, copy)
@@ -182,9 +206,14 @@ def in_table_order(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
 
 
 def _inserting_session(spark: SparkSession, target: Target, **settings: str) -> SparkSession:
-    """A sibling session for one insert. Inserts take the overwrite mode and the file
-    size limit from the session only; the caller's settings are left as they are."""
+    """A sibling session for one insert, with the caller's runtime settings and catalog.
+    Inserts take the overwrite mode and the file size limit from the session only; the
+    caller's own settings are left as they are."""
     session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.catalog.setCurrentCatalog(spark.catalog.currentCatalog())
     session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
     if target.max_records_per_file:
         session.conf.set("spark.sql.files.maxRecordsPerFile", target.max_records_per_file)
@@ -201,6 +230,7 @@ def insert_partition(
     session = _inserting_session(spark, target)
     fields = [f for f in session.table(target.table).schema.fields if f.name != key]
     rows = session.read.load(staged, format=target.fmt, schema=T.StructType(fields))
+    rows = sized_by_partition(rows, ())
     session.sql(
         f"INSERT OVERWRITE TABLE {target.table} PARTITION ({quoted(key)} = {_text(value)}) "
         "SELECT * FROM {rows}",
@@ -225,23 +255,27 @@ def overwrite_partitions(df: DataFrame, target: Target) -> None:
     release(spark, path)
 
 
-def create_or_insert(
+def write_table(
     df: DataFrame,
     target: Target,
-    staged: bool = False,
-    partition_keys: Sequence[str] | None = None,
-    schema_overwrite: bool = False,
+    mode: str = PARTITIONS,
     version: str | None = None,
+    partition_keys: Sequence[str] | None = None,
 ) -> None:
-    """Create the table, or replace what `df` holds: everything under a new schema, or
-    the partitions that occur in it. `staged` lets `df` read what is replaced."""
-    if partition_keys and version and not schema_overwrite:
-        raise ValueError("a table that is versioned and partitioned needs schema_overwrite")
-    spark = df.sparkSession
-    if not table_exists(spark, target.table):
-        overwrite_table(df, target, version, partition_keys)
-    elif schema_overwrite:
-        write = rewrite_table if staged else overwrite_table
-        write(df, target, version, partition_keys)
-    else:
+    """Write a frame into a table that may not exist yet.
+
+    mode  partitions: replace the partitions that occur in the frame, keep the others;
+          whole: replace everything, columns included
+
+    Either way the frame may read what it replaces. A table that is not there is created."""
+    if mode not in (PARTITIONS, WHOLE):
+        raise ValueError(f"mode must be {PARTITIONS!r} or {WHOLE!r}, not {mode!r}")
+    if version and partition_keys and mode == PARTITIONS:
+        raise ValueError("versions of a partitioned table can only be written whole")
+    exists = table_exists(df.sparkSession, target.table)
+    if exists and mode == PARTITIONS:
         overwrite_partitions(df, target)
+    elif exists:
+        rewrite_table(df, target, version, partition_keys)
+    else:
+        overwrite_table(df, target, version, partition_keys)

@@ -33,10 +33,6 @@ def partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
-def partition_names(spark: SparkSession, table: str) -> list[str]:
-    return [row.partition for row in partitions(spark, table).collect()]
-
-
 def last_partition(spark: SparkSession, table: str) -> date | None:
     """Newest date partition, ignoring the null one; None when there is none."""
     entry = describe(spark, table)
