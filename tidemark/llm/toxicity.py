@@ -9,7 +9,8 @@
    like best. Tokens of letters alone have one path and are left as they are.
 3. The words of the restored text, and the letters of a token as written, are features. Those that tell
    the labels apart best (likelihood ratio, MAX_WORDS at most) get weights by logistic regression, fitted
-   on a bounded sample: the TRAIN_ROWS labelled rows with the smallest hash, never a row held out.
+   on a bounded sample: the TRAIN_ROWS labelled rows with the smallest hash, never a row held out. Each
+   row is seen whole and once for each of its features alone, since one word can be enough.
 
 Scoring is one pass over the documents with the model broadcast (its size is bounded by MAX_WORDS and
 the alphabet). Inputs of a score are the text's words alone.
@@ -38,8 +39,9 @@ from tidemark.scratch import store
 #: Labelled rows that are used to choose words and fit weights, at most.
 TRAIN_ROWS = 20_000
 
-#: Words with a weight, at most, and toxic rows that a word must be in.
-MAX_WORDS, LEAST_ROWS = 1_000, 3
+#: Words with a weight, at most; toxic rows that a word must be in, and its likelihood ratio, at least:
+#: a ratio of 20 comes by chance for one word in 100,000.
+MAX_WORDS, LEAST_ROWS, LEAST_RATIO = 1_000, 3, 20.0
 
 #: Decoded tokens that a Python worker remembers.
 REMEMBERED = 200_000
@@ -50,8 +52,9 @@ LOOKS = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "2": "z",
 }
 
-#: Costs of the channel in nats: a look-alike, a dropped sign, a dropped repeat, a sign kept.
-LOOK, DROP, REPEAT, KEEP = 1.0, 2.0, 0.5, 14.0
+#: Costs of the channel in nats: a look-alike, a dropped sign, a dropped repeat, a digit kept. Signs that
+#: look like letters are dropped at a higher price, since each letter they stand for has its own.
+LOOK, DROP, DROP_LOOK, REPEAT, KEEP = 1.0, 2.0, 6.0, 0.5, 14.0
 
 LATIN = 0x250
 EDGES = " \t\n.,;:?!\"'`´()[]{}<>#%&*/\\|~^=_+-–—…¿¡«»„“”‘’$@€"
@@ -69,7 +72,7 @@ def char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(0).to_pylist()
         for some in np.array_split(np.arange(len(texts)), max(1, sum(map(len, texts)) // 4_000_000)):
-            joined = " ".join(["", *(texts[i].lower() for i in some), ""])
+            joined = " ".join(["", "", *(texts[i].lower() for i in some), ""])
             points = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4")
             code = CODES[np.minimum(points, LATIN)]
             one, two, three = code[:-2].copy(), code[1:-1], code[2:]
@@ -121,7 +124,7 @@ def restore(token: str, model: CharModel) -> str:
                 options.append(("", REPEAT))
         else:
             options += [(letter, LOOK) for letter in LOOKS.get(sign, "")]
-            options.append(("", DROP))
+            options.append(("", DROP_LOOK if sign in LOOKS else DROP))
             if sign.isdigit():
                 options.append((sign, KEEP))
         after: dict[tuple[int, int], tuple[float, str]] = {}
@@ -160,12 +163,16 @@ class Restorer:
         words = {t for t in tokens if t.isalpha()}
         for token in tokens - words:
             core = token.strip(EDGES)
+            if not any(map(str.isalpha, core)):
+                continue
             if core.isalpha():
                 words.add(core)
-                if token[:1] in "$@" and token[1:2].isalpha() or token[-1] == "$" and token[-3:-2].isalpha():
-                    words.update(self.read(token.strip(".,;:?!\"'")))
-            elif any(map(str.isalpha, core)):
+            else:
                 words.update(self.read(core))
+            # a look-alike at an edge, but no row of signs put there as decoration
+            edge = token.strip(".,;:?!\"'")
+            if edge[:1] in "$@" and edge[1:2].isalnum() or edge[-1:] == "$" and edge[-3:-2].isalnum():
+                words.update(self.read(edge))
         if TRIPLE.search(low):
             for token in [w for w in words if TRIPLE.search(w)]:
                 words.update(self.read(token))
@@ -292,6 +299,7 @@ def train(
     telling = words.where((F.col("toxic") >= LEAST_ROWS) & (F.col("toxic") > F.col("n") * (share + 1) / 2))
     ordered = telling.orderBy(F.desc("toxic"), "n", "word").limit(20 * MAX_WORDS).toPandas()
     table = choose_words(ordered, count, toxic)
+    table = table[table["ratio"] >= LEAST_RATIO]
     chosen = table.sort_values(["ratio", "word"], ascending=[False, True])["word"].tolist()[:MAX_WORDS]
     index = {w: i for i, w in enumerate(chosen)}
 
@@ -299,7 +307,10 @@ def train(
         return doc_features(batches, shared.value, index)
 
     data = spread.mapInArrow(encode, "features array<int>, toxic int").toPandas()
-    bias, weights = fit([list(f) for f in data["features"]], data["toxic"].to_numpy(float), len(chosen))
+    features, toxic = [list(f) for f in data["features"]], data["toxic"].tolist()
+    alone = [([i], t) for f, t in zip(features, toxic, strict=True) for i in f if len(f) > 1]
+    labels = np.array(toxic + [t for _, t in alone], float)
+    bias, weights = fit(features + [f for f, _ in alone], labels, len(chosen))
     return ToxicityModel(chars, bias, dict(zip(chosen, weights.tolist(), strict=True)))
 
 
