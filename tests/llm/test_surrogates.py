@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import odd_rows, table
+from tidemark.llm import surrogates
+from tidemark.llm.surrogates import PATTERN, pseudonymise
+
+
+def replaced(spark, *texts, key="k"):
+    rows = pseudonymise(table(spark, *enumerate(texts)), key).orderBy("doc_id").collect()
+    return [r.text for r in rows]
+
+
+def test_odd_rows(odd, nothing):
+    rows = pseudonymise(odd, "k").collect()
+    assert Counter((r.doc_id, r.n_entities, r.text) for r in rows) == Counter((i, 0, t) for i, t, *_ in odd_rows())
+    assert pseudonymise(nothing, "k").count() == 0
+
+
+def test_formats_and_surroundings_stay(spark):
+    text = 'Call +1 (017) 555-7713, mail Ann.B-1@Mail.example.com! Card 4736 9625-7309 9581; ip 10.0.0.7, ssn 123-45-6789\ntoken = "abc123def456" end'
+    (out,) = replaced(spark, text)
+    shape = re.compile(r'Call \+1 \(\d{3}\) \d{3}-\d{4}, mail [a-z]{3,}\.[a-z]-\d@[a-z]{4}\.[a-z]{7}\.com! Card \d{4} \d{4}-\d{4} \d{4}; ip \d+\.\d+\.\d+\.\d+, ssn \d{3}-\d{2}-\d{4}\ntoken = "[a-z]{3}\d{3}[a-z]{3}\d{3}" end')
+    assert shape.fullmatch(out), out
+    for original in ("555-7713", "Ann.B", "4736", "10.0.0.7", "123-45-6789", "abc123"):
+        assert original not in out
+
+
+def test_mentions_of_one_entity_agree(spark):
+    first, second, third = replaced(
+        spark,
+        "Mr. John Smith, john@x.org, +44 20 7946 0018, 4736962573099581",
+        "Mrs Smith, JOHN@X.ORG, +44 (20) 7946-0018, 4736 9625 7309 9581",
+        "Dr. SMITH",
+    )
+    a = re.fullmatch(r"Mr\. (\w+) (\w+), (\S+), \+44 ([\d ]+), (\d+)", first)
+    b = re.fullmatch(r"Mrs (\w+), (\S+), \+44 ([\d() -]+), ([\d ]+)", second)
+    digits = lambda s: re.sub(r"\D", "", s)
+    assert a[2] == b[1] and third == f"Dr. {a[2].upper()}"
+    assert a[3] == b[2].lower() and digits(a[4]) == digits(b[3]) and digits(a[5]) == digits(b[4])
+
+
+def test_gender_and_script_stay(spark):
+    man, woman, russian, greek = replaced(
+        spark, "Herr Karl Braun", "Frau Karla Braun", "Госпожа Анна Иванова", "Κυρία Ελένη Παππά"
+    )
+    assert re.fullmatch(r"Herr [A-Z][a-z]+n [A-Z][a-z]+s", man) and re.fullmatch(r"Frau [A-Z][a-z]+a [A-Z][a-z]+s", woman)
+    assert man.split()[2] == woman.split()[2]
+    assert re.fullmatch(r"Госпожа [А-Я][а-я]+а [А-Я][а-я]+с", russian)
+    assert re.fullmatch(r"Κυρία [Α-Ω][α-ω]+α [Α-Ω][α-ω]+ν", greek)
+
+
+def test_distinct_entities_stay_distinct(spark, monkeypatch):
+    """Short forms leave so little choice that first draws must clash, with each other and with originals."""
+    mails = [f"{a}@{b}.de" for a in "abcdefghij" for b in "abcdefghij"]
+    names = [f"Mr {c}{v}k" for c in "BDKLMNPRST" for v in "aeiou"]
+    (out,) = replaced(spark, " ".join(mails) + " " + ", ".join(names))
+    found = out.replace(",", "").split()
+    new_mails, new_names = found[:100], found[101::2]
+    assert len(set(new_mails)) == 100 and not set(new_mails) & set(mails)
+    assert len(set(new_names)) == 50 and not {n.lower() for n in new_names} & {n.split()[1].lower() for n in names}
+
+
+def test_key_decides(spark):
+    text = "mail a.person@company.org"
+    assert replaced(spark, text) == replaced(spark, text) != replaced(spark, text, key="other")
+
+
+def test_many_entities_in_one_text_keep_their_order(spark):
+    text = "\n".join(f"{i}: user{i}@example.com and 10.0.{i // 256}.{i % 256};" for i in range(1500))
+    (out,) = replaced(spark, text)
+    lines = out.split("\n")
+    assert len(lines) == 1500 and all(line.startswith(f"{i}: ") and " and " in line for i, line in enumerate(lines))
+    assert len({line.split(": ")[1] for line in lines}) == 1500
+
+
+def test_pattern_has_no_capturing_group(spark):
+    assert not re.search(r"\((?!\?)", re.sub(r"\\.|\[[^]]*\]", "", PATTERN))
+    assert spark.range(1).select(F.size(F.split(F.lit("a 1.2.3.4 b x@y.zz c"), PATTERN, -1))).first()[0] == 3
+    assert surrogates.ATTEMPTS > 1

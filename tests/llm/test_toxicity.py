@@ -1,0 +1,144 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm.conftest import table, words
+from tidemark.llm.toxicity import (
+    CharModel,
+    Restorer,
+    char_counts,
+    char_model,
+    drop_toxic,
+    fit,
+    held_out,
+    restore,
+    train,
+    with_scores,
+)
+
+BAD = ["idiot", "moron", "stupid", "worthless"]
+DISGUISED = ["1d10t", "m0r0n", "$tup1d", "w0rthl3ss", "i.d.i.o.t", "stuuupiiid", "m*o*r*o*n", "s t u p i d", "idiooot", "5tup!d"]
+
+
+def prose(seed, n=60):
+    return words(seed, n)
+
+
+def corpus(n=400):
+    made = random.Random(4)
+    rows, labels = [], []
+    for i in range(n):
+        w = prose(i).split()
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(4):
+                w.insert(made.randrange(len(w)), made.choice(BAD))
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    rows, labels = corpus()
+    docs = table(spark, *rows)
+    return docs, spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+@pytest.fixture(scope="module")
+def model(trained):
+    return train(*trained)
+
+
+def test_held_out_rows_follow_the_checksum(spark):
+    ids = [*range(50), None]
+    rows = table(spark, *((i, "") for i in ids)).select("doc_id", held_out().alias("out")).collect()
+    assert {r.doc_id: r.out for r in rows} == {i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 0 for i in ids}
+
+
+def test_scores_separate_held_out_texts(trained, model):
+    docs, labels = trained
+    rows = with_scores(docs, model).where(held_out()).join(labels, "doc_id").collect()
+    assert len(rows) > 40 and all((r.score >= 0.5) == r.toxic for r in rows)
+
+
+@pytest.mark.parametrize("word", DISGUISED)
+def test_disguised_words_count(spark, model, word):
+    made = prose(9_999).split()
+    made[10:10], made[30:30] = [word], [word]
+    score = model.scores([" ".join(made)], Restorer(model.chars))[0]
+    assert score >= 0.5
+
+
+def test_plain_texts_are_left_alone(model):
+    restorer = Restorer(model.chars)
+    texts = ["", "   ", None, "1234 $5.00 10% a@b.com", "x" * 20_000, "3" * 5_000, "日本語 " * 50, "a b c d e f", "http://x.y/z?q=1&r=2"]
+    assert all(s < 0.5 for s in model.scores(texts, restorer))
+    assert restorer.words("plain words, only") == {"plain", "words", "only"}
+
+
+def test_decoding_is_optimal():
+    """Against all paths of the lattice."""
+    grams = pa.RecordBatch.from_arrays([pa.array(["solo boil soil oil lisa sail " * 3])], names=["text"])
+    counted = next(char_counts(iter([grams])))
+    chars = CharModel(counted.column(0).to_numpy(), counted.column(1).to_numpy())
+    from tidemark.llm.toxicity import DROP, DROP_LOOK, KEEP, LOOK, LOOKS, REPEAT, code
+
+    def cost(text):
+        a = b = 0
+        total = 0.0
+        for letter in text:
+            if letter.isalpha():
+                total += chars.cost(a, b, code(letter))
+                a, b = b, code(letter)
+            else:
+                a = b = 0
+        return total + chars.cost(a, b, 0)
+
+    for token in ("5o1l", "s0l0", "b.o.i.l", "ssooil", "l1sa", "0il7"):
+        paths = [("", 0.0)]
+        for i, sign in enumerate(token):
+            options = [(sign, 0.0)] + [("", REPEAT)] * (token[i - 1 : i] == sign) if sign.isalpha() else []
+            if not sign.isalpha():
+                options = [(c, LOOK) for c in LOOKS.get(sign, "")] + [("", DROP_LOOK if sign in LOOKS else DROP)] + [(sign, KEEP)] * sign.isdigit()
+            paths = [(text + c, price + p) for text, price in paths for c, p in options]
+        best = min(price + cost(text) for text, price in paths)
+        found = restore(token, chars)
+        assert min(price for text, price in paths if text == found) + cost(found) == pytest.approx(best)
+
+
+def test_character_counts_cover_every_text(spark):
+    rows = [(i, w) for i, w in enumerate(["ab ab", "Abc", "", None, "ñandú 日本"])]
+    chars = char_model(table(spark, *rows))
+    assert chars.one[ord("a")] == 4 and chars.one[ord("ñ")] == 1 and chars.one[1] == 2
+    assert chars.two[ord("a") << 10 | ord("b")] == 3 and chars.before[0] == 5
+
+
+def test_weights_follow_the_labels():
+    features = [[0]] * 30 + [[1]] * 30 + [[]] * 40
+    bias, weights = fit(features, np.array([1.0] * 29 + [0.0] + [0.0] * 70), 2)
+    assert bias < 0 and bias + weights[0] > 0 and weights[1] <= 0.1
+
+
+def test_few_or_no_labels(spark, odd, nothing):
+    for labels in ([], [(1, None)], [(None, 1)]):
+        rows = with_scores(odd, train(odd, spark.createDataFrame(labels, "doc_id long, toxic int"))).select("score").collect()
+        assert {r.score < 0.5 for r in rows} == {True}
+    same = train(odd, spark.createDataFrame([(i, 0) for i in range(1, 9)], "doc_id long, toxic int"))
+    assert all(0 < s < 0.5 for s in same.scores(["a", None, ""], Restorer(same.chars)))
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert drop_toxic(nothing, labels).count() == 0
+
+
+def test_dropping_keeps_columns_and_clean_rows(odd, trained):
+    kept = drop_toxic(odd, trained[1])
+    assert kept.columns == odd.columns
+    docs, labels = trained
+    left = {r.doc_id for r in drop_toxic(docs, labels).collect()}
+    assert Counter(r.toxic for r in labels.collect() if r.doc_id in left) == {0: 300}
