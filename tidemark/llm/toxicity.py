@@ -9,8 +9,9 @@
    like best. Tokens of letters alone have one path and are left as they are.
 3. The words of the restored text, and the letters of a token as written, are features. Those that tell
    the labels apart best (likelihood ratio, MAX_WORDS at most) get weights by logistic regression, fitted
-   on a bounded sample: the TRAIN_ROWS labelled rows with the smallest hash, never a row held out. Each
-   row is seen whole and once for each of its features alone, since one word can be enough.
+   on a bounded sample: the TRAIN_ROWS labelled rows with the smallest hash, never a row held out. Of
+   near copies in it one row counts, else every word of a copied text would look telling. Each row is
+   seen whole and once for each of its features alone, since one word can be enough.
 
 Scoring is one pass over the documents with the model broadcast (its size is bounded by MAX_WORDS and
 the alphabet). Inputs of a score are the text's words alone.
@@ -25,23 +26,28 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import free_name, text_of
-from tidemark.scratch import store
+from tidemark.llm.near_dups import FACTORS, SUMMANDS, set_of
+from tidemark.scratch import release, store
 
 #: Labelled rows that are used to choose words and fit weights, at most.
 TRAIN_ROWS = 20_000
 
 #: Words with a weight, at most; toxic rows that a word must be in, and its likelihood ratio, at least:
-#: a ratio of 20 comes by chance for one word in 100,000.
-MAX_WORDS, LEAST_ROWS, LEAST_RATIO = 1_000, 3, 20.0
+#: a ratio of 24 comes by chance for one word in a million.
+MAX_WORDS, LEAST_ROWS, LEAST_RATIO = 1_000, 3, 24.0
+
+#: Minima of a text's shingles by which copies in the sample are found: one in common is enough.
+SKETCH = 4
 
 #: Decoded tokens that a Python worker remembers.
 REMEMBERED = 200_000
@@ -200,7 +206,28 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     one = usable.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     sample = one.orderBy(F.xxhash64("id"), "id").limit(rows)
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    return store(texts.join(F.broadcast(sample), "id").select("text", "toxic"), "training")[0]
+    found = texts.join(F.broadcast(sample), "id").select("text", "toxic")
+    sketched, path = store(found.mapInArrow(sketch, "text string, toxic int, minima array<long>"), "training")
+    distinct = sketched
+    for i in range(SKETCH):
+        first = F.row_number().over(Window.partitionBy(F.col("minima")[i]).orderBy(F.xxhash64("text"), "text", "toxic"))
+        distinct = distinct.withColumn("first", first).where("first = 1")
+    kept, _ = store(distinct.select("text", "toxic"), "training")
+    release(docs.sparkSession, path)
+    return kept
+
+
+def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds minima of the shingles of each text (column 0); a text without any gets some of its own."""
+    for batch in batches:
+        rows = []
+        for text in batch.column(0).to_pylist():
+            shingles = set_of(text)
+            if not len(shingles):
+                shingles = np.array([zlib.crc32(text.encode())], np.uint64)
+            rows.append((shingles * FACTORS[:SKETCH, None] + SUMMANDS[:SKETCH, None]).min(axis=1).view(np.int64))
+        minima = pa.array(rows, pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int32()), minima], names=["text", "toxic", "minima"])
 
 
 def doc_words(batches: Iterator[pa.RecordBatch], model: CharModel) -> Iterator[pa.RecordBatch]:
