@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.common import table
 from tidemark.llm.exact_dups import drop_exact_duplicates
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.near_dups import drop_near_duplicates
@@ -56,7 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs, _ = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
