@@ -36,9 +36,11 @@ def tokenizer(name: str) -> str:
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Draws of the mixture of all sources, no document left out."""
+    """Draws of the mixture of all sources, no document left out; weights to nine places, since engines
+    differ in the last bits of a power."""
     drawn = mix(table(spark, folder, "documents"), max_repeats=MAX_REPEATS)
-    return drawn.withColumnRenamed("id", "doc_id")
+    places = {name: F.round(name, 9) for name in ("weight", "alpha")}
+    return drawn.withColumnRenamed("id", "doc_id").withColumns(places)
 
 
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,6 +120,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 NORMALISED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op1_mix_sources": rf"""
+        WITH RECURSIVE units AS (
+            SELECT source, doc_id AS id,
+                   CAST(sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1) AS BIGINT) AS tokens
+            FROM documents GROUP BY source, doc_id
+        ),
+        sizes AS (
+            SELECT source, CAST(sum(tokens) AS BIGINT) AS tokens, count(*) AS docs FROM units GROUP BY source
+        ),
+        ends AS (SELECT CAST(max(tokens) AS DOUBLE) AS most, CAST(min(tokens) AS DOUBLE) AS least FROM sizes),
+        rounds AS (
+            SELECT 0 AS n, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high
+            UNION ALL
+            SELECT n + 1, coalesce(edge, low), least(high, coalesce(edge, low) + (high - low) / 32)
+            FROM (
+                SELECT n, low, high, (
+                    SELECT max(low + (high - low) / 32 * i) FROM range(1, 32) AS grid (i), ends
+                    WHERE (most / pow(most, low + (high - low) / 32 * i))
+                          / (least / pow(least, low + (high - low) / 32 * i)) > {MAX_REPEATS}
+                ) AS edge
+                FROM rounds WHERE n < 8
+            ) AS halved
+        ),
+        exponent AS (SELECT high AS alpha FROM rounds WHERE n = 8),
+        weighted AS (
+            SELECT *, pow(CAST(tokens AS DOUBLE), alpha) / sum(pow(CAST(tokens AS DOUBLE), alpha)) OVER () AS weight
+            FROM sizes, exponent
+        ),
+        quotas AS (
+            SELECT *, greatest(CAST(floor(weight * max(tokens / weight) OVER ()) AS BIGINT), tokens) AS quota FROM weighted
+        ),
+        dealt AS (
+            SELECT u.source, u.id, u.tokens, q.tokens AS total, q.quota, q.weight, q.alpha,
+                   CAST('0x' || substr(md5('0:' || u.id), 1, 8) AS BIGINT) % CAST(ceil(q.docs / 256) AS BIGINT) AS block,
+                   unnest(range(CAST(ceil(q.quota / q.tokens) AS BIGINT))) AS epoch
+            FROM units AS u JOIN quotas AS q ON u.source IS NOT DISTINCT FROM q.source
+        ),
+        blocks AS (
+            SELECT source, epoch, block,
+                   sum(sum(tokens)) OVER (PARTITION BY source, epoch ORDER BY md5('0:' || epoch || ':' || block), block)
+                   - sum(tokens) AS block_start
+            FROM dealt GROUP BY source, epoch, block
+        ),
+        draws AS (
+            SELECT d.*, CAST(epoch * total + block_start
+                   + sum(tokens) OVER (PARTITION BY d.source, epoch, block ORDER BY md5('0:' || epoch || ':' || id), id)
+                   - tokens AS BIGINT) AS start
+            FROM dealt AS d JOIN blocks AS b USING (epoch, block)
+            WHERE d.source IS NOT DISTINCT FROM b.source
+        )
+        SELECT source, id AS doc_id, CAST(epoch AS INTEGER) AS epoch, block, tokens, start, quota,
+               round(weight, 9) AS weight, round(alpha, 9) AS alpha
+        FROM draws WHERE start < quota
+    """,
     "op8_exact_duplicates": f"""
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
