@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import NULL_ID, arrow_rows, free_name, text_of
 from tidemark.llm.components import components
-from tidemark.llm.words import mixed, runs, spread_words
+from tidemark.llm.words import give_back, mixed, runs, spread_words
 from tidemark.scratch import release, store
 
 WORDS = 5
@@ -122,6 +122,7 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names=["id", "n_shingles", "set_a", "set_b", "signature", "bands"],
             )
+    give_back()
 
 
 def agreeing(x: Column, y: Column) -> Column:
@@ -167,6 +168,7 @@ def confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays(
             [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"]
         )
+    give_back()
 
 
 def set_of(text: str) -> np.ndarray:
@@ -216,6 +218,7 @@ def shingle_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for ids, data, bounds in runs(batch):
             sets = [s.tobytes() for s in shingle_sets(data, bounds)]
             yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["id", "shingles"])
+    give_back()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.chunks import encoder
 from tidemark.llm.common import text_of
 from tidemark.llm.records import text_batches
+from tidemark.llm.words import give_back
 
 #: (document, start, length, sequence, offset), documents and sequences numbered in the window.
 Piece = tuple[int, int, int, int, int]
@@ -120,6 +121,7 @@ def pack_partition(
             yield flush()
     if ids:
         yield flush()
+    give_back()
 
 
 def pack_documents(

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import free_name, text_of
 from tidemark.llm.near_dups import FACTORS, SUMMANDS, set_of
+from tidemark.llm.words import give_back
 from tidemark.scratch import release, store
 
 #: Labelled rows that are used to choose words and fit weights, at most.
@@ -50,7 +51,7 @@ MAX_WORDS, LEAST_ROWS, LEAST_RATIO = 1_000, 3, 24.0
 SKETCH = 4
 
 #: Decoded tokens that a Python worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 #: What digits and signs may stand for.
 LOOKS = {
@@ -86,6 +87,7 @@ def char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             word = (two | three) > 0
             gram, n = np.unique((one << 20 | two << 10 | three)[word], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int32()), pa.array(n, pa.int64())], names=["gram", "n"])
+    give_back()
 
 
 class CharModel:
@@ -350,6 +352,8 @@ def with_scores(docs: DataFrame, model: ToxicityModel, name: str = "score", text
         restorer = Restorer(shared.value.chars)
         for some in texts:
             yield pd.Series(shared.value.scores(some.tolist(), restorer), dtype="float64")
+        restorer = some = None
+        give_back()
 
     return docs.withColumn(name, score(text_of(text_col)))
 

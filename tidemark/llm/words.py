@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at a time; a longer text is worked on alone.
-RUN = 2_000_000
+RUN = 1_000_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -20,6 +23,15 @@ VALUE[ord("A") : ord("Z") + 1] = VALUE[ord("a") : ord("z") + 1]
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def give_back() -> None:
+    """Return the memory that a task has freed to the system: Python workers are kept for later tasks,
+    and what one of them holds is missing to the others of its executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = x ^ (x >> np.uint64(30))
