@@ -5,7 +5,8 @@ remembered, so the library sees a chunk once while it is remembered. The ids are
 text. Two rules where to cut are known here:
 
 * `keeps_blanks=True`, byte-level vocabularies: a single blank between two characters that are no
-  white space starts a new piece of the splitting pattern, so the cut lies before that blank.
+  white space starts a new piece of the splitting pattern, so the cut lies before that blank; a single
+  line feed between two such characters is a piece of its own.
 * `keeps_blanks=False`, vocabularies whose splitting pattern drops white space and whose normaliser
   writes lower case: any blank or line feed.
 """
@@ -15,12 +16,14 @@ from __future__ import annotations
 import gc
 import os
 import re
+from array import array
 from itertools import accumulate, chain
 
 import numpy as np
 
-#: No more chunks are remembered in one Python worker beyond these; frequent ones come early.
-REMEMBERED = 600_000
+#: No more chunks are remembered in one Python worker beyond these; frequent ones come early. A hundred
+#: thousand take 25 to 40 MB.
+REMEMBERED = 300_000
 
 #: A blank between two characters that are no white space (Python's notion, the stricter one).
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -37,38 +40,41 @@ WRITTEN = {b: chr(b) for b in PRINTABLE} | {
 _encoders: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
-def encoder(path: str, keeps_blanks: bool) -> ChunkEncoder:
+def encoder(path: str, keeps_blanks: bool, remembered: int = REMEMBERED) -> ChunkEncoder:
     """The encoder of this Python worker for a tokenizer file."""
     if (path, keeps_blanks) not in _encoders:
-        _encoders[path, keeps_blanks] = ChunkEncoder(path, keeps_blanks)
+        _encoders[path, keeps_blanks] = ChunkEncoder(path, keeps_blanks, remembered)
     return _encoders[path, keeps_blanks]
 
 
 class ChunkEncoder:
-    def __init__(self, path: str, keeps_blanks: bool):
+    def __init__(self, path: str, keeps_blanks: bool, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.keeps_blanks = keeps_blanks
+        self.remembered = remembered
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.memory: dict[str, bytes] = {}
         self.marks = {m: self.plain(m) for m in ".,"}
+        self.feed = self.plain("\n")
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def word(self, letters: str) -> bytes:
+    def word(self, letters: str, after_feed: bool = False) -> bytes:
         """Ids of Latin letters alone, which the splitting pattern leaves in one piece."""
         if self.keeps_blanks:
-            written = " " + letters
-            written = "Ġ" + letters if letters.isascii() else written.encode().decode("latin1").translate(WRITTEN)
+            written = letters if after_feed else " " + letters
         else:
             written = letters.lower()
-            if not letters.isascii():
-                written = written.encode().decode("latin1").translate(WRITTEN)
-        return np.array([t.id for t in self.model.tokenize(written)], self.dtype).tobytes()
+        if letters.isascii():
+            written = written.replace(" ", WRITTEN[0x20])
+        else:
+            written = written.encode().decode("latin1").translate(WRITTEN)
+        return array(self.dtype.char, [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks that stand alone: words, with a mark or without, by the tokenizer's model,
@@ -77,14 +83,20 @@ class ChunkEncoder:
         for chunk in chunks:
             mark = chunk[-1:] if chunk[-1:] in self.marks else ""
             letters = chunk[:-1] if mark else chunk
-            if letters.isalpha() and max(letters) < LATIN and "İ" not in letters:
-                ids = self.memory.get(letters) or self.word(letters)
+            after_feed = letters[:1] == "\n"
+            if after_feed:
+                letters = letters[1:]
+            if letters.isalpha() and (letters.isascii() or max(letters) < LATIN and "İ" not in letters):
+                if after_feed:
+                    ids = self.feed + self.word(letters, after_feed)
+                else:
+                    ids = self.memory.get(letters) or self.word(letters)
                 known[chunk] = ids + self.marks[mark] if mark else ids
             elif self.alone(chunk):
                 others.append(chunk)
         if others:
-            lead = " " if self.keeps_blanks else ""
-            encodings = self.tokenizer.encode_batch_fast([lead + c for c in others], add_special_tokens=False)
+            led = [" " + c if self.keeps_blanks and c[0] != "\n" else c for c in others]
+            encodings = self.tokenizer.encode_batch_fast(led, add_special_tokens=False)
             ids = [e.ids for e in encodings]
             ends = [0, *accumulate(len(i) * self.dtype.itemsize for i in ids)]
             raw = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
@@ -92,8 +104,11 @@ class ChunkEncoder:
         return known
 
     def alone(self, chunk: str) -> bool:
-        """Whether its ids are the same wherever the chunk stands between two blanks."""
-        return not self.keeps_blanks or bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
+        """Whether its ids are the same wherever the chunk stands between two cuts."""
+        if not self.keeps_blanks:
+            return True
+        inner = chunk[1:] if chunk[:1] == "\n" else chunk
+        return bool(inner) and not inner[0].isspace() and not inner[-1].isspace()
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -109,20 +124,22 @@ class ChunkEncoder:
                 gc.enable()
 
     def _encode_all(self, texts: list[str]) -> list[bytes]:
-        if not self.keeps_blanks:
-            texts = [t.replace("\n", " ") for t in texts]
-        parts = [t.split(" ") for t in texts]
+        if self.keeps_blanks:  # a chunk that begins with a line feed had no blank before it
+            parts = [t.replace("\n", " \n").split(" ") for t in texts]
+        else:
+            flat = [t.replace("\n", " ") for t in texts]
+            parts = [(t.lower() if t.isascii() else t).split(" ") for t in flat]
         memory = self.memory
         heads = [p.pop(0) for p in parts] if self.keeps_blanks else [""] * len(parts)
         found = [list(map(memory.get, p)) for p in parts]
-        holes = [i for i, f in enumerate(found) if None in f]
+        holes = [(p, f, [k for k, ids in enumerate(f) if ids is None]) for p, f in zip(parts, found, strict=True) if None in f]
         if holes:
-            new = {c for i in holes for c, f in zip(parts[i], found[i], strict=True) if f is None}
-            extra = self.learn(new)
-            if len(memory) < REMEMBERED:
+            extra = self.learn({p[k] for p, _, gaps in holes for k in gaps})
+            if len(memory) < self.remembered:
                 memory.update(extra)
-            for i in holes:
-                found[i] = [extra.get(c) if f is None else f for c, f in zip(parts[i], found[i], strict=True)]
+            for p, f, gaps in holes:
+                for k in gaps:
+                    f[k] = extra.get(p[k])
         out = []
         for text, head, f in zip(texts, heads, found, strict=True):
             if None in f or head and head[-1].isspace():

@@ -45,6 +45,9 @@ TAIL = struct.Struct("<I")
 PAYLOAD = struct.Struct("<qBIB")
 INDEX = struct.Struct("<QQQq")
 
+#: Chunks that a writing task remembers: writing runs alone, and byte-level ids cost more to find.
+REMEMBERED = 600_000
+
 #: Text encoded at a time in a task.
 PIECE = 4_000_000
 
@@ -108,7 +111,7 @@ def write_shard(
     """Writes the rows of one partition as a shard and gives its manifest row."""
     shard = TaskContext.get().partitionId()
     name = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}"
-    encode = encoder(tokenizer, keeps_blanks)
+    encode = encoder(tokenizer, keeps_blanks, REMEMBERED)
     end = b"" if end_id is None else np.array([end_id], encode.dtype).tobytes()
     width = encode.dtype.itemsize
     compress = zstandard.ZstdCompressor(level=1).compress
