@@ -65,6 +65,29 @@ def test_distinct_entities_stay_distinct(spark, monkeypatch):
     assert len(set(new_names)) == 50 and not {n.lower() for n in new_names} & {n.split()[1].lower() for n in names}
 
 
+def test_masked_secrets_are_no_entities(spark):
+    masks = ["password: ********", "token = ......", 'secret: "------"', "(api_key=______),", "passwd: ••••••••."]
+    real = ["password: !@$%^&|/", "token=٣٤٥٦٧٨", "password: ****abc1"]
+    rows = pseudonymise(table(spark, *enumerate(masks + real)), "k").orderBy("doc_id").collect()
+    assert [(r.n_entities, r.text) for r in rows[: len(masks)]] == [(0, m) for m in masks]
+    assert [r.n_entities for r in rows[len(masks) :]] == [1, 1, 1]
+    assert re.fullmatch(r"password: [a-z]{8}", rows[-3].text) and re.fullmatch(r"token=\d{6}", rows[-2].text, re.A)
+    assert re.fullmatch(r"password: \*{4}[a-z]{3}\d", rows[-1].text) and rows[-1].text != real[-1]
+
+
+def test_forms_that_fill_their_format_are_settled(spark, monkeypatch):
+    """All values of a format are originals: secrets grow by letters, numbers by digits after ATTEMPTS."""
+    texts = [f"password: {i}*****" for i in range(10)]
+    out = replaced(spark, *texts)
+    assert len(set(out)) == 10 and not set(out) & set(texts)
+    monkeypatch.setattr(surrogates, "ATTEMPTS", 2)
+    forms = spark.createDataFrame([("ssn", str(i), "", "") for i in range(10)], "kind string, form string, gender string, script string")
+    drawn = [r.surrogate for r in surrogates.surrogates(forms, "k").collect()]
+    assert len(drawn) == len(set(drawn)) == 10 and all(d.isdigit() and len(d) > 1 for d in drawn)
+    longer = spark.createDataFrame([("ssn", "1-2", "34567")], "kind string, value string, surrogate string")
+    assert longer.select(surrogates.written()).first()[0] == "3-4567"
+
+
 def test_key_decides(spark):
     text = "mail a.person@company.org"
     assert replaced(spark, text) == replaced(spark, text) != replaced(spark, text, key="other")

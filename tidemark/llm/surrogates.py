@@ -8,8 +8,9 @@
 3. A surrogate is drawn from a SHA-256 of the key, kind, form and attempt: digits for digits, letters for
    letters, octets for octets, and for names syllables of the script with the ending of the gender.
 4. Surrogates that two forms share, or that occur as an original anywhere in the corpus, are drawn again
-   with the next attempt, which also widens the choice, until none is left. So different entities
-   stay different, and no surrogate points at another person of the corpus.
+   with the next attempt until none is left. Each attempt widens the choice of addresses, secrets and
+   names; numbers keep their format for ATTEMPTS attempts and then get longer, so every form is settled.
+   So different entities stay different, and no surrogate points at another person of the corpus.
 5. Texts are split by the same pattern and joined again with the surrogates in between.
 
 Everything is DataFrame code. The distinct forms are combined before the shuffle; mentions meet their
@@ -18,11 +19,15 @@ by adaptive execution. Mentions are gathered by text only. Whole texts are shuff
 
 Defined cases: a null text stays null and has no entity; an empty text stays empty. Rows that repeat an id
 and text get equal results, rows that share an id are told apart by a hash of the text, and a null id is
-an id like others. An empty table gives an empty result. Other columns are not looked at.
+an id like others. An empty table gives an empty result. Other columns are not looked at. A masked secret
+("password: ********", signs of MASK alone) is no entity and stays; a secret of other signs without a
+letter or digit gets a letter for each sign.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +42,12 @@ TITLES = {
 
 NAME = r"\p{Lu}[\p{L}'’-]+"
 
+#: Signs that stand in the place of a secret, and what may follow them.
+MASK = r"[*•●∙·.…_#~=<>-]+[,;:!?)}'’\]]*"
+
 #: Kinds and their patterns, in the order in which they are tried at a place.
 PATTERNS = {
-    "secret": r"\bAKIA[0-9A-Z]{16}\b|(?i:\b(?:password|passwd|token|secret|api_?key)\s*[=:]\s*\"?[^\s\"]{6,}\"?)",
+    "secret": r"\bAKIA[0-9A-Z]{16}\b|(?i:\b(?:password|passwd|token|secret|api_?key)\s*[=:]\s*\"?(?!" + MASK + r"(?:[\s\"]|\z))[^\s\"]{6,}\"?)",
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d)",
     "card": r"(?<!\d)\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?!\d)",
@@ -63,7 +71,8 @@ ENDINGS = {
     "greek": {"male": "ς", "female": "α", "": "ν"},
 }
 
-ATTEMPTS = 50
+#: Attempts after which numbers no longer keep their length, and addresses of four octets their range.
+ATTEMPTS = 20
 
 
 def kind_of(value: Column) -> Column:
@@ -127,22 +136,29 @@ def drawn(key: str) -> dict[str, Column]:
     hex_ = F.concat(F.sha2(parts, 256), F.sha2(F.concat(F.lit("+"), parts), 256))
     digits = F.translate(hex_, "abcdef", "012345")
     letters = F.translate(hex_, "0123456789", "ghijkmnpqr")
-    # each sign by one of its class; beyond 128 signs the stream starts anew
+    # each sign by one of its class, and by letters where there is no letter or digit; beyond 128 signs the
+    # stream starts anew
     walk = """aggregate(
         split(form, ''), struct('' AS done, 0 AS i),
         (acc, c) -> struct(
-            concat(acc.done, CASE WHEN c RLIKE '[0-9]' THEN substring(digits, acc.i % 128 + 1, 1)
+            concat(acc.done, CASE WHEN c RLIKE '\\\\p{N}' THEN substring(digits, acc.i % 128 + 1, 1)
                                   WHEN c RLIKE '\\\\p{Lu}' THEN upper(substring(letters, acc.i % 128 + 1, 1))
-                                  WHEN c RLIKE '\\\\p{L}' THEN substring(letters, acc.i % 128 + 1, 1)
+                                  WHEN c RLIKE '\\\\p{L}' OR NOT form RLIKE '[\\\\p{L}\\\\p{N}]'
+                                      THEN substring(letters, acc.i % 128 + 1, 1)
                                   ELSE c END) AS done,
             acc.i + 1 AS i),
         acc -> acc.done)"""
-    # an address keeps its last label, and grows by letters when its own length leaves too little choice
+    # addresses and secrets grow by letters when their own length leaves too little choice, an address
+    # keeps its last label
     wider = "repeat(substring(letters, 100, 1 + attempt), least(attempt, 1))"
     email = f"""concat({wider}, substring({walk}, 1, char_length(form) - char_length(substring_index(form, '.', -1))),
                 substring_index(form, '.', -1))"""
+    secret = f"concat({wider}, {walk})"
+    longer = f"concat({walk}, substring(digits, 100, greatest(attempt - {ATTEMPTS}, 0)))"
     octet = lambda i: f"cast(conv(substring(hex, {2 * i + 1}, 2), 16, 10) AS int)"
     ip = f"concat_ws('.', 1 + {octet(0)} % 223, {octet(1)}, {octet(2)}, 1 + {octet(3)} % 254)"
+    thousand = lambda i: f"cast(conv(substring(hex, {8 * i + 1}, 8), 16, 10) AS long) % 1000"
+    ip = f"IF(attempt > {ATTEMPTS}, concat_ws('.', {', '.join(thousand(i) for i in range(4))}), {ip})"
     cases = []
     for script, syllables in SYLLABLES.items():
         table = "array(" + ", ".join(f"'{s}'" for s in syllables.split()) + ")"
@@ -152,7 +168,8 @@ def drawn(key: str) -> dict[str, Column]:
         cases.append(f"WHEN script = '{script}' THEN concat({stem}, {ending})")
     name = f"CASE {' '.join(cases)} END"
     chosen = f"""CASE WHEN kind = 'email' THEN {email} WHEN kind = 'ip' THEN {ip}
-                      WHEN kind IN ('given', 'family') THEN {name} ELSE {walk} END"""
+                      WHEN kind IN ('given', 'family') THEN {name} WHEN kind = 'secret' THEN {secret}
+                      ELSE {longer} END"""
     return {"hex": hex_, "digits": digits, "letters": letters, "chosen": F.expr(chosen)}
 
 
@@ -168,7 +185,7 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
 
     known, known_path = store(draw(forms.withColumn("attempt", F.lit(0))), "surrogates")
     originals = forms.select("kind", F.col("form").alias("surrogate")).distinct()
-    for attempt in range(1, ATTEMPTS + 1):
+    for attempt in count(1):  # each attempt leaves less, as the choice grows
         first = known.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", *of)).alias("owner"))
         clashing = known.join(first, ["kind", "surrogate"]).where(F.struct("attempt", *of) != F.col("owner"))
         again = clashing.select(*of).unionAll(
@@ -183,16 +200,15 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
         release(known.sparkSession, known_path)
         release(known.sparkSession, again_path)
         known, known_path = new, path
-    raise RuntimeError(f"surrogates still clash after {ATTEMPTS} attempts")
 
 
 def written() -> Column:
-    """A surrogate in the format of the value it replaces."""
+    """A surrogate in the format of the value it replaces; digits beyond the value's own come last."""
     fill = """aggregate(
         split(value, ''), struct('' AS done, 1 AS i),
         (acc, c) -> IF(c RLIKE '[0-9]', struct(concat(acc.done, substring(surrogate, acc.i, 1)) AS done, acc.i + 1 AS i),
                        struct(concat(acc.done, c) AS done, acc.i AS i)),
-        acc -> acc.done)"""
+        acc -> concat(acc.done, substring(surrogate, acc.i, char_length(surrogate))))"""
     numbers = F.col("kind").isin("card", "phone", "ssn")
     name = F.col("kind").isin("given", "family")
     shout = F.col("value") == F.upper("value")
