@@ -88,6 +88,29 @@ def test_forms_that_fill_their_format_are_settled(spark, monkeypatch):
     assert longer.select(surrogates.written()).first()[0] == "3-4567"
 
 
+def test_forms_not_in_the_test_tables(spark):
+    forms = {
+        "phone": ["(555) 123-4567", "030 1234567", "0044 20 7946 0018", "555-123-4567", "+33 1 23 45 67 89", "+49 30 12345678", "(030) 1234567", "0171/1234567"],
+        "card": ["3782 822463 10005", "378282246310005", "30569309025904", "6212345678901234567"],
+        "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"],
+        "ipv6": ["2001:db8::ff00:42:8329", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1"],
+        "secret": ["ghp_" + "aB3" * 12, "sk-" + "Zq9" * 12, "xoxb-123456789012-abcdefABCDEF", "-----BEGIN RSA PRIVATE KEY-----\nMIIEow+/IBAAKC=\n"],
+    }
+    pairs = [(kind, form) for kind, several in forms.items() for form in several]
+    out = replaced(spark, *(f"See {form} now" if "BEGIN" not in form else f"See {form}-----END RSA PRIVATE KEY----- now" for _, form in pairs))
+    for (kind, form), text in zip(pairs, out, strict=True):
+        new = text.removeprefix("See ").removesuffix(" now").removesuffix("-----END RSA PRIVATE KEY-----")
+        assert text.startswith("See ") and text.endswith(" now") and new != form, (form, text)
+        shape = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "0", s)))
+        assert re.fullmatch("(?:[0-9a-f]{4}:){7}[0-9a-f]{4}", new) if kind == "ipv6" else shape(new) == shape(form), (form, new)
+    assert out[2].startswith("See 0044 ") and "DE" in out[pairs.index(("iban", forms["iban"][0]))]
+
+
+def test_numbers_that_are_no_personal_data_stay(spark):
+    texts = ["x[1::2] std::add::1 a::b", "12:30:45 and 10:20", "in 2019-2020, 1000000 or 1,234,567", "0.12345678 and 1.5e-0300", "ISO 8601 2024-01-02", "version 2.10.3", "AB12 CD"]
+    assert replaced(spark, *texts) == texts
+
+
 def test_key_decides(spark):
     text = "mail a.person@company.org"
     assert replaced(spark, text) == replaced(spark, text) != replaced(spark, text, key="other")

@@ -1,12 +1,13 @@
 """Personal data replaced by keyed surrogates of the same kind, gender, script and format.
 
-1. One pattern finds all entities of a text: e-mail addresses, card and phone numbers, social security
-   numbers, IPv4 addresses, secrets (keys, tokens, passwords) and names after a title.
+1. One pattern finds all entities of a text: e-mail addresses, card, account (IBAN) and phone numbers,
+   social security numbers, IPv4 and IPv6 addresses, secrets (keys, tokens, passwords) and names after a
+   title.
 2. An entity's canonical form is what its spellings share (an address in lower case, a number's digits, a
    single name in lower case), so each mention of it gets the same surrogate, in whatever format it
    is written there. "Mr. John Smith" and "Mr. Smith" share the surrogate of Smith.
 3. A surrogate is drawn from a SHA-256 of the key, kind, form and attempt: digits for digits, letters for
-   letters, octets for octets, and for names syllables of the script with the ending of the gender.
+   letters, octets for octets, eight groups for an IPv6 address, and for names syllables of the script with the ending of the gender.
 4. Surrogates that two forms share, or that occur as an original anywhere in the corpus, are drawn again
    with the next attempt until none is left. Each attempt widens the choice of addresses, secrets and
    names; numbers keep their format for ATTEMPTS attempts and then get longer, so every form is settled.
@@ -45,16 +46,38 @@ NAME = r"\p{Lu}[\p{L}'’-]+"
 #: Signs that stand in the place of a secret, and what may follow them.
 MASK = r"[*•●∙·.…_#~=<>-]+[,;:!?)}'’\]]*"
 
+#: What secrets begin with; it is kept.
+BEGIN = r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----"
+BARE = r"\b(?:gh[pousr]_|github_pat_|glpat-|sk-|[sr]k_(?:live|test)_|xox[abeprs]-|AIza|eyJ)"
+NAMED = r"(?i:\b(?:password|passwd|token|secret|api_?key)\s*[=:]\s*)"
+
+#: A group of an IPv6 address.
+H = r"[0-9A-Fa-f]{1,4}"
+
 #: Kinds and their patterns, in the order in which they are tried at a place.
 PATTERNS = {
-    "secret": r"\bAKIA[0-9A-Z]{16}\b|(?i:\b(?:password|passwd|token|secret|api_?key)\s*[=:]\s*\"?(?!" + MASK + r"(?:[\s\"]|\z))[^\s\"]{6,}\"?)",
+    "secret": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|" + NAMED + r"\"?(?!" + MASK + r"(?:[\s\"]|\z))[^\s\"]{6,}\"?"
+    + "|" + BARE + r"[A-Za-z0-9_-]{16,}(?:\.[A-Za-z0-9_-]+){0,2}"
+    + "|" + BEGIN + r"(?:[^-]++|-(?!----))++",
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d)",
-    "card": r"(?<!\d)\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?!\d)",
-    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)",
+    # the short form with three colons at least, or of a local range: not '1::2' or 'a::b' of programs
+    "ipv6": r"(?<![\w:.])(?=[A-Fa-f:]*\d)(?:" + f"(?:{H}:){{7}}{H}|(?=(?:[0-9A-Fa-f]*:){{3}}|[Ff][CcDdEe][0-9A-Fa-f]{{2}}:)"
+    + f"(?:{H}:){{1,6}}(?::{H}){{1,6}}" + r")(?![\w:])",
+    "iban": r"\b[A-Z]{2}\d{2}(?:(?=[A-Z0-9]*\d{5})[A-Z0-9]{11,30}|"
+    r" [A-Z0-9]{4}(?: (?=[A-Z]*\d)[A-Z0-9]{4}){1,6}(?: (?=[A-Z]*\d)[A-Z0-9]{1,3})?)\b",
+    # 16 digits, 15 of American Express, 14 of Diners, 19 that begin with 6
+    "card": r"(?<!\d)(?:6\d{3}(?:[ -]?\d{4}){3}[ -]?\d{3}|\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}"
+    r"|3[47]\d{2}[ -]?\d{6}[ -]?\d{5}|3[068]\d{2}[ -]?\d{6}[ -]?\d{4})(?!\d)",
+    # with country code; with an area code in brackets; with a trunk zero and a gap; three, three and four
+    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)"
+    r"|(?:\+|(?<![\w.,+-])00)[1-9]\d{0,2}(?:[ .-]?\(0\))?(?=(?:[ ./()-]{0,2}\d){7,12}(?!\d))(?:[ ./-]?\(?\d{1,8}\)?){1,6}(?!\d)"
+    r"|\(\d{2,5}\)[ .-]?\d{3,4}(?:[ .-]?\d{2,4}){1,2}(?!\d)"
+    r"|(?<![\w.,+-])0[1-9]\d{1,4}[ /-](?=(?:[ -]?\d){5,9}(?!\d))\d{2,8}(?:[ -]?\d{2,8}){0,3}(?!\d)"
+    r"|(?<![\w.,+-])(?:1[ .-])?[2-9]\d{2}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "name": r"\b(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\b\.? " + NAME + r"(?: " + NAME + r")?",
-}
+}
 
 #: No groups that capture: they would mean different things to finding and to splitting.
 PATTERN = "|".join(PATTERNS.values())
@@ -96,8 +119,9 @@ def mentions(texts: DataFrame) -> DataFrame:
     gender = F.when(title.isin(TITLES["male"]), "male").when(title.isin(TITLES["female"]), "female").otherwise("")
     head = (
         F.when(F.col("kind") == "name", F.regexp_extract("whole", r"^([\p{L}]+\.?) ", 1))
-        .when(F.col("kind") == "phone", F.regexp_extract("whole", r"^(\+\d{1,3}(?=[^\d])|\+\d)", 1))
-        .when(F.col("kind") == "secret", F.regexp_extract("whole", r"^(AKIA|[^=:]+[=:]\s*)", 1))
+        .when(F.col("kind") == "phone", F.regexp_extract("whole", r"^((?:\+|00)\d{1,3}(?=[^\d])|\+\d|00\d)", 1))
+        .when(F.col("kind") == "secret", F.regexp_extract("whole", f"^({BEGIN}|AKIA|ASIA|{BARE}|{NAMED})", 1))
+        .when(F.col("kind") == "iban", F.substring("whole", 1, 2))
         .otherwise("")
     )
     rest = F.expr("substring(whole, char_length(head) + 1)")
@@ -112,6 +136,7 @@ def mentions(texts: DataFrame) -> DataFrame:
     given = (F.col("kind") == "name") & (F.col("part") < F.col("parts") - 1)
     form = (
         F.when(F.col("kind").isin("card", "phone", "ssn"), F.regexp_replace("value", r"[^0-9]", ""))
+        .when(F.col("kind") == "iban", F.regexp_replace("value", " ", ""))
         .when(F.col("kind") == "secret", F.regexp_replace("value", '"', ""))
         .otherwise(F.lower("value"))
     )
@@ -159,6 +184,7 @@ def drawn(key: str) -> dict[str, Column]:
     ip = f"concat_ws('.', 1 + {octet(0)} % 223, {octet(1)}, {octet(2)}, 1 + {octet(3)} % 254)"
     thousand = lambda i: f"cast(conv(substring(hex, {8 * i + 1}, 8), 16, 10) AS long) % 1000"
     ip = f"IF(attempt > {ATTEMPTS}, concat_ws('.', {', '.join(thousand(i) for i in range(4))}), {ip})"
+    ipv6 = f"concat_ws(':', {', '.join(f'substring(hex, {4 * i + 1}, 4)' for i in range(8))})"
     cases = []
     for script, syllables in SYLLABLES.items():
         table = "array(" + ", ".join(f"'{s}'" for s in syllables.split()) + ")"
@@ -167,7 +193,7 @@ def drawn(key: str) -> dict[str, Column]:
                    i -> element_at({table}, cast(conv(substring(hex, i, 1), 16, 10) AS int) + 1)), '')"""
         cases.append(f"WHEN script = '{script}' THEN concat({stem}, {ending})")
     name = f"CASE {' '.join(cases)} END"
-    chosen = f"""CASE WHEN kind = 'email' THEN {email} WHEN kind = 'ip' THEN {ip}
+    chosen = f"""CASE WHEN kind = 'email' THEN {email} WHEN kind = 'ip' THEN {ip} WHEN kind = 'ipv6' THEN {ipv6}
                       WHEN kind IN ('given', 'family') THEN {name} WHEN kind = 'secret' THEN {secret}
                       ELSE {longer} END"""
     return {"hex": hex_, "digits": digits, "letters": letters, "chosen": F.expr(chosen)}
@@ -206,10 +232,10 @@ def written() -> Column:
     """A surrogate in the format of the value it replaces; digits beyond the value's own come last."""
     fill = """aggregate(
         split(value, ''), struct('' AS done, 1 AS i),
-        (acc, c) -> IF(c RLIKE '[0-9]', struct(concat(acc.done, substring(surrogate, acc.i, 1)) AS done, acc.i + 1 AS i),
+        (acc, c) -> IF(c RLIKE '[0-9A-Z]', struct(concat(acc.done, substring(surrogate, acc.i, 1)) AS done, acc.i + 1 AS i),
                        struct(concat(acc.done, c) AS done, acc.i AS i)),
         acc -> concat(acc.done, substring(surrogate, acc.i, char_length(surrogate))))"""
-    numbers = F.col("kind").isin("card", "phone", "ssn")
+    numbers = F.col("kind").isin("card", "iban", "phone", "ssn")
     name = F.col("kind").isin("given", "family")
     shout = F.col("value") == F.upper("value")
     cased = F.when(shout & (F.char_length("value") > 1), F.upper("surrogate")).otherwise(F.initcap("surrogate"))
