@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 
 from tests.llm.conftest import odd_rows, table, words
+from tidemark.llm import suffix_dedup
 from tidemark.llm.suffix_dedup import remove_repeats
 
 
@@ -67,6 +68,28 @@ def test_a_string_is_repeated_from_its_full_length_on(spark):
     assert all(r[2] == 0 for r in found(table(spark, (1, "<" + cut + ">"), (2, "[" + cut + "]"))))
 
 
+@pytest.mark.parametrize("open_, group, held", [(3, 20, 20_000), (10**6, 20, 10**6), (3, 10**6, 50)])
+def test_a_passage_in_many_contexts_is_no_large_group(spark, monkeypatch, open_, group, held):
+    for name, value in (("OPEN", open_), ("GROUP", group), ("HELD", held)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    passage, other = words(900, 60)[:150], words(901, 60)[:90]
+    rows = []
+    for i in range(300):
+        tail = words(5000 + i // 3, 12)  # three texts go on alike
+        rows.append((i, words(3000 + i, 12) + passage + tail + (other if i % 2 else "")))
+    rows += [(400, rows[7][1]), (401, rows[8][1][3:]), (7, rows[7][1]), (7, rows[9][1]), (None, rows[11][1]), (402, passage * 3)]
+    original = suffix_dedup.sort_groups
+
+    def bounded(batches, threshold):
+        held_ = list(batches)
+        sizes = Counter(k for b in held_ for k in b.column(0).to_pylist())
+        assert held == 50 or max(sizes.values(), default=0) <= 40, max(sizes.values())
+        yield from original(iter(held_), threshold)
+
+    monkeypatch.setattr(suffix_dedup, "sort_groups", bounded)
+    assert found(table(spark, *rows).repartition(4)) == brute_force(rows, 100)
+
+
 def test_kept_text(spark):
     text = words(8, 60)
     rows = {r.doc_id: bytes(r.kept).decode() for r in remove_repeats(table(spark, (1, text), (2, "own " + text)), with_text=True).collect()}

@@ -13,14 +13,19 @@ anchors at the same offset, and neighbouring windows mostly share theirs: one pl
 1. First digit, over the whole corpus: anchors meet by the hash of their gram. An anchor's context is all
    bytes of all windows that can hold it. Equal contexts (64 bits beside the 64 of the gram) repeat as a
    whole, so all but the earliest are settled at once, within a task before the shuffle already;
-   copies cost one row a task. Anchors alone with their gram leave.
+   copies cost one row a task. Anchors alone with their gram leave. A gram with OPEN contexts in a batch is
+   dealt by context instead; two marks a batch tell its other anchors, which stay with the gram.
 2. Second digit: anchors left, one for each different context of a gram, fetch their bytes and are
    dealt by which side of the gram a window may extend to: in each of FAMILIES cases the windows share 83
    bytes, so a frequent line does not gather all its occurrences in one group.
 3. The other digits, eight bytes a pass, in each group: for every start in the contexts.
 
-The text is shuffled once, for the bytes of step 2 and for the result alike. A group of step 2 is sorted
-in one task; it holds different contexts around 83 shared bytes, never copies.
+Grams with a mark or more than GROUP anchors are wide: instead of steps 2 and 3 each window of their
+contexts is dealt by a hash of all its bytes (128 bits), and of equal windows that a task holds all but the
+earliest are settled before the shuffle. So a frequent passage in different contexts costs one row a task
+and window, and a group of step 2, which is sorted in one task, has at most GROUP rows.
+
+The text is shuffled once, for the bytes of step 2 and for the result alike.
 
 Defined cases: a null text is empty; texts shorter than the threshold repeat nothing. A null id comes
 before all others. Rows that repeat an id and its text are the same document and get the same result;
@@ -49,11 +54,18 @@ GRAM = 32
 #: Cases of how far a window extends to the left of its anchor.
 FAMILIES = 4
 
+#: Different contexts of a gram in a batch from which on they are dealt by context; anchors of a gram from
+#: which on its windows are; windows that a task holds to settle equal ones.
+OPEN, GROUP, HELD = 64, 20_000, 200_000
+
+#: Kinds of rows of step 1: an anchor, a settled span, an anchor dealt by context, a mark of its gram.
+ANCHOR, SETTLED, DEALT, MARK = range(4)
+
 _random = np.random.default_rng(3)
 ODD = _random.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 U = np.uint64
 
-ANCHORS = "gram long, context long, id long, place long, settled boolean"
+ANCHORS = "gram long, context long, id long, place long, kind byte"
 CONTEXTS = "family_key long, family int, id long, place long, bytes binary, before int, after int"
 SPANS = "id long, checksum long, begin long, end long"
 
@@ -127,9 +139,10 @@ def context_hash(data: np.ndarray, at: np.ndarray, before: np.ndarray, after: np
     return mixed(total)
 
 
-def find_anchors(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+def find_anchors(batches: Iterator[pa.RecordBatch], threshold: int, open_: int) -> Iterator[pa.RecordBatch]:
     """Anchors of texts; of equal contexts in a batch all but the earliest as settled spans, merged:
-    their `context` is the end, and the key of their row is arbitrary."""
+    their `context` is the end, and the key of their row is arbitrary. A gram with `open_` different
+    contexts in a batch has rows keyed by context, and two marks."""
     reach = threshold - GRAM
     for batch in batches:
         parts = []
@@ -159,14 +172,22 @@ def find_anchors(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[
         begin = np.maximum((place[again] >> 32) - reach, 0)
         id_, check, begin, end = merged(ids[again], place[again] & 0xFFFFFFFF, begin, (place[again] >> 32) + GRAM + reach)
         key = mixed(id_.view(U) ^ mixed(begin.view(U)))
+        heads = order[~np.r_[False, same]]  # one anchor of each context
+        runs_ = np.flatnonzero(np.r_[True, gram[heads][1:] != gram[heads][:-1]])
+        counts = np.diff(np.r_[runs_, len(heads)])
+        dealt = np.empty(len(order), bool)
+        dealt[order] = np.repeat(counts >= open_, counts)[np.cumsum(~np.r_[False, same]) - 1]
+        marks = runs_[counts >= max(open_, 2)]
+        marks = heads[np.r_[marks, marks + 1]]
+        gram_key = np.where(dealt, mixed(gram ^ mixed(context)), gram)
         columns = [
-            np.r_[gram[~again].view(np.int64), key.view(np.int64)],
-            np.r_[context[~again].view(np.int64), end],
-            np.r_[ids[~again], id_],
-            np.r_[place[~again], (begin << 32) | check],
-            np.r_[np.zeros((~again).sum(), bool), np.ones(len(id_), bool)],
+            np.r_[gram_key[~again].view(np.int64), key.view(np.int64), gram[marks].view(np.int64)],
+            np.r_[context[~again].view(np.int64), end, context[marks].view(np.int64)],
+            np.r_[ids[~again], id_, ids[marks]],
+            np.r_[place[~again], (begin << 32) | check, place[marks]],
+            np.r_[np.where(dealt[~again], DEALT, ANCHOR), np.full(len(id_), SETTLED), np.full(len(marks), MARK)].astype(np.int8),
         ]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "context", "id", "place", "settled"])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "context", "id", "place", "kind"])
 
 
 def merged(ids: np.ndarray, check: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -186,16 +207,23 @@ def families(reach: int) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1], cuts[1:], strict=True))
 
 
-def cut_contexts(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    """For each family an anchor can have windows in, the bytes of those windows.
+def cut_contexts(batches: Iterator[pa.RecordBatch], threshold: int, held: int) -> Iterator[pa.RecordBatch]:
+    """For each family an anchor can have windows in, the bytes of those windows; of a wide gram the hashes
+    of all windows (family FAMILIES) and spans that are settled here (family -1, `after` is their length).
 
-    Rows are (id, text, checksum, grams, positions) of a document."""
+    Rows are (id, text, checksum, grams, positions, wide) of a document."""
     reach = threshold - GRAM
+    wide_windows = Windows(threshold)
     for batch in batches:
         rows: list[tuple] = []
-        for id_, text, check, grams, places in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+        for id_, text, check, grams, places, wide in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
             data = text.encode()
-            for gram, at in zip(grams, places, strict=True):
+            for gram, at, by_window in zip(grams, places, wide, strict=True):
+                if by_window:
+                    wide_windows.add(data, id_, check, at)
+                    if len(wide_windows.first) >= held or len(wide_windows.settled) >= held:
+                        yield from wide_windows.rows()
+                    continue
                 for family, (few, many) in enumerate(families(reach)):
                     shared = data[max(at - few, 0) : at + GRAM + reach - many + 1]
                     if at < few or len(shared) < few + GRAM + reach - many + 1:
@@ -211,6 +239,43 @@ def cut_contexts(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[
                         rows = []
         if rows:
             yield context_batch(rows)
+    yield from wide_windows.rows()
+
+
+class Windows:
+    """The earliest place of each window seen, and the later ones, which are settled."""
+
+    def __init__(self, threshold: int):
+        self.threshold = threshold
+        self.first: dict[bytes, tuple[int, int]] = {}
+        self.settled: list[tuple[int, int]] = []
+
+    def add(self, data: bytes, id_: int, check: int, at: int) -> None:
+        """All windows that hold the gram at a place."""
+        for begin in range(max(at + GRAM - self.threshold, 0), min(at, len(data) - self.threshold) + 1):
+            digest = hashlib.blake2b(data[begin : begin + self.threshold], digest_size=16).digest()
+            spot = (id_, begin << 32 | check)
+            first = self.first.setdefault(digest, spot)
+            if first != spot:
+                if spot < first:
+                    self.first[digest] = spot
+                self.settled.append(max(spot, first))
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """Batches like those of contexts; then it starts anew."""
+        rows = [
+            (int.from_bytes(digest[:8], "little", signed=True), FAMILIES, id_, place, digest[8:], 0, 0)
+            for digest, (id_, place) in self.first.items()
+        ]
+        if self.settled:
+            ids, place = np.array(self.settled, np.int64).T
+            spans = merged(ids, place & 0xFFFFFFFF, place >> 32, (place >> 32) + self.threshold)
+            key = mixed(spans[0].view(U) ^ mixed(spans[2].view(U))).view(np.int64)
+            for key_, id_, check, begin, end in zip(key.tolist(), *(c.tolist() for c in spans), strict=True):
+                rows.append((key_, -1, id_, begin << 32 | check, b"", 0, end - begin))
+        self.first, self.settled = {}, []
+        for i in range(0, len(rows), 50_000):
+            yield context_batch(rows[i : i + 50_000])
 
 
 def context_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -241,7 +306,14 @@ def sort_groups(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[p
 
 def windows(held: list[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(held)
+    family = table.column(1).to_numpy()
+    by_bytes = (family >= 0) & (family < FAMILIES)
+    if not by_bytes.all():
+        yield from hashed_windows(table.filter(pa.array(~by_bytes)), threshold)
+        table = table.filter(pa.array(by_bytes))
     group, family, ids, place = (table.column(i).to_numpy() for i in range(4))
+    if not len(group):
+        return
     # a group of one row repeats nothing
     more = np.r_[group[1:] == group[:-1], False]
     more[1:] |= more[:-1].copy()
@@ -304,6 +376,24 @@ def windows(held: list[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBat
     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "checksum", "begin", "end"])
 
 
+def hashed_windows(table: pa.Table, threshold: int) -> Iterator[pa.RecordBatch]:
+    """Spans of windows whose hash also stands earlier, and those settled before, merged."""
+    group, family, ids, place = (table.column(i).to_numpy() for i in range(4))
+    size = np.where(family < 0, table.column(6).to_numpy(), threshold)
+    rest = np.array([int.from_bytes(b, "little") for b in table.column(4).to_pylist()], U)
+    order = np.lexsort((place, ids, rest, group, family))
+    new = np.r_[True, (group[order][1:] != group[order][:-1]) | (rest[order][1:] != rest[order][:-1])]
+    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    again = np.empty(len(order), bool)
+    again[order] = (ids[order] != ids[head]) | (place[order] != place[head])
+    for some in (np.flatnonzero((family == FAMILIES) & again), np.flatnonzero(family < 0)):
+        begin = place[some] >> 32
+        columns = (ids[some], place[some] & 0xFFFFFFFF, begin, begin + size[some])
+        if len(some) and family[some[0]] == FAMILIES:  # all of one length
+            columns = merged(*columns)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "checksum", "begin", "end"])
+
+
 def union_spans(spans: list[dict], size: int) -> list[tuple[int, int]]:
     """Spans joined where they overlap or touch, and cut to the text."""
     out: list[list[int]] = []
@@ -343,11 +433,13 @@ def remove_repeats(
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     rows = docs.select(number.alias("id"), text_of(text_col).alias("text"))
 
+    open_, held = OPEN, HELD
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return find_anchors(batches, threshold)
+        return find_anchors(batches, threshold, open_)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return cut_contexts(batches, threshold)
+        return cut_contexts(batches, threshold, held)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return sort_groups(batches, threshold)
@@ -359,15 +451,18 @@ def remove_repeats(
     anchored.createOrReplaceTempView(view := f"anchors_{id(anchored)}")
     met = docs.sparkSession.sql(f"""
         SELECT gram, id, place & 4294967295 AS checksum, shiftright(place, 32) AS at,
-               IF(settled, context, NULL) AS settled_end, earlier > 1 AS again
+               IF(kind = {SETTLED}, context, NULL) AS settled_end, earlier > 1 AS again,
+               kind = {DEALT} OR marked OR n > {GROUP} AS wide
         FROM (
             SELECT *,
                    rank() OVER (PARTITION BY gram, context ORDER BY id, place) AS earlier,
                    min(context) OVER (PARTITION BY gram) AS low,
-                   max(context) OVER (PARTITION BY gram) AS high
+                   max(context) OVER (PARTITION BY gram) AS high,
+                   max(kind = {MARK}) OVER (PARTITION BY gram) AS marked,
+                   count(*) OVER (PARTITION BY gram) AS n
             FROM {view}
         )
-        WHERE settled OR earlier > 1 OR low <> high
+        WHERE kind <> {MARK} AND (kind <> {ANCHOR} OR earlier > 1 OR low <> high)
     """)
     met, _ = store(met, "anchors")
     docs.sparkSession.catalog.dropTempView(view)
@@ -376,10 +471,10 @@ def remove_repeats(
         "id", "checksum", f"greatest(at - {reach}, 0) AS begin", f"at + {GRAM + reach} AS end"
     )
     left = met.where("settled_end IS NULL AND NOT again").groupBy("id", "checksum").agg(
-        F.collect_list(F.struct("gram", "at")).alias("places")
+        F.collect_list(F.struct("gram", "at", "wide")).alias("places")
     )
     texts = rows.withColumn("checksum", F.coalesce(F.crc32(F.encode("text", "UTF-8")), F.lit(0)))
-    contexts = texts.join(left, ["id", "checksum"]).select("id", "text", "checksum", "places.gram", "places.at")
+    contexts = texts.join(left, ["id", "checksum"]).select("id", "text", "checksum", "places.gram", "places.at", "places.wide")
     sorted_groups = (
         contexts.mapInArrow(cut, CONTEXTS)
         .repartition("family_key")
