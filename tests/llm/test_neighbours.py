@@ -77,6 +77,23 @@ def test_many_equal_vectors(spark, monkeypatch):
         assert got[q] == [(0.0, i) for i in range(11) if i != q][:10]
 
 
+def test_small_parts_are_topped_up(spark, monkeypatch):
+    """Every query goes to its own part only, and one part holds fewer rows than a query needs."""
+    def lopsided(x, parts):
+        second = np.zeros((neighbours.HIDDEN + 3, 3))
+        second[neighbours.HIDDEN] = [50.0, 0.0, -50.0]  # the first part holds x > 0, the last x < 0, the other none
+        router = neighbours.Router(np.zeros(2), np.ones(2), np.zeros((3, neighbours.HIDDEN)), second)
+        router.enough = 0.0
+        return router
+
+    monkeypatch.setattr(neighbours, "learn_router", lopsided)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 30)
+    rows = [(i, [1.0, i / 100]) for i in range(1, 95)] + [(100, [-1.0, 0.0]), (100, [-1.0, 0.5]), (101, [-1.0, 1.0])]
+    got = found(frame(spark, rows))
+    assert got.keys() == {*range(10, 100, 10), 100} and all(len(near) == 10 for near in got.values())
+    assert 101 in {i for _, i in got[100]}
+
+
 def test_parts_are_balanced_and_learned():
     x = vectors(900).astype(np.float64)
     part = balanced_parts(x, 8)

@@ -187,14 +187,18 @@ def vectors_of(batch: pa.RecordBatch, name: str = "vector") -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def route(batches: Iterator[pa.RecordBatch], router: Router, queries: bool) -> Iterator[pa.RecordBatch]:
-    """(id, vector) with the part, or for queries a row for every part they go to."""
+def route(
+    batches: Iterator[pa.RecordBatch], router: Router, held: np.ndarray | None = None, least: int = 0
+) -> Iterator[pa.RecordBatch]:
+    """(id, vector) with the part, or for queries, which give the rows `held` by each part, a row for every
+    part they go to: as many as are probable enough, and as many as hold `least` rows together."""
     for batch in batches:
         if not batch.num_rows:
             continue
         order, before = router.ranked(vectors_of(batch))
-        if queries:
-            row, column = np.nonzero(before <= router.enough)
+        if held is not None:
+            rows_before = np.cumsum(held[order], axis=1) - held[order]
+            row, column = np.nonzero((before <= router.enough) | (rows_before < least))
             part = order[row, column]
         else:
             row, part = np.arange(len(order)), order[:, 0]
@@ -242,16 +246,22 @@ def nearest_neighbours(
     shared = spark.sparkContext.broadcast(learn_router(x, parts))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return route(batches, shared.value, queries=False)
+        return route(batches, shared.value)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return route(batches, shared.value, queries=True)
+        return route(batches, shared.value, held, least)
 
     def search(asked: pa.Table, found: pa.Table) -> pa.Table:
         return nearest(asked, found, k)
 
     kind = f"id long, vector {rows.schema['vector'].dataType.simpleString()}, part int"
     indexed, _ = store(rows.select("id", "vector").mapInArrow(index, kind), "index")
+    held = np.zeros(parts, np.int64)
+    for row in indexed.groupBy("part").agg(F.count("*").alias("n")).collect():
+        held[row.part] = row.n
+    # a query finds no row with its own id, of which there may be several
+    own = indexed.groupBy("id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    least = k + own
     asked, _ = store(rows.where("query").select("id", "vector").mapInArrow(ask, kind), "asked")
     in_blocks = lambda df, name: df.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
     blocks, _ = store(in_blocks(indexed, "row_blocks").join(in_blocks(asked, "query_blocks"), "part"), "blocks")
