@@ -15,6 +15,7 @@ from tidemark.llm.toxicity import (
     char_counts,
     char_model,
     drop_toxic,
+    edged,
     fit,
     held_out,
     restore,
@@ -83,6 +84,21 @@ def test_plain_texts_are_left_alone(model):
     assert restorer.words("plain words, only") == {"plain", "words", "only"}
 
 
+@pytest.mark.parametrize("word", ["mooron", "idiiot", "1|)107", "!diot", "|diot", "idio+", "m  o  r  o  n", "m\no\nr\no\nn", "$ t u p i d"])
+def test_forms_outside_the_first_gates_count(spark, model, word):
+    made = prose(9_999).split()
+    made[10:10], made[30:30] = [word], [word]
+    assert model.scores([" ".join(made)], Restorer(model.chars))[0] >= 0.5
+
+
+def test_edges_gaps_and_numbers(model):
+    restorer = Restorer(model.chars)
+    assert edged("(unt", "unt", "(+") == ["(unt"] and edged("++rash", "rash", "+") == [] == edged("(unt)", "unt", "+")
+    assert {"abc"} <= restorer.words("x, a b c.") | restorer.words("a\tb\nc")
+    assert {"idiot", "moron"} <= restorer.words("i d i o t  m o r o n")
+    assert restorer.words("455 and 4 5 5 for $455, +455 or 455!") == {"and", "for", "or"}
+
+
 def test_decoding_is_optimal():
     """Against all paths of the lattice."""
     grams = pa.RecordBatch.from_arrays([pa.array(["solo boil soil oil lisa sail " * 3])], names=["text"])

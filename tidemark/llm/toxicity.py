@@ -4,9 +4,10 @@
    Spark. What reaches the driver is one row a trigram of Latin letters; letters beyond Latin count as
    one, so the table is bounded by the alphabet and not by the corpus.
 2. A disguised token becomes a lattice: a digit or sign may stand for letters it looks like or be
-   dropped, a letter repeated three times or more may be dropped, and single letters set apart by blanks
-   are one token. Viterbi decoding finds the letters that the trigram model and the costs of the channel
-   like best. Tokens of letters alone have one path and are left as they are.
+   dropped, a letter that repeats the one before may be dropped, and single letters set apart by white
+   space are one token. Viterbi decoding finds the letters that the trigram model and the costs of the
+   channel like best. Tokens of letters without a repeat have one path and are left as they are; the word
+   as written stays a feature beside the restored one. Tokens of digits alone stay numbers.
 3. The words of the restored text, and the letters of a token as written, are features. Those that tell
    the labels apart best (likelihood ratio, MAX_WORDS at most) get weights by logistic regression, fitted
    on a bounded sample: the TRAIN_ROWS labelled rows with the smallest hash, never a row held out. Of
@@ -65,8 +66,9 @@ LOOK, DROP, DROP_LOOK, REPEAT, KEEP = 1.0, 2.0, 6.0, 0.5, 14.0
 
 LATIN = 0x250
 EDGES = " \t\n.,;:?!\"'`´()[]{}<>#%&*/\\|~^=_+-–—…¿¡«»„“”‘’$@€"
-TRIPLE = re.compile(r"([^\W\d_])\1\1")
-APART = re.compile(r"(?<!\S)[^\W_](?: [^\W_]| [@$!|]){3,}(?!\S)")
+DOUBLE = re.compile(r"([^\W\d_])\1")
+APART = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|])(?:\s+(?:[^\W_]|[@$!|])){2,}(?!\S)")
+GAPS = re.compile(r"\s{2,}|[^\S ]")
 LETTERS = re.compile(r"[^\W\d_]+")
 
 CODES = np.zeros(LATIN + 1, np.int32)
@@ -123,7 +125,7 @@ def code(letter: str) -> int:
 
 def restore(token: str, model: CharModel) -> str:
     """The letters most likely meant by a token, by Viterbi decoding of its lattice."""
-    states = {(0, 0): (0.0, "")}
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # cost, (what was before, letter)
     for i, sign in enumerate(token):
         options: list[tuple[str, float]] = []
         if sign.isalpha():
@@ -135,7 +137,7 @@ def restore(token: str, model: CharModel) -> str:
             options.append(("", DROP_LOOK if sign in LOOKS else DROP))
             if sign.isdigit():
                 options.append((sign, KEEP))
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+        after: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (cost, text) in states.items():
             for letter, price in options:
                 if not letter:
@@ -146,9 +148,18 @@ def restore(token: str, model: CharModel) -> str:
                 else:
                     state, total = (0, 0), cost + price
                 if state not in after or total < after[state][0]:
-                    after[state] = (total, text + letter)
+                    after[state] = (total, (text, letter))
         states = after
-    return min((cost + model.cost(a, b, 0), text) for (a, b), (cost, text) in states.items())[1]
+    least = min(cost + model.cost(a, b, 0) for (a, b), (cost, _) in states.items())
+    return min(spelled(text) for (a, b), (cost, text) in states.items() if cost + model.cost(a, b, 0) == least)
+
+
+def spelled(text: tuple) -> str:
+    letters = []
+    while text:
+        text, letter = text
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 class Restorer:
@@ -169,9 +180,18 @@ class Restorer:
         low = text.lower()
         tokens = set(low.split())
         words = {t for t in tokens if t.isalpha()}
+        # a bracket that is closed is one
+        signs = "@$!|+€(" if low.count("(") > low.count(")") else "@$!|+€"
         for token in tokens - words:
             core = token.strip(EDGES)
+            if "|)" in token:
+                words.update(self.read(token.strip(".,;:?!\"'").replace("|)", "d")))
             if not any(map(str.isalpha, core)):
+                whole = token.strip(".,;:?\"'")
+                # look-alikes alone: a sign within, so no number or price, and no row of one sign
+                if all(c in LOOKS for c in whole) and len(set(whole)) > 1 < len(whole) - 1:
+                    if whole[0] == "@" or any(not c.isdigit() for c in whole[1:-1]):
+                        words.update(self.read(whole))
                 continue
             if core.isalpha():
                 words.add(core)
@@ -181,14 +201,28 @@ class Restorer:
             edge = token.strip(".,;:?!\"'")
             if edge[:1] in "$@" and edge[1:2].isalnum() or edge[-1:] == "$" and edge[-3:-2].isalnum():
                 words.update(self.read(edge))
-        if TRIPLE.search(low):
-            for token in [w for w in words if TRIPLE.search(w)]:
-                words.update(self.read(token))
+            if core != token:
+                words.update(w for option in edged(token, core, signs) for w in self.read(option))
+        for token in [w for w in words if DOUBLE.search(w)]:
+            words.update(self.read(token))
         for run in APART.findall(low):
-            words.update(self.read(run.replace(" ", "")))
+            for part in {run, *GAPS.split(run)}:  # wider gaps may be within a word or between words
+                letters = "".join(part.split())
+                if len(letters) > 2 + letters.isdigit():
+                    words.update(self.read(letters))
         return words
 
 
+def edged(token: str, core: str, signs: str) -> list[str]:
+    """A token's core with one or both of the look-alikes next to it, where they are no row of one sign."""
+    begin = token.index(core)
+    end = begin + len(core)
+    first, last = token[:begin][-1:], token[end:][:1]
+    first = first if first and first in signs and token[: begin - 1][-1:] != first else ""
+    last = last if last and last in signs and token[end + 1 :][:1] != last else ""
+    return [a + core + b for a, b in {(first, ""), ("", last), (first, last)} if a or b]
+
+
 def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
     """The trigram model of all texts."""
     counted = docs.select(text_of(text_col).alias("text")).mapInArrow(char_counts, "gram int, n long")
