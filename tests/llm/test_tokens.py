@@ -36,6 +36,13 @@ def test_chunks_give_the_ids_of_the_whole_text(encode):
         assert [np.frombuffer(b, encode.dtype).tolist() for b in encode.encode_all(texts)] == whole
 
 
+def test_special_tokens_in_other_cases_are_plain_text(encode):
+    texts = ["<|EndOfText|>", "Two <|ENDOFTEXT|> and a<|StartOfText|>b", "Plain <|endoftext|> Text <|EndOfText|>", "<|endoftext|>", "Text <|"]
+    whole = [e.ids for e in encode.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for several in (texts, texts[::-1]):
+        assert [np.frombuffer(b, encode.dtype).tolist() for b in encode.encode_all(several)] == (whole if several is texts else whole[::-1])
+
+
 def ids_of(path, text, end=2):
     return ChunkEncoder(path, False).tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
 

@@ -128,7 +128,8 @@ class ChunkEncoder:
             parts = [t.replace("\n", " \n").split(" ") for t in texts]
         else:
             flat = [t.replace("\n", " ") for t in texts]
-            parts = [(t.lower() if t.isascii() else t).split(" ") for t in flat]
+            # added tokens match raw text only
+            parts = [(t.lower() if t.isascii() and "<|" not in t else t).split(" ") for t in flat]
         memory = self.memory
         heads = [p.pop(0) for p in parts] if self.keeps_blanks else [""] * len(parts)
         found = [list(map(memory.get, p)) for p in parts]
