@@ -1,0 +1,138 @@
+"""Token alignment against byte sets and plain counts."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tests.llm.conftest import odd_rows, table
+from tidemark.llm.alignment import NO_TOKENS, PairEncoder, align_tokens, code_layout, common_ends
+from tidemark.llm.chunks import WRITTEN
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+ends = st.lists(st.integers(0, 300), unique=True).map(sorted)
+
+
+@given(ends, ends)
+def test_common_ends(short, long):
+    assert common_ends(short, long) == [(short.index(e), long.index(e)) for e in sorted({*short} & {*long})]
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return PairEncoder(A, B, code_layout(A, B))
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=B), {c: b for b, c in WRITTEN.items()}
+
+
+def by_bytes(libraries, text):
+    """Groups of one whole text as lists of ids, from sets of byte offsets; None without tokens."""
+    a, b, value = libraries
+    if not text:
+        return None
+    ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    bytes_a = [bytes(value[c] for c in a.id_to_token(i)) for i in ids_a]
+    bytes_b = []
+    for i in ids_b:
+        piece = b.id_to_piece(i)
+        bytes_b.append(bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode())
+    if not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+        return None
+
+    def ending(ids, tokens):
+        at, out = 0, {}
+        for i, t in zip(ids, tokens, strict=True):
+            at += len(t)
+            out[at] = i
+        return out
+
+    end_a, end_b = ending(ids_a, bytes_a), ending(ids_b, bytes_b)
+    groups, before = [], 0
+    for end in sorted(end_a.keys() & end_b.keys()):
+        groups.append(([i for e, i in end_a.items() if before < e <= end], [i for e, i in end_b.items() if before < e <= end]))
+        before = end
+    return groups
+
+
+def written(groups):
+    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+
+
+def tricky():
+    made = random.Random(5)
+    texts = [
+        "", " ", "  a", "a ", "\n\na", "\nabc", "a\n", "don't  'x' 's", "a\tb c  d", "x" * 80 + " " * 7, "日本 語　テ", "İ Σς ẞ ﬁ é",
+        "a\x1cb \x1cc", "<|endoftext|> a<|endoftext|>", "a▁b", "▁", "<s> </s> <0x0A>", "a\r\nb;\r\n c", "a\x00b", "\xa0x y\xa0\nz", "🙂 👩‍👩‍👧",
+    ]
+    texts += ["".join(made.choice("ab'. \n\té1 $Ñ,▁\r") for _ in range(made.randint(0, 40))) for _ in range(300)]
+    return texts + ["".join(made.choice("abcd \n") for _ in range(made.randint(0, 60))) for _ in range(300)]
+
+
+def test_chunks_are_aligned_as_whole_texts(encoder, libraries):
+    texts = tricky() + [t or "" for _, t, *_ in odd_rows()[:9]]
+    want = []
+    for text in texts:
+        groups = by_bytes(libraries, text)
+        want.append(NO_TOKENS[:3] if groups is None else (*(sum(len(g[k]) for g in groups) for k in (0, 1)), written(groups)))
+    assert encoder.cuts
+    for _ in range(2):  # unknown, then remembered
+        assert [a[:3] for a in encoder.aligned(texts)] == want
+
+
+def test_full_memory_changes_nothing(encoder):
+    texts = tricky()
+    small = PairEncoder(A, B, code_layout(A, B), remembered=10)
+    for begin in range(0, len(texts), 50):
+        assert small.aligned(texts[begin : begin + 50]) == encoder.aligned(texts[begin : begin + 50])
+
+
+def brute_force(libraries, rows):
+    every = [(i, by_bytes(libraries, t)) for i, t in rows]
+    links = [(g[0][-1], g[1][-1]) for _, groups in every for g in groups or ()]
+    count, best = Counter(links), Counter()
+    for (_, b), n in count.items():
+        best[b] = max(best[b], n)
+    out = []
+    for i, groups in every:
+        mine = [(g[0][-1], g[1][-1]) for g in groups or ()]
+        sums = sum(count[p] == best[p[1]] for p in mine), sum(count[p] for p in mine)
+        sizes = [sum(len(g[k]) for g in groups or ()) for k in (0, 1)]
+        text = written(groups) if groups else ""
+        digest = hashlib.sha256(text.encode()).hexdigest() if groups else ""
+        out.append((i, *sizes, len(mine), len(mine), *sums, digest, text))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("frequent", [0, 1, 40, 10**6])
+def test_rows(spark, odd, libraries, frequent):
+    made = [(n % 50, t) for n, t in enumerate(tricky())]
+    docs = odd.select("doc_id", "text").unionByName(table(spark, *made))
+    want = brute_force(libraries, [(i, t) for i, t, *_ in odd_rows()] + made)
+    assert Counter(map(tuple, align_tokens(docs, A, B, keep_groups=True, frequent=frequent).collect())) == want
+
+
+def test_empty_table_and_other_columns(odd, nothing):
+    assert align_tokens(nothing, A, B).collect() == []
+    assert align_tokens(odd, A, B).columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def test_long_text(spark, libraries):
+    text = "Long words and " + "x" * 20_000 + "\n" + "more words " * 40_000
+    (row,) = align_tokens(table(spark, (1, text)), A, B).collect()
+    a, b, _ = libraries
+    assert (row.n_a, row.n_b) == (len(a.encode(" " + text, add_special_tokens=False).ids), len(b.encode(text)))
+    assert 80_000 < row.n_groups <= row.n_b and row.n_links == row.n_groups
