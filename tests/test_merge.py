@@ -19,7 +19,7 @@ DELTA = T.StructType([T.StructField("Op", T.StringType()), *SNAPSHOT.fields])
 COLUMNS = SNAPSHOT.fieldNames()
 KEYS = ["k1", "k2"]
 
-STRATEGIES = ["sort_merge", "broadcast_delta"]
+STRATEGIES = ["sort_merge", "split", "broadcast_delta"]
 
 
 def frames(spark, old, delta):
@@ -95,12 +95,60 @@ def test_limits_decide_on_broadcast(spark, monkeypatch):
     assert "BroadcastHashJoin" in joins(small)
     for limit in ({"max_rows": 19}, {"max_bytes": 1000}):
         large = merging.merge_stored(old, stored, KEYS, COLUMNS, **limit)
-        assert "FullOuter" in joins(large) and "BroadcastHashJoin" not in joins(large)
+        assert "LeftOuter" in joins(large) and "LeftAnti" in joins(large) and "FullOuter" not in joins(large)
         assert rows(large) == rows(small)
     with pytest.raises(ValueError):
         merge_snapshot(old, delta, KEYS, COLUMNS, strategy="cross")
 
 
+SKEWED = {
+    "spark.sql.files.maxPartitionBytes": "200k",
+    "spark.sql.files.openCostInBytes": "1k",
+    "spark.sql.shuffle.partitions": "12",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def skewed(spark):
+    before = {name: spark.conf.get(name, None) for name in SKEWED}
+    for name, value in SKEWED.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("policy", ["keep_old", "overwrite"])
+def test_a_hot_key_of_the_old_snapshot_is_split_over_tasks(spark, skewed, policy):
+    """A third of the old rows hold one key, which also changes."""
+    n = 60_000
+    old, _ = store(
+        spark.range(0, n, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("k"),
+            F.sha2(F.col("id").cast("string"), 256).alias("v"),
+            F.col("id").alias("w"),
+        ),
+        "hot",
+    )
+    made = [("U", 7, "hot", None), ("D", 10, None, None), ("I", n + 5, "new", 1), ("U", 11, None, 3), ("D", n + 6, "x", 1)]
+    delta, _ = store(spark.createDataFrame(made, "Op string, k int, v string, w long"), "delta")
+    largest, found = {}, {}
+    for strategy in ("split", "sort_merge"):
+        merged = merge_snapshot(old, delta, ["k"], ["k", "v", "w"], policy, strategy)
+        done, _ = store(merged.withColumn("task", F.spark_partition_id()), "merged")
+        largest[strategy] = done.groupBy("task").count().agg(F.max("count")).first()[0]
+        found[strategy] = done.drop("task")
+    assert largest["sort_merge"] > n / 3 and largest["split"] < n / 10
+    assert found["split"].exceptAll(found["sort_merge"]).isEmpty()
+    assert found["sort_merge"].exceptAll(found["split"]).isEmpty()
+    assert found["split"].where("k = 7 AND v = 'hot'").count() == n / 3 + 1
+
+
 key = st.tuples(st.sampled_from([None, 1, 2, 3]), st.sampled_from([None, "a", "b"]))
 value = st.tuples(st.sampled_from([None, "x", "y"]), st.sampled_from([None, 1, 2]))
 

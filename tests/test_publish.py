@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-import shutil
 import time
+from dataclasses import replace
 from datetime import date
 from pathlib import Path
 from uuid import uuid4
@@ -17,20 +17,23 @@ from tests.conftest import rows
 from tidemark.sinks import publish as publishing
 from tidemark.sinks import tables
 from tidemark.sinks.publish import (
+    finish_publication,
     publish_partition,
     publish_version,
-    resume_partition,
+    resume,
     resume_version,
 )
+from tidemark.sinks.record import pending, record_folder, staging_root
 from tidemark.sinks.tables import (
+    DAYS,
     WHOLE,
     overwrite_partitions,
     overwrite_table,
-    staging_root,
     write_table,
 )
 from tidemark.sources.catalog import (
     current_version,
+    describe,
     last_partition,
     partitions,
     table_exists,
@@ -101,10 +104,15 @@ def test_same_version_again_from_its_own_rows(spark, target):
 @pytest.mark.parametrize(
     "step, call",
     [
+        ("begin", 1),
         ("stage", 1),
+        ("show", 1),
         ("point_table", 1),
+        ("clear", 1),
         ("write_files", 2),
+        ("show", 2),
         ("point_table", 2),
+        ("clear", 2),
         ("release", 1),
     ],
 )
@@ -247,66 +255,213 @@ def test_columns_land_by_name(spark, target):
         publish_partition(turned.withColumn("more", F.lit(1)), target, D[1])
 
 
-@pytest.mark.parametrize("step", ["stage", "insert_partition", "release"])
-def test_crash_of_a_partition_insert(spark, target, monkeypatch, step):
-    two_days(spark, target)
-    new = daily(spark, (4, "b", D[1]))
+FIRST_STEPS = ["begin", "write_files", "show", "point_table", "create_entry", "clear"]
+
+
+@pytest.mark.parametrize("step", FIRST_STEPS)
+@pytest.mark.parametrize("resuming", [True, False])
+def test_crash_of_the_first_version(spark, target, monkeypatch, step, resuming):
+    """A run finishes what is complete; a publication may also just be repeated."""
     with monkeypatch.context() as patch:
-        crash_at(patch, publishing, step)
+        crash_at(patch, tables, step)
         with pytest.raises(Crash):
-            publish_partition(new, target, D[1])
-    resumed = resume_partition(spark, target)
-    assert resumed == (D[1] if step == "insert_partition" else None)
-    want = (3, "a", D[1]) if step == "stage" else (4, "b", D[1])
-    assert shown(spark, target)[-1] == want
-    assert resume_partition(spark, target) is None
+            publish_version(flat(spark, (1, "a")), target, D[0])
+    complete = step in ("point_table", "create_entry", "clear")
+    if resuming:
+        assert resume(spark, target, "flat") == (D[0] if complete else None)
+        assert table_exists(spark, target.table) == complete
+        assert resume(spark, target, "flat") is None and pending(spark, target) is None
+    publish_version(flat(spark, (1, "b"), (2, "b")), target, D[1])
+    assert shown(spark, target) == [(1, "b"), (2, "b")]
+    first = rows(version_as_of(spark, target, D[0], SCHEMA))
+    assert first == ([(1, "a")] if complete else [])
+    assert os.listdir(record_folder(target)) == []
 
 
-def test_partition_lost_between_delete_and_write(spark, target, monkeypatch):
-    """The insert has emptied the partition when it stops; the journal brings it back."""
-    two_days(spark, target)
+@pytest.mark.parametrize("step", FIRST_STEPS)
+@pytest.mark.parametrize("resuming", [True, False])
+def test_crash_of_the_first_partitions(spark, target, monkeypatch, step, resuming):
+    with monkeypatch.context() as patch:
+        crash_at(patch, tables, step)
+        with pytest.raises(Crash):
+            publish_partition(daily(spark, (1, "a", D[0])), target, D[0])
+    complete = step in ("point_table", "create_entry", "clear")
+    if resuming:
+        assert resume(spark, target, "partitioned") == (D[0] if complete else None)
+        assert table_exists(spark, target.table) == complete
+        assert resume(spark, target, "partitioned") is None
+    publish_partition(daily(spark, (2, "b", D[1])), target, D[1])
+    assert shown(spark, target) == [(1, "a", D[0])] * complete + [(2, "b", D[1])]
+
+
+@pytest.mark.parametrize("mode", ["flat", "partitioned"])
+def test_first_files_torn_half_way(spark, target, monkeypatch, mode):
+    """Incomplete files are cleared; they are never shown and never taken for someone else's."""
+    write = tables.write_files
 
-    def torn(spark, target, staged, key, value):
-        insert(spark, target, empty, key, value)
-        raise Crash("insert_partition")
+    def torn(df, path, target, partition_keys=None):
+        write(df.where("id = 1"), path, target, partition_keys)
+        raise Crash("write_files")
 
-    insert = publishing.insert_partition
-    empty = f"{tables.staging_root(target)}/empty"
-    daily(spark).drop("dt").write.parquet(empty)
+    made = daily(spark, (1, "a", D[0]), (2, "a", D[0]))
+    made = made.drop("dt") if mode == "flat" else made
+    publish = publish_version if mode == "flat" else publish_partition
     with monkeypatch.context() as patch:
-        patch.setattr(publishing, "insert_partition", torn)
+        patch.setattr(tables, "write_files", torn)
         with pytest.raises(Crash):
-            publish_partition(daily(spark, (4, "b", D[1])), target, D[1])
+            publish(made, target, D[0])
+    assert files(target.root) and not table_exists(spark, target.table)
+    assert resume(spark, target, mode) is None and not files(target.root)
+    publish(made, target, D[0])
     assert len(shown(spark, target)) == 2
-    assert resume_partition(spark, target) == D[1]
-    assert shown(spark, target)[-1] == (4, "b", D[1])
 
 
-def test_journal_of_a_dropped_table_is_not_replayed(spark, target, monkeypatch):
-    two_days(spark, target)
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_schema_change_cut_between_drop_and_create(spark, target, monkeypatch, buckets):
+    target = replace(target, buckets=buckets, bucket_keys=("id",) if buckets else ())
+    publish_version(flat(spark, (1, "a")), target, D[0])
+    wider = flat(spark, (1, "b")).withColumn("more", F.lit(1.5))
     with monkeypatch.context() as patch:
-        crash_at(patch, publishing, "insert_partition")
+        crash_at(patch, tables, "create_entry")
         with pytest.raises(Crash):
-            publish_partition(daily(spark, (4, "stale", D[1])), target, D[1])
-    spark.sql(f"DROP TABLE {target.table}")
-    shutil.rmtree(target.root)  # data that the catalog does not know would be refused
-    publish_partition(daily(spark, (5, "fresh", D[0])), target, D[0])
-    assert resume_partition(spark, target) is None
-    assert shown(spark, target) == [(5, "fresh", D[0])]
+            publish_version(wider, target, D[1])
+    assert not table_exists(spark, target.table)
+    assert resume(spark, target, "flat") == D[1]
+    assert shown(spark, target) == [(1, "b", 1.5)]
+    assert rows(version_as_of(spark, target, D[0], SCHEMA)) == [(1, "a")]
+    assert describe(spark, target.table).get("num_buckets") == buckets
+
+
+@pytest.mark.parametrize("call", [1, 2])
+def test_schema_change_of_the_same_version_cut_between_drop_and_create(spark, target, monkeypatch, call):
+    publish_version(flat(spark, (1, "a")), target, D[0])
+    wider = flat(spark, (1, "b")).withColumn("more", F.lit(1.5))
+    create, seen = tables.create_entry, []
+
+    def cut(*args, **kwargs):
+        seen.append(args)
+        if len(seen) == call:
+            raise Crash("create_entry")
+        create(*args, **kwargs)
+
+    # the second time only the location moves, unless the entry changes in between
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "create_entry", cut)
+        if call == 2:
+            patch.setattr(tables, "_shape", lambda schema: object())
+        with pytest.raises(Crash):
+            publish_version(wider, target, D[0])
+    assert not table_exists(spark, target.table)
+    assert resume(spark, target, "flat") == D[0]
+    assert shown(spark, target) == [(1, "b", 1.5)]
+    assert current_version(spark, target.table) == D[0]
+    whole = T.StructType([*SCHEMA.fields, T.StructField("more", T.DoubleType())])
+    assert rows(version_as_of(spark, target, D[0], whole)) == [(1, "b", 1.5)]
+    assert not files(staging_root(target))
 
 
-def test_journal_belongs_to_one_catalog_entry(spark, target, monkeypatch):
-    """The table is made anew by other means than a publication."""
+@pytest.mark.parametrize("call", [1, 2])
+def test_schema_change_of_partitions_cut_between_drop_and_create(spark, target, monkeypatch, call):
     two_days(spark, target)
+    publish_partition(daily(spark, (4, "b", D[1])), target, D[1])
+    wider = spark.table(target.table).withColumn("more", F.lit(1))
+    with monkeypatch.context() as patch:
+        crash_at(patch, tables, "create_entry", call)
+        with pytest.raises(Crash):
+            write_table(wider, target, WHOLE, partition_keys=["dt"])
+    assert not table_exists(spark, target.table)
+    assert resume(spark, target, "partitioned") == D[1]
+    assert shown(spark, target) == [(1, "a", 1, D[0]), (2, "a", 1, D[0]), (4, "b", 1, D[1])]
+    assert describe(spark, target.table)["location"].endswith(target.root)
+    assert not files(staging_root(target)) and resume(spark, target, "partitioned") is None
+
+
+def test_record_of_another_table_makes_no_files_ours(spark, target, monkeypatch):
+    with monkeypatch.context() as patch:
+        crash_at(patch, tables, "point_table")
+        with pytest.raises(Crash):
+            publish_version(flat(spark, (1, "a")), target, D[0])
+    other = Target(f"{target.table}_other", target.root)
+    with pytest.raises(ValueError, match="not in the catalog"):
+        publish_version(flat(spark, (1, "b")), other, D[0])
+    assert resume(spark, target, "flat") == D[0] and shown(spark, target) == [(1, "a")]
+
+
+def test_record_belongs_to_one_catalog_entry(spark, target, monkeypatch):
+    """The table is made anew by other means before the publication is finished."""
+    publish_version(flat(spark, (1, "a")), target, D[0])
     with monkeypatch.context() as patch:
-        crash_at(patch, publishing, "insert_partition")
+        crash_at(patch, tables, "point_table")
         with pytest.raises(Crash):
-            publish_partition(daily(spark, (4, "stale", D[1])), target, D[1])
+            publish_version(flat(spark, (1, "stale")), target, D[1])
     spark.sql(f"DROP TABLE {target.table}")
     time.sleep(1.1)  # creation times are kept in seconds
-    write_table(daily(spark, (5, "fresh", D[0])), target, partition_keys=["dt"])
-    assert resume_partition(spark, target) is None
-    assert shown(spark, target) == [(5, "fresh", D[0])]
+    flat(spark, (5, "fresh")).write.parquet(target.version_path(D[2]))
+    spark.sql(f"CREATE TABLE {target.table} (id long, name string) USING parquet LOCATION '{target.version_path(D[2])}'")
+    assert finish_publication(spark, target) is None
+    assert shown(spark, target) == [(5, "fresh")] and pending(spark, target) is None
+
+
+def test_a_record_does_not_clear_a_folder_that_the_table_shows(spark, target, monkeypatch):
+    """The whole write to the root dies before its first file; a version below the root is still shown."""
+    publish_version(flat(spark, (1, "a")), target, D[0])
+    with monkeypatch.context() as patch:
+        crash_at(patch, tables, "write_files")
+        with pytest.raises(Crash):
+            overwrite_table(flat(spark, (2, "b")), target)
+    assert finish_publication(spark, target) is None
+    assert shown(spark, target) == [(1, "a")]
+
+
+@pytest.mark.parametrize("step", ["write_day", "show_day", "release_days"])
+def test_crash_of_a_day(spark, target, monkeypatch, step):
+    """Old or new rows are shown, nothing has to be finished, and a repeat leaves no folder behind."""
+    two_days(spark, target)
+    for n in (1, 2):
+        with monkeypatch.context() as patch:
+            crash_at(patch, publishing, step)
+            with pytest.raises(Crash):
+                publish_partition(daily(spark, (4, f"b{n}", D[1])), target, D[1])
+        want = (4, f"b{n}", D[1]) if step == "release_days" else (3, "a", D[1])
+        assert shown(spark, target) == [(1, "a", D[0]), (2, "a", D[0]), want]
+        assert resume(spark, target, "partitioned") is None
+    publish_partition(daily(spark, (4, "c", D[1])), target, D[1])
+    assert shown(spark, target)[-1] == (4, "c", D[1])
+    assert len(os.listdir(f"{target.root}/{DAYS}")) == 1 and not os.path.exists(f"{target.root}/dt={D[1]}")
+
+
+def test_failing_rows_leave_the_old_day(spark, target):
+    two_days(spark, target)
+    broken = daily(spark, (4, "b", D[1])).withColumn("name", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        publish_partition(broken, target, D[1])
+    assert shown(spark, target)[-1] == (3, "a", D[1])
+
+
+def test_a_day_is_written_once(spark, target, monkeypatch):
+    two_days(spark, target)
+    write, paths = tables.write_files, []
+    monkeypatch.setattr(tables, "write_files", lambda df, path, *rest: (paths.append(path), write(df, path, *rest)))
+    own = spark.table(target.table).where(F.col("dt") == F.lit(D[1]))
+    publish_partition(own.withColumn("name", F.lit("own")), target, D[1])
+    assert len(paths) == 1 and shown(spark, target)[-1] == (3, "own", D[1])
+
+
+def test_a_day_that_moved_is_pruned_and_replaced_by_either_way(spark, target):
+    two_days(spark, target)
+    publish_partition(daily(spark, (4, "b", D[1]), (5, "b", D[1])), target, D[1])
+    day = spark.table(target.table).where(F.col("dt") == F.lit(D[1]))
+    assert rows(day) == [(4, "b", D[1]), (5, "b", D[1])]
+    assert len({r.f for r in day.select(F.col("_metadata.file_path").alias("f")).collect()}) == 1
+    overwrite_partitions(day.where("id = 4").withColumn("name", F.lit("dynamic")), target)
+    assert shown(spark, target) == [(1, "a", D[0]), (2, "a", D[0]), (4, "dynamic", D[1])]
+    publish_partition(daily(spark), target, D[1])
+    assert shown(spark, target) == [(1, "a", D[0]), (2, "a", D[0])]
+    publish_partition(daily(spark, (6, "new", D[2])), target, D[2])
+    assert [r.partition for r in partitions(spark, target.table).collect()] == [f"dt={d}" for d in D]
+    write_table(spark.table(target.table), target, WHOLE, partition_keys=["dt"])
+    assert shown(spark, target) == [(1, "a", D[0]), (2, "a", D[0]), (6, "new", D[2])]
+    assert not os.path.exists(f"{target.root}/{DAYS}")
 
 
 def test_small_partitions_get_one_file_each(spark, target):
@@ -350,7 +505,7 @@ def test_max_records(spark, tmp_path):
         assert len(files(target.root)) == 4
         if partition_keys:
             publish_partition(made, target, D[0])
-            assert len(files(f"{target.root}/dt={D[0]}")) == 4
+            assert len(files(f"{target.root}/{DAYS}")) == 4
         spark.sql(f"DROP TABLE {name}")
 
 
@@ -405,7 +560,8 @@ def test_inserts_keep_the_callers_settings(spark, target):
         overwrite_partitions(daily(spark, (5, "b", D[0])), target)
     finally:
         spark.conf.unset("spark.sql.parquet.compression.codec")
-    names = files(f"{target.root}/dt={D[0]}") + files(f"{target.root}/dt={D[1]}")
+    names = files(target.root)
+    assert len(names) == 2
     assert names and all(".gz." in str(name) for name in names)
 
 
@@ -427,9 +583,9 @@ def test_repeated_publications_leave_one_file_a_day_and_no_staging(spark, target
     for n in range(4):
         made = daily(spark, *[(i, f"v{n}", D[1]) for i in range(9)]).repartition(3)
         publish_partition(made, target, D[1])
-        assert len(files(f"{target.root}/dt={D[1]}")) == 1
+        assert len(files(f"{target.root}/{DAYS}")) == 1
     staging = staging_root(target)
-    assert sorted(os.listdir(staging)) == ["journal"]
+    assert sorted(os.listdir(staging)) == ["publication"] and not os.listdir(record_folder(target))
 
 
 def test_other_current_database(spark, tmp_path):

@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from tidemark import FLAT, PARTITIONED, FeedSpec, RunOptions, RunReport, Target, run_snapshot
 from tidemark.functions.dates import as_date
+from tidemark.spec import MERGES
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -31,7 +32,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--partitioned", action="store_true", help="publish one date partition")
     parser.add_argument("--max-records-per-file", type=int)
     parser.add_argument("--format", default="parquet", help="format of the table's files")
-    parser.add_argument("--merge", default="broadcast_delta", choices=["broadcast_delta", "sort_merge"])
+    parser.add_argument("--merge", default="broadcast_delta", choices=MERGES)
     parser.add_argument("--count-rows", action="store_true", help="report rows the dates leave out")
     parser.add_argument("--no-check-names", action="store_true", help="ignore odd file names")
     parser.add_argument("--buckets", type=int, help="bucket a flat table by its key")

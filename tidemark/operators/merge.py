@@ -78,6 +78,32 @@ def sort_merge(
     return joined.select(*_merged(columns, null_policy)).unionByName(unkeyed)
 
 
+def split_merge(
+    old: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    null_policy: str = "keep_old",
+) -> DataFrame:
+    """The same rows as two joins that adaptive execution can split where a key is hot.
+
+    A full outer join must see all rows of a key in one task, since only there it is known which side found
+    nothing. Here old rows take their change in a left outer join, whose left side may be cut anywhere, and
+    changes without an old row are those that an anti join with the old keys leaves; these are made
+    distinct before they move, so a hot key costs one row a task. For that the key columns of `old` are read a
+    second time. For any stored or lazy `delta` with one row per key."""
+    kept = (
+        old.select(*cols(columns)).alias("old")
+        .join(_changes_only(delta, columns).alias("new"), _same_key(keys), "left_outer")
+        .where(upserts())
+        .select(*_merged(columns, null_policy))
+    )
+    known = old.select(*cols(keys)).distinct().alias("old")
+    live = _changes_only(delta, columns).alias("new").where(upserts())
+    added = live.join(known, _same_key(keys), "left_anti").select(*cols(columns, "new"))
+    return kept.unionByName(added)
+
+
 def broadcast_merge(
     old: DataFrame,
     delta: DataFrame,
@@ -144,7 +170,7 @@ def merge_stored(
         small = fits_broadcast(slim, max_rows, max_bytes)
     else:
         small = size[0] <= max_rows and size[1] <= max_bytes
-    return (broadcast_merge if small else sort_merge)(old, slim, keys, columns, null_policy)
+    return (broadcast_merge if small else split_merge)(old, slim, keys, columns, null_policy)
 
 
 def merge_snapshot(
@@ -157,10 +183,12 @@ def merge_snapshot(
 ) -> DataFrame:
     """Previous snapshot plus latest changes: deletes gone, new keys added.
 
-    `sort_merge` is lazy. `broadcast_delta` writes the changes to the scratch folder
-    to learn their size, and falls back to `sort_merge` above the limits."""
-    if strategy == "sort_merge":
-        return sort_merge(old, delta, keys, columns, null_policy)
+    `sort_merge` and `split` are lazy; the first moves every row once, the second also bears
+    an old snapshot with many rows for one key. `broadcast_delta` writes the changes to the
+    scratch folder to learn their size, and falls back to `split` above the limits."""
+    lazy = {"sort_merge": sort_merge, "split": split_merge}
+    if strategy in lazy:
+        return lazy[strategy](old, delta, keys, columns, null_policy)
     if strategy != "broadcast_delta":
         raise ValueError(f"unknown merge strategy {strategy!r}")
     stored, _ = store(delta.select(OP, *cols(columns)), "delta")

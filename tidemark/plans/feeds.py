@@ -133,6 +133,17 @@ def previous_b(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def skewed_b(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders as a previous snapshot of feed B; a third of them hold the key of one customer."""
+    third = F.col("o_orderkey") % 3 == 0
+    return table(spark, folder, "orders").select(
+        F.when(third, 1).otherwise(F.col("o_custkey")).cast("long").alias("c_custkey"),
+        F.col("o_totalprice").alias("amount"),
+        F.col("o_orderpriority").alias("priority"),
+        F.to_date("o_orderdate").alias("order_date"),
+    )
+
+
 def export_files(feed: DataFrame, spec: FeedSpec, with_stamp: bool = True) -> str:
     """Write a derived feed the way an exporter would: dated change files and LOAD files
     in one folder, rows in feed order. Returns the folder.

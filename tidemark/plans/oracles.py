@@ -46,6 +46,11 @@ SELECT s_suppkey AS c_custkey, s_acctbal AS amount, s_name AS priority,
        DATE '1994-12-31' AS order_date
 FROM supplier"""
 
+SKEWED_B = """
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS c_custkey,
+       o_totalprice AS amount, o_orderpriority AS priority, CAST(o_orderdate AS date) AS order_date
+FROM orders"""
+
 COLUMNS_A = ("user_id", "event_type", "value", "event_date")
 COLUMNS_B = ("c_custkey", "amount", "priority", "order_date")
 DATES = ("event_date", "order_date", "dt")
@@ -176,6 +181,23 @@ def _run_partitioned() -> str:
     return f"{mid} UNION ALL {_kept(_partition(A_MID, A_END), _DT)}"
 
 
+def _after_crash() -> str:
+    """Both modes: the previous rows, and what a run from the middle day to the last makes of them."""
+    changes = _latest(FEED_A, "user_id", A_MID, A_END)
+    mid = f"SELECT {', '.join(COLUMNS_A)} FROM ({PREVIOUS_A}) AS p"
+    runs = {
+        ("flat", "finished"): mid,
+        ("flat", "run"): _merge(PREVIOUS_A, changes, _A1, COLUMNS_A),
+        ("partitioned", "finished"): mid,
+        ("partitioned", "run"): f"{mid} UNION ALL "
+        f"SELECT {', '.join(COLUMNS_A)} FROM ({_kept(_partition(A_MID, A_END), _DT)}) AS day",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{mode}' AS mode, '{step}' AS step, '{A_MID}' AS resumed, {_plain(COLUMNS_A)} FROM ({sql}) AS rows"
+        for (mode, step), sql in runs.items()
+    )
+
+
 ORACLES: dict[str, str] = {
     "feed_scan": _show(FEED_A, _ROW),
     "feed_scan_files": _show(FEED_A, _ROW),
@@ -215,6 +237,10 @@ ORACLES: dict[str, str] = {
     "snapshot_merge_overwrite": _show(_merged_a_overwrite, COLUMNS_A),
     "snapshot_merge_broadcast": _show(_merged_a, COLUMNS_A),
     "snapshot_merge_broadcast_overwrite": _show(_merged_a_overwrite, COLUMNS_A),
+    "snapshot_merge_skewed": _show(
+        _merge(SKEWED_B, _latest(FEED_B, "c_custkey", B_START, B_END), ("c_custkey",), COLUMNS_B),
+        COLUMNS_B,
+    ),
     "snapshot_merge_composite": _show(_composite(), COLUMNS_A),
     "snapshot_chain": _show(_chain(), COLUMNS_B),
     "snapshot_late_bootstrap": _show(_bootstrap(A_START, _LOAD_FIRST), COLUMNS_A),
@@ -235,6 +261,7 @@ ORACLES: dict[str, str] = {
         _DT,
     ),
     "versioned_publish": _show(_merged_a, COLUMNS_A),
+    "publish_after_crash": _after_crash(),
     "version_as_of": _show(PREVIOUS_A, COLUMNS_A),
     "versions_side_by_side": f"""
         SELECT '{A_START}' AS version, count(*) AS n_rows FROM ({PREVIOUS_A}) AS a

@@ -37,11 +37,20 @@ from tidemark.plans.feeds import (
     load_a,
     previous_a,
     previous_b,
+    skewed_b,
 )
 from tidemark.plans.run import run_snapshot
 from tidemark.scratch import scratch_path, store
-from tidemark.sinks.publish import publish_partition, publish_version
-from tidemark.sinks.tables import WHOLE, overwrite_partitions, overwrite_table, write_table
+from tidemark.sinks.publish import publish_partition, publish_version, resume
+from tidemark.sinks.record import WRITTEN, note, publication
+from tidemark.sinks.tables import (
+    WHOLE,
+    begin,
+    overwrite_partitions,
+    overwrite_table,
+    write_files,
+    write_table,
+)
 from tidemark.sources.catalog import current_version, last_partition, partitions, table_exists
 from tidemark.sources.feed import (
     file_day,
@@ -56,6 +65,7 @@ from tidemark.sources.feed import (
 from tidemark.sources.snapshots import all_versions, load_or_empty, version_as_of
 from tidemark.spec import (
     FILE_NAME,
+    FLAT,
     OP,
     PARTITION,
     PARTITIONED,
@@ -257,6 +267,16 @@ def snapshot_merge_broadcast_overwrite(spark: SparkSession, folder: str) -> Data
     return plain(_merge_a(spark, folder, strategy="broadcast_delta", null_policy="overwrite"))
 
 
+@query("snapshot_merge_skewed")
+def snapshot_merge_skewed(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as an old snapshot in which a third of the rows hold one key, merged with two joins."""
+    latest = _latest(feed_b(spark, folder), SPEC_B, B_START, B_END)
+    merged = merge_snapshot(
+        skewed_b(spark, folder), latest, SPEC_B.primary_keys, SPEC_B.columns, strategy="split"
+    )
+    return plain(merged)
+
+
 @query("snapshot_merge_composite")
 def snapshot_merge_composite(spark: SparkSession, folder: str) -> DataFrame:
     """The state of mid-month, brought to the end of the month."""
@@ -427,6 +447,36 @@ def versioned_publish(spark: SparkSession, folder: str) -> DataFrame:
     return plain(spark.table(_publish_twice(spark, folder, "versioned").table))
 
 
+def _cut_off(df: DataFrame, target: Target, day: date, mode: str) -> None:
+    """What a driver leaves that dies when its files are complete, before the catalog shows them."""
+    spark = df.sparkSession
+    keys = [PARTITION] if mode == PARTITIONED else None
+    path = target.root if keys else target.version_path(day)
+    begin(spark, target, df.schema, path, keys)
+    write_files(df, path, target, keys)
+    note(spark, target, WRITTEN, publication(target, df.schema, path, keys, None))
+
+
+@query("publish_after_crash")
+def publish_after_crash(spark: SparkSession, folder: str) -> DataFrame:
+    """First publications of both kinds that were cut off, each finished by the run after it: the rows that
+    the finished table showed, and those after the run."""
+    spec = _exported(spark, folder)
+    first = {FLAT: previous_a(spark, folder)}
+    first[PARTITIONED] = first[FLAT].withColumn(PARTITION, F.lit(A_MID))
+    counts = None
+    for mode, rows in first.items():
+        target = _target(spark, f"cut_off_{mode}")
+        _cut_off(rows, target, A_MID, mode)
+        resumed = resume(spark, target, mode)
+        shown, _ = store(spark.table(target.table).select(*SPEC_A.columns), "shown")
+        run_snapshot(spark, spec, A_END, target, mode)
+        for step, found in (("finished", shown), ("run", spark.table(target.table).select(*SPEC_A.columns))):
+            row = found.select(F.lit(mode).alias("mode"), F.lit(step).alias("step"), F.lit(str(resumed)).alias("resumed"), "*")
+            counts = row if counts is None else counts.unionByName(row)
+    return plain(counts)
+
+
 @query("version_as_of")
 def version_as_of_first(spark: SparkSession, folder: str) -> DataFrame:
     target = _publish_twice(spark, folder, "versioned")

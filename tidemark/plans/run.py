@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import change_day
 from tidemark.functions.names import cols
-from tidemark.operators.merge import merge_stored, sort_merge, store_measured
+from tidemark.operators.merge import merge_snapshot, merge_stored, sort_merge, store_measured
 from tidemark.plans.build import RunWindow, latest_in_window, previous_snapshot, run_window
-from tidemark.scratch import release, store
+from tidemark.scratch import owned_scratch, store
 from tidemark.sinks.publish import publish, resume
-from tidemark.sinks.tables import in_buckets
+from tidemark.sinks.tables import in_buckets, store_in_buckets
 from tidemark.sources.catalog import describe
 from tidemark.sources.feed import check_file_names, scan_feed, select_files
 from tidemark.spec import (
@@ -67,6 +67,31 @@ def _counted(feed: DataFrame, window: RunWindow, seen: Observation) -> DataFrame
     )
 
 
+def _merged_run(
+    old: DataFrame,
+    delta: DataFrame,
+    spec: FeedSpec,
+    target: Target,
+    options: RunOptions,
+    columns: list[str],
+    counted: bool,
+) -> DataFrame:
+    """Merge a run's changes, stored first where that pays: later readings of them do not scan the feed again.
+
+    A bucketed snapshot does not move in a sort-merge join, nor do changes stored in its buckets, and
+    the join leaves the rows there, which a broadcast would scatter over many files."""
+    keys, policy = spec.primary_keys, options.null_policy
+    if target.buckets:
+        stored = store_in_buckets(delta, target, "delta")
+        return sort_merge(old, stored, keys, columns, policy)
+    if options.merge == "broadcast_delta":
+        stored, _, size = store_measured(delta, "delta")
+        return merge_stored(old, stored, keys, columns, policy, size=size)
+    if counted or options.merge == "split":
+        delta, _ = store(delta, "delta")
+    return merge_snapshot(old, delta, keys, columns, policy, options.merge)
+
+
 def run_snapshot(
     spark: SparkSession,
     spec: FeedSpec,
@@ -78,42 +103,26 @@ def run_snapshot(
     """Bring a table to the state of a date and publish it; repeating a run is safe."""
     run_window(spark, spec, as_of, target, mode)  # refuses bad arguments before any work
     target = target.bucketed_by(spec.primary_keys)
-    resumed = resume(spark, target, mode)
-    window = run_window(spark, spec, as_of, target, mode)
-    feed = scan_feed(spark, spec)
-    if options.check_names:
-        check_file_names(feed, spec.path)
-    # A folder that is not there plans to nothing, which would carry no counts.
-    seen = Observation("feed") if options.count_rows and feed.inputFiles() else None
-    rows = dict.fromkeys(COUNTS, 0) if options.count_rows else {}
-    if seen is not None:
-        feed = _counted(feed, window, seen)
-    columns = spec.snapshot_schema(mode).fieldNames()
-    delta = latest_in_window(feed, spec, window, mode, options).select(OP, *cols(columns))
-    old = previous_snapshot(spark, spec, window, target, mode)
-
-    # A bucketed snapshot does not move in a sort-merge join either, and the join leaves the
-    # rows in their buckets, which a broadcast would scatter over many files.
-    broadcast = options.merge == "broadcast_delta" and not target.buckets
-    scratch = None
-    try:
-        keys, policy = spec.primary_keys, options.null_policy
-        # Stored once: later readings of the changes do not scan the feed again.
-        if broadcast:
-            delta, scratch, size = store_measured(delta, "delta")
-            merged = merge_stored(old, delta, keys, columns, policy, size=size)
-        else:
-            if seen is not None:
-                delta, scratch = store(delta, "delta")
-            merged = sort_merge(old, delta, keys, columns, policy)
+    with owned_scratch():
+        resumed = resume(spark, target, mode)
+        window = run_window(spark, spec, as_of, target, mode)
+        feed = scan_feed(spark, spec)
+        if options.check_names:
+            check_file_names(feed, spec.path)
+        # A folder that is not there plans to nothing, which would carry no counts.
+        seen = Observation("feed") if options.count_rows and feed.inputFiles() else None
+        rows = dict.fromkeys(COUNTS, 0) if options.count_rows else {}
+        if seen is not None:
+            feed = _counted(feed, window, seen)
+        columns = spec.snapshot_schema(mode).fieldNames()
+        delta = latest_in_window(feed, spec, window, mode, options).select(OP, *cols(columns))
+        old = previous_snapshot(spark, spec, window, target, mode)
+        merged = _merged_run(old, delta, spec, target, options, columns, seen is not None)
         if seen is not None:
             rows = seen.get
         if target.buckets and not keeps_buckets(spark, target):
             merged = in_buckets(merged, target)
         publish(merged, target, window.as_of, mode)
-    finally:
-        if scratch is not None:
-            release(spark, scratch)
     return RunReport(
         table=target.table,
         as_of=window.as_of,

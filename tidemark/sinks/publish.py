@@ -5,28 +5,22 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.frames import empty_frame
-from tidemark.scratch import release
+from tidemark.functions.files import matching, remove
+from tidemark.sinks.record import STAGING, WRITTEN, clear, pending, record_folder, staging_root
 from tidemark.sinks.tables import (
-    STAGING,
-    in_table_order,
-    insert_partition,
     move_back,
-    new_staging_path,
     overwrite_table,
+    point_table,
+    release_days,
     rewrite_table,
-    stage,
-    staging_root,
+    same_folder,
+    show_day,
+    write_day,
 )
 from tidemark.sources.catalog import current_version, describe, last_partition, table_exists
-from tidemark.sources.snapshots import load_or_empty
 from tidemark.spec import FLAT, PARTITION, Target
 
-_JOURNAL = T.StructType().add("staged", "string").add("day", "date").add("created", "string")
-
 
 def publish_version(df: DataFrame, target: Target, version: date) -> None:
     """Publish a flat snapshot as `version=D` and point the table at it.
@@ -34,6 +28,7 @@ def publish_version(df: DataFrame, target: Target, version: date) -> None:
     A new version is written in one go, into a folder that nothing refers to yet.
     Repeating the current version replaces the very files that are being read, so it
     goes through a staged copy."""
+    finish_publication(df.sparkSession, target)
     refuse_unknown_files(df.sparkSession, target, "version=*")
     again = current_version(df.sparkSession, target.table) == version
     (rewrite_table if again else overwrite_table)(df, target, str(version))
@@ -44,87 +39,109 @@ def refuse_unknown_files(spark: SparkSession, target: Target, pattern: str) -> N
     belong to another catalog, as after a session whose catalog was kept in memory only."""
     if table_exists(spark, target.table):
         return
-    found = spark._jvm.org.apache.hadoop.fs.Path(f"{target.root}/{pattern}")
-    files = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found)
-    if files:
+    found = matching(spark, f"{target.root}/{pattern}")
+    if found:
         raise ValueError(
-            f"{target.table} is not in the catalog, yet {target.root} holds {files[0].getPath().getName()}; "
+            f"{target.table} is not in the catalog, yet {target.root} holds {found[0].rsplit('/', 1)[1]}; "
             "register that data or choose another root"
         )
 
 
-def resume_version(spark: SparkSession, target: Target) -> date | None:
-    """Finish a repeated version that was cut off while the table showed its staged
-    copy, so that its folder is whole for time travel too."""
-    version = current_version(spark, target.table)
-    if version is None:
+def finish_publication(spark: SparkSession, target: Target) -> str | None:
+    """Finish what the record announces: show a folder that is complete, remove one that is not.
+
+    Returns the folder that the table now shows, if there was one to finish. A record
+    made before the table was made anew by other means is dropped, not replayed."""
+    found = pending(spark, target)
+    if found is None:
         return None
-    location = describe(spark, target.table)["location"]
+    state, made = found
+    entry = describe(spark, target.table)
+    location = (entry or {}).get("location")
+    ours = entry is None or entry["created_time"] == made.before or same_folder(location, made.path)
+    shown = None
+    if state == WRITTEN and ours:
+        point_table(spark, made.of(target), made.columns, made.path, made.partition_keys or None)
+        shown = made.path
+    elif state != WRITTEN and not _inside(location, made.path):
+        remove(spark, made.path)
+    clear(spark, target)
+    _release_copies(spark, target)
+    return shown
+
+
+def _inside(location: str | None, folder: str) -> bool:
+    """Whether what the table shows lies in the folder, at any depth."""
+    while location:
+        if same_folder(location, folder):
+            return True
+        location = location.rstrip("/").rpartition("/")[0]
+    return False
+
+
+def _release_copies(spark: SparkSession, target: Target) -> None:
+    """Remove staged copies that no entry shows."""
+    location = (describe(spark, target.table) or {}).get("location")
+    for copy in matching(spark, f"{staging_root(target)}/*"):
+        if not same_folder(copy, record_folder(target)) and not _inside(location, copy):
+            remove(spark, copy)
+
+
+def resume_rewrite(spark: SparkSession, target: Target) -> str | None:
+    """Finish a rewrite that was cut off while the table showed its staged copy, so that its
+    own folder is whole for time travel too. Returns that folder."""
+    entry = describe(spark, target.table)
+    location = (entry or {}).get("location") or ""
     if f"/{STAGING}/" not in location:
         return None
-    rows = spark.read.load(
-        location, format=target.fmt, schema=spark.table(target.table).schema
-    )
-    move_back(rows, target, location, target.version_path(version))
-    return version
+    keys = entry.get("partition_columns")
+    name = location.rstrip("/").rpartition("/")[2]
+    path = f"{target.root}/{name}" if name.startswith("version=") else target.root
+    rows = spark.read.load(location, format=target.fmt, schema=spark.table(target.table).schema)
+    move_back(rows, target, location, path, keys)
+    return path
 
 
-def _journal(target: Target) -> str:
-    return f"{staging_root(target)}/journal"
+def resume_version(spark: SparkSession, target: Target) -> date | None:
+    """Finish a cut-off publication of a flat table; its version, if there was one."""
+    shown = finish_publication(spark, target)
+    if not table_exists(spark, target.table):
+        return None
+    version = current_version(spark, target.table)  # refuses tables of the other kind
+    return version if resume_rewrite(spark, target) or shown else None
 
 
 def publish_partition(df: DataFrame, target: Target, day: date) -> None:
     """Publish one date partition; other partitions are left alone.
 
-    A static partition insert also empties the partition when no rows are left. It
-    deletes before it writes, so the staged rows are entered in a journal first, from
-    which `resume_partition` finishes an insert that was cut off."""
+    The day is written once, into a folder of its own, which the partition then shows in one
+    step of the catalog. So `df` may read the day it replaces, a day without rows reads
+    empty, and until that step, or if it never comes, the old rows are shown."""
     spark = df.sparkSession
+    finish_publication(spark, target)
     if not table_exists(spark, target.table):
         refuse_unknown_files(spark, target, f"{PARTITION}=*")
-        _clear_journal(spark, target)  # of an earlier table in the same folder
         overwrite_table(df, target, partition_keys=[PARTITION])
         return
     last_partition(spark, target.table)  # refuses tables of the other kind
-    path = new_staging_path(target)
-    stage(in_table_order(df, spark, target.table).drop(PARTITION), target, path)
-    created = describe(spark, target.table)["created_time"]
-    entry = spark.range(0, 1, 1, 1).select(
-        F.lit(path).alias("staged"), F.lit(day).alias("day"), F.lit(created).alias("created")
-    )
-    entry.write.mode("overwrite").parquet(_journal(target))
-    _insert_staged(spark, target, path, day)
-
-
-def _clear_journal(spark: SparkSession, target: Target) -> None:
-    empty_frame(spark, _JOURNAL).write.mode("overwrite").parquet(_journal(target))
+    path = write_day(df, target, PARTITION, str(day))
+    show_day(spark, target, PARTITION, str(day), path)
+    release_days(spark, target, PARTITION, str(day), keep=path)
 
 
-def _insert_staged(spark: SparkSession, target: Target, path: str, day: date) -> None:
-    insert_partition(spark, target, path, PARTITION, str(day))
-    _clear_journal(spark, target)
-    release(spark, path)
-
-
-def resume_partition(spark: SparkSession, target: Target) -> date | None:
-    """Finish the partition insert in the journal, if there is one; safe to repeat.
-
-    An entry made for an earlier table of the same name is dropped, not replayed."""
-    entry = load_or_empty(spark, _journal(target), _JOURNAL).first()
-    if entry is None:
-        return None
-    if entry.created != describe(spark, target.table)["created_time"]:
-        _clear_journal(spark, target)
+def resume_partitions(spark: SparkSession, target: Target) -> date | None:
+    """Finish a cut-off publication of a partitioned table as a whole; its last day, if there was
+    one. A day's own publication needs no finishing."""
+    shown = finish_publication(spark, target)
+    if not table_exists(spark, target.table):
         return None
-    _insert_staged(spark, target, entry.staged, entry.day)
-    return entry.day
+    last = last_partition(spark, target.table)  # refuses tables of the other kind
+    return last if resume_rewrite(spark, target) or shown else None
 
 
 def resume(spark: SparkSession, target: Target, mode: str) -> date | None:
     """Finish what an earlier run left half done; the date concerned, if any."""
-    if not table_exists(spark, target.table):
-        return None
-    return (resume_version if mode == FLAT else resume_partition)(spark, target)
+    return (resume_version if mode == FLAT else resume_partitions)(spark, target)
 
 
 def publish(df: DataFrame, target: Target, day: date, mode: str) -> None:

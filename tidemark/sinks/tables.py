@@ -8,24 +8,29 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.functions.files import matching, remove
 from tidemark.functions.names import cols, quoted
-from tidemark.scratch import release
+from tidemark.scratch import on_release, release, scratch_path
+from tidemark.sinks.record import (
+    STAGING,
+    WRITING,
+    WRITTEN,
+    clear,
+    note,
+    publication,
+    staging_root,
+)
 from tidemark.sources.catalog import describe, table_exists
 from tidemark.spec import Target
 
-# Spark hides folders with a leading underscore from readers of the parent folder.
-STAGING = "_staging"
+# Below a table's root: a folder for each publication of a partition. Readers of the root by path
+# see none of them, the catalog says which one counts.
+DAYS = "_days"
 
 # What a write replaces in a table that exists.
 PARTITIONS, WHOLE = "partitions", "whole"
 
 
-def staging_root(target: Target) -> str:
-    """Beside the table's folder: as durable as the table, and outside what is replaced."""
-    parent, name = target.root.rsplit("/", 1)
-    return f"{parent}/{STAGING}/{name}"
-
-
 def new_staging_path(target: Target) -> str:
     return f"{staging_root(target)}/{uuid4().hex}"
 
@@ -71,6 +76,20 @@ def write_files(
         df.sparkSession.sql(f"DROP TABLE IF EXISTS {helper}")
 
 
+def store_in_buckets(df: DataFrame, target: Target, label: str) -> DataFrame:
+    """Store an intermediate table in the buckets of the target, so that a join of the two moves neither.
+
+    Only the catalog knows buckets, so it gets a helper table, which goes with the scratch that owns it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    database, _, _ = target.table.rpartition(".")
+    helper = f"{database}.tidemark_{uuid4().hex}".lstrip(".")
+    on_release(lambda: spark.sql(f"DROP TABLE IF EXISTS {helper}"))
+    writer = in_buckets(df, target).write.format("parquet").option("path", path)
+    writer.bucketBy(target.buckets, *target.bucket_keys).saveAsTable(helper)
+    return spark.table(helper)
+
+
 def stage(
     df: DataFrame, target: Target, path: str, partition_keys: Sequence[str] | None = None
 ) -> DataFrame:
@@ -116,6 +135,17 @@ def point_table(
             spark.catalog.refreshTable(target.table)
             return
         spark.sql(f"DROP TABLE {target.table}")
+    create_entry(spark, target, schema, path, partition_keys)
+
+
+def create_entry(
+    spark: SparkSession,
+    target: Target,
+    schema: T.StructType,
+    path: str,
+    partition_keys: Sequence[str] | None = None,
+) -> None:
+    """Make a catalog entry for the files below `path`, with the partitions found there."""
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
     by = f"PARTITIONED BY ({', '.join(map(quoted, partition_keys))})" if partition_keys else ""
     if target.buckets:
@@ -130,6 +160,32 @@ def point_table(
     spark.catalog.refreshTable(target.table)
 
 
+def begin(
+    spark: SparkSession,
+    target: Target,
+    schema: T.StructType,
+    path: str,
+    partition_keys: Sequence[str] | None = None,
+) -> None:
+    """Announce that the folder is about to be written."""
+    before = (describe(spark, target.table) or {}).get("created_time")
+    note(spark, target, WRITING, publication(target, schema, path, partition_keys, before))
+
+
+def show(
+    spark: SparkSession,
+    target: Target,
+    schema: T.StructType,
+    path: str,
+    partition_keys: Sequence[str] | None = None,
+) -> None:
+    """Make the table show a complete folder, so that a run that dies on the way can be finished."""
+    before = (describe(spark, target.table) or {}).get("created_time")
+    note(spark, target, WRITTEN, publication(target, schema, path, partition_keys, before))
+    point_table(spark, target, schema, path, partition_keys)
+    clear(spark, target)
+
+
 def _keys_last(df: DataFrame, partition_keys: Sequence[str] | None) -> DataFrame:
     payload = [name for name in df.columns if name not in set(partition_keys or ())]
     return df.select(*cols(payload), *cols(partition_keys or ()))
@@ -148,15 +204,16 @@ def overwrite_table(
     `df` must not read the folder that is written."""
     path = target.version_path(version) if version else target.root
     entry = describe(df.sparkSession, target.table)
-    if entry is not None and _same_folder(entry.get("location"), path):
+    if entry is not None and same_folder(entry.get("location"), path):
         rewrite_table(df, target, version, partition_keys)
         return
     df = _keys_last(df, partition_keys)
+    begin(df.sparkSession, target, df.schema, path, partition_keys)
     write_files(df, path, target, partition_keys)
-    point_table(df.sparkSession, target, df.schema, path, partition_keys)
+    show(df.sparkSession, target, df.schema, path, partition_keys)
 
 
-def _same_folder(location: str | None, path: str) -> bool:
+def same_folder(location: str | None, path: str) -> bool:
     """Whether a catalog location is the folder: schemes may be spelled file:/ or left out."""
     plain = lambda p: p.removeprefix("file:").replace("///", "/").rstrip("/")
     return location is not None and plain(location) == plain(path)
@@ -176,8 +233,9 @@ def rewrite_table(
     path = target.version_path(version) if version else target.root
     df = _keys_last(df, partition_keys)
     copy = f"{new_staging_path(target)}/{path.rsplit('/', 1)[1]}"
+    begin(spark, target, df.schema, copy, partition_keys)
     rows = stage(df, target, copy, partition_keys)
-    point_table(spark, target, df.schema, copy, partition_keys)
+    show(spark, target, df.schema, copy, partition_keys)
     move_back(rows, target, copy, path, partition_keys)
 
 
@@ -192,8 +250,8 @@ def move_back(
     if target.buckets:
         rows = in_buckets(rows, target)  # read as plain files, which know no buckets
     write_files(rows, path, target, partition_keys)
-    point_table(rows.sparkSession, target, rows.schema, path, partition_keys)
-    release(rows.sparkSession, copy)
+    show(rows.sparkSession, target, rows.schema, path, partition_keys)
+    release(rows.sparkSession, copy.rsplit("/", 1)[0])
 
 
 def in_table_order(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
@@ -222,23 +280,30 @@ def _inserting_session(spark: SparkSession, target: Target, **settings: str) ->
     return session
 
 
-def insert_partition(
-    spark: SparkSession, target: Target, staged: str, key: str, value: str
-) -> None:
-    """Make one partition hold exactly the staged rows, even when there are none. They
-    must have been staged in table order, without the partition column."""
-    session = _inserting_session(spark, target)
-    fields = [f for f in session.table(target.table).schema.fields if f.name != key]
-    rows = session.read.load(staged, format=target.fmt, schema=T.StructType(fields))
-    rows = sized_by_partition(rows, ())
-    session.sql(
-        f"INSERT OVERWRITE TABLE {target.table} PARTITION ({quoted(key)} = {_text(value)}) "
-        "SELECT * FROM {rows}",
-        rows=rows,
-    )
+def write_day(df: DataFrame, target: Target, key: str, value: str) -> str:
+    """Write the rows of one partition into a folder of its own, which nothing refers to yet."""
+    rows = sized_by_partition(in_table_order(df, df.sparkSession, target.table).drop(key), ())
+    path = f"{target.root}/{DAYS}/{key}={value}-{uuid4().hex}"
+    write_files(rows, path, target)
+    return path
+
+
+def show_day(spark: SparkSession, target: Target, key: str, value: str, path: str) -> None:
+    """Make a partition show a folder, in one step of the catalog; a new partition is added with it."""
+    part = f"PARTITION ({quoted(key)} = {_text(value)})"
+    spark.sql(f"ALTER TABLE {target.table} ADD IF NOT EXISTS {part} LOCATION {_text(path)}")
+    spark.sql(f"ALTER TABLE {target.table} {part} SET LOCATION {_text(path)}")
     spark.catalog.refreshTable(target.table)
 
 
+def release_days(spark: SparkSession, target: Target, key: str, value: str, keep: str) -> None:
+    """Remove the folders that a partition showed before, and those that a crash left behind."""
+    for old in matching(spark, f"{target.root}/{DAYS}/{key}={value}-*"):
+        if not same_folder(old, keep):
+            remove(spark, old)
+    remove(spark, f"{target.root}/{key}={value}")
+
+
 def overwrite_partitions(df: DataFrame, target: Target) -> None:
     """Replace exactly the partitions that occur in `df`, keep all others.
 

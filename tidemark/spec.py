@@ -27,6 +27,9 @@ ROW_INDEX = "_cdc_row_index"
 
 FLAT, PARTITIONED = "flat", "partitioned"
 
+# Ways to bring changes and the previous snapshot together.
+MERGES = ("broadcast_delta", "split", "sort_merge")
+
 
 # Scheme and bucket or host of a path.
 _AUTHORITY = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/]*)?")
@@ -138,7 +141,8 @@ class RunOptions:
                   rows are stamped with the run date and may win over older changes
     bad_timestamp fail: malformed change times stop the run; drop: they are left out
     merge         broadcast_delta: join without moving the old snapshot as long as the
-                  changes pass a size check; sort_merge: always shuffle both sides
+                  changes pass a size check; split: shuffle both sides, a hot old key may
+                  span tasks; sort_merge: shuffle both sides once
     check_names   refuse feed folders holding files that are neither load nor change
     count_rows    report how many rows the date window left out
     """
@@ -154,7 +158,7 @@ class RunOptions:
         _one_of("null_policy", self.null_policy, ("keep_old", "overwrite"))
         _one_of("load_rank", self.load_rank, ("first", "processing_date"))
         _one_of("bad_timestamp", self.bad_timestamp, ("fail", "drop"))
-        _one_of("merge", self.merge, ("broadcast_delta", "sort_merge"))
+        _one_of("merge", self.merge, MERGES)
 
 
 def check_mode(spec: FeedSpec, mode: str, target: Target) -> None:
