@@ -20,7 +20,9 @@ by adaptive execution. Mentions are gathered by text only. Whole texts are shuff
 
 Defined cases: a null text stays null and has no entity; an empty text stays empty. Rows that repeat an id
 and text get equal results, rows that share an id are told apart by a hash of the text, and a null id is
-an id like others. An empty table gives an empty result. Other columns are not looked at. A masked secret
+an id like others. Texts and entities of any length are whole, in time that grows with their length; a text's
+entities are gathered in one row. Of forms that draw the same surrogate the first by attempt, kind, form,
+gender and script keeps it. An empty table gives an empty result. Other columns are not looked at. A masked secret
 ("password: ********", signs of MASK alone) is no entity and stays; a secret of other signs without a
 letter or digit gets a letter for each sign.
 """
@@ -54,12 +56,15 @@ NAMED = r"(?i:\b(?:password|passwd|token|secret|api_?key)\s*[=:]\s*)"
 #: A group of an IPv6 address.
 H = r"[0-9A-Fa-f]{1,4}"
 
-#: Kinds and their patterns, in the order in which they are tried at a place.
+#: Kinds and their patterns, in the order in which they are tried at a place. Java's engine recurses for each
+#: round of a group repeated without a bound, unless the repeat is possessive, and a run without a left
+#: boundary is scanned again from each of its signs; so repeats without a bound are of one class, or possessive,
+#: and begin where a run begins or where the last entity ended.
 PATTERNS = {
     "secret": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|" + NAMED + r"\"?(?!" + MASK + r"(?:[\s\"]|\z))[^\s\"]{6,}\"?"
     + "|" + BARE + r"[A-Za-z0-9_-]{16,}(?:\.[A-Za-z0-9_-]+){0,2}"
     + "|" + BEGIN + r"(?:[^-]++|-(?!----))++",
-    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?:\G|(?<![\p{L}\p{N}._%+-]))[._%+-]*+[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d)",
     # the short form with three colons at least, or of a local range: not '1::2' or 'a::b' of programs
     "ipv6": r"(?<![\w:.])(?=[A-Fa-f:]*\d)(?:" + f"(?:{H}:){{7}}{H}|(?=(?:[0-9A-Fa-f]*:){{3}}|[Ff][CcDdEe][0-9A-Fa-f]{{2}}:)"
@@ -121,6 +126,7 @@ def mentions(texts: DataFrame) -> DataFrame:
         F.when(F.col("kind") == "name", F.regexp_extract("whole", r"^([\p{L}]+\.?) ", 1))
         .when(F.col("kind") == "phone", F.regexp_extract("whole", r"^((?:\+|00)\d{1,3}(?=[^\d])|\+\d|00\d)", 1))
         .when(F.col("kind") == "secret", F.regexp_extract("whole", f"^({BEGIN}|AKIA|ASIA|{BARE}|{NAMED})", 1))
+        .when(F.col("kind") == "email", F.regexp_extract("whole", r"^([._%+-]*)", 1))
         .when(F.col("kind") == "iban", F.substring("whole", 1, 2))
         .otherwise("")
     )
@@ -163,16 +169,11 @@ def drawn(key: str) -> dict[str, Column]:
     letters = F.translate(hex_, "0123456789", "ghijkmnpqr")
     # each sign by one of its class, and by letters where there is no letter or digit; beyond 128 signs the
     # stream starts anew
-    walk = """aggregate(
-        split(form, ''), struct('' AS done, 0 AS i),
-        (acc, c) -> struct(
-            concat(acc.done, CASE WHEN c RLIKE '\\\\p{N}' THEN substring(digits, acc.i % 128 + 1, 1)
-                                  WHEN c RLIKE '\\\\p{Lu}' THEN upper(substring(letters, acc.i % 128 + 1, 1))
-                                  WHEN c RLIKE '\\\\p{L}' OR NOT form RLIKE '[\\\\p{L}\\\\p{N}]'
-                                      THEN substring(letters, acc.i % 128 + 1, 1)
-                                  ELSE c END) AS done,
-            acc.i + 1 AS i),
-        acc -> acc.done)"""
+    walk = """array_join(transform(split(form, ''), (c, i) ->
+        CASE WHEN c RLIKE '\\\\p{N}' THEN substring(digits, i % 128 + 1, 1)
+             WHEN c RLIKE '\\\\p{Lu}' THEN upper(substring(letters, i % 128 + 1, 1))
+             WHEN c RLIKE '\\\\p{L}' OR signs THEN substring(letters, i % 128 + 1, 1)
+             ELSE c END), '')"""
     # addresses and secrets grow by letters when their own length leaves too little choice, an address
     # keeps its last label
     wider = "repeat(substring(letters, 100, 1 + attempt), least(attempt, 1))"
@@ -196,7 +197,8 @@ def drawn(key: str) -> dict[str, Column]:
     chosen = f"""CASE WHEN kind = 'email' THEN {email} WHEN kind = 'ip' THEN {ip} WHEN kind = 'ipv6' THEN {ipv6}
                       WHEN kind IN ('given', 'family') THEN {name} WHEN kind = 'secret' THEN {secret}
                       ELSE {longer} END"""
-    return {"hex": hex_, "digits": digits, "letters": letters, "chosen": F.expr(chosen)}
+    signs = ~F.regexp_like("form", F.lit(r"[\p{L}\p{N}]"))
+    return {"hex": hex_, "digits": digits, "letters": letters, "signs": signs, "chosen": F.expr(chosen)}
 
 
 def surrogates(forms: DataFrame, key: str) -> DataFrame:
@@ -206,7 +208,7 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
     plan = drawn(key)
 
     def draw(df: DataFrame) -> DataFrame:
-        df = df.withColumns({n: plan[n] for n in ("hex", "digits", "letters")})
+        df = df.withColumns({n: plan[n] for n in ("hex", "digits", "letters", "signs")})
         return df.select(*of, "attempt", plan["chosen"].alias("surrogate"))
 
     known, known_path = store(draw(forms.withColumn("attempt", F.lit(0))), "surrogates")
