@@ -88,6 +88,56 @@ def test_groups_of_copies_around_the_threshold(spark, monkeypatch, block):
         assert found(table(spark, *rows), percent) == brute_force(rows, percent)
 
 
+@pytest.mark.parametrize("flip", [False, True])
+def test_repeated_ids_keep_all_their_links(spark, flip):
+    """An id with two texts joins the near copies of both, whichever text sorts first."""
+    texts = [words(31, 200), words(32, 200)]
+    a, b = sorted(texts, reverse=flip)
+    rows = [(17, a), (17, b), (20, b + " tail"), (21, a + " tail"), (5, words(33, 90)), (5, None), (6, ""), (6, words(33, 90) + " x")]
+    rows += [(None, words(34, 100)), (None, words(35, 100)), (40, words(35, 100) + " end"), (41, words(34, 100) + " end")]
+    rows += [(17, None), (17, a), (2, b.upper()), (50, texts[0] + " tail tail")]
+    assert found(table(spark, *rows)) == brute_force(rows, 85)
+
+
+def test_blocks_meet_once_and_the_largest_component_is_not_compared_with_itself(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK", 10)
+    rows = [(i, 7, 0 if i < 200 else i) for i in range(225)]
+    placed = spark.createDataFrame(rows, "id long, band long, component long")
+    split = spark.createDataFrame([(7, 0, 200, 25)], "band long, largest long, inside long, outside long")
+    groups = {}
+    for r in near_dups.by_block(placed, split).collect():
+        groups.setdefault((r.low, r.high), {})[r.id] = (r.block, r.component)
+    met = Counter()
+    for (low, high), members in groups.items():
+        left = [i for i, (b, _) in members.items() if b == low]
+        right = [i for i, (b, _) in members.items() if b == high]
+        met.update({tuple(sorted((i, j))) for i in left for j in right if i != j})
+        assert {c for b, c in members.values() if b == low} != {0}
+    outside = range(200, 225)
+    assert met == Counter({(i, j): 1 for i in range(225) for j in outside if i < j})
+
+
+def test_one_bucket_of_many_members(spark, monkeypatch):
+    """A short text and 20,000 variants of it share many buckets; a few of them join through others only."""
+    monkeypatch.setattr(near_dups, "BLOCK", 256)
+    made = random.Random(7)
+    base = words(40, 400)
+    rows = [(i, edited(base, 3, made)) for i in range(3000)]
+    chain = base
+    for i in range(12):
+        chain = edited(chain, 6, made)
+        rows.append((10_000 + i, chain))
+    made.shuffle(rows)
+    far = words(41, 400)
+    rows += [(20_000 + i, far + f" {i}") for i in range(17_000)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(table(spark, *rows).repartition(4)).collect()}
+    assert len(got) == 20_012
+    assert {got[20_000 + i] for i in range(17_000)} == {20_000}
+    assert {got[i] for i in range(3000)} == {0}
+    want = {i: c for i, _, c in brute_force([r for r in rows if 10_000 <= r[0] < 20_000 or r[0] < 40], 85)}
+    assert all(got[10_000 + i] == 0 for i in range(12) if want[10_000 + i] == 0)
+
+
 def test_a_bucket_returns_joining_links_only(spark):
     """A search in one bucket gives no more links than members, whatever the pairs."""
     made = random.Random(1)

@@ -1,25 +1,29 @@
 """Near duplicates by b-bit MinHash: bands propose, packed low bits estimate, full sets confirm.
 
 1. A text's set holds the 64-bit hashes of its distinct shingles of five words; texts with equal sets
-   form a class, of which the smallest id goes on. So copies cost one row a class, not their pairs.
+   form a class, the node of all that follows. So copies cost one row a class, not their pairs.
 2. 96 minima a set; bands of four minima propose candidates (at similarity 0.85 one pair in 5*10^7 meets
    in none of the 24 bands), and the lowest four bits of every minimum are packed into six words.
 3. Each member of a band's bucket is compared with the smallest, so a bucket gives as many pairs as
    members. Similarity is estimated from the packed signatures by bit counts, corrected for the 1/16
    of low bits that agree by chance; pairs six deviations below the threshold go.
-4. The others are confirmed on the full sets, and linked texts become components.
-5. A bucket whose other members still lie in several components is searched in full: its members
-   are dealt to blocks with their sets, and a task compares two blocks on packed signatures and then on
-   the sets. A link it finds joins the components there and then, so it returns no more links than it has
-   members, and pairs that components already join are not looked at. So no link that the bands
-   propose is lost that would change a component, whatever a bucket's size.
+4. The others are confirmed on the full sets. Linked classes, and classes with rows of the same id, become
+   components.
+5. A bucket whose other members still lie in several components is searched in full: those outside its
+   largest component are compared with each other and with those in it, block by block, on packed
+   signatures and then on the sets. A link that a task finds joins the components there and then, so it returns
+   no more links than it has members, and pairs that components already join are not looked at. So no link
+   that the bands propose is lost that would change a component, whatever a bucket's size. Buckets are
+   taken for the same, and searched once, if they agree in their number of members and in two sums over
+   them, 128 bits.
 
 Nothing is collected; hot classes and buckets are combined before the shuffle or met in sort-merge joins
 on stored tables, which adaptive execution splits. Texts of candidates are shuffled once.
 
 Defined cases: a text without words, or null, has an empty set and no link; with one to four words the
-whole sequence is its only shingle. Rows that repeat an id are one node. A null id is a node that counts
-as the smallest. An empty table gives an empty result. Other columns are not looked at.
+whole sequence is its only shingle. Texts of any length are whole. Rows that share an id are in one component,
+whatever their texts. A null id is an id like others and counts as the smallest. A pair exactly at the threshold is
+linked. An empty table gives an empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -54,7 +58,9 @@ FACTORS = _random.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + n
 SUMMANDS = _random.integers(0, 2**63, MINIMA, dtype=np.uint64)
 ORDER = _random.integers(1, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-SIGNATURES = "id long, n_shingles long, set_a long, set_b long, signature array<long>, bands array<long>"
+SIGNATURES = (
+    "row struct<id: long, hash: long>, n_shingles long, set_a long, set_b long, signature array<long>, bands array<long>"
+)
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
@@ -120,7 +126,7 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(list(rows[:, :LONGS]), pa.list_(pa.int64())),
                     pa.array([r if len(s) else [] for r, s in zip(rows[:, LONGS:], sets, strict=True)], pa.list_(pa.int64())),
                 ],
-                names=["id", "n_shingles", "set_a", "set_b", "signature", "bands"],
+                names=["row", "n_shingles", "set_a", "set_b", "signature", "bands"],
             )
     give_back()
 
@@ -222,7 +228,7 @@ def shingle_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of which the full sets reach the threshold, stored."""
+    """The pairs (a, b) of which the full sets reach the threshold."""
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(other, "b").join(one, "a").select("a", "b", "text_a", "text_b")
@@ -230,14 +236,29 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return confirm(batches, percent)
 
-    with arrow_rows(pairs.sparkSession, BATCH):
-        return store(both.sortWithinPartitions("a").mapInArrow(run, "a long, b long"), "confirmed")[0]
+    return both.sortWithinPartitions("a").mapInArrow(run, "a long, b long")
 
 
-def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of some documents, one row an id, stored."""
-    some = docs.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    return store(some, "candidate-texts")[0]
+def wide(number: Column) -> Column:
+    """A long whose sums do not overflow."""
+    return number.cast("decimal(20,0)")
+
+
+def by_block(placed: DataFrame, split: DataFrame) -> DataFrame:
+    """Members of split buckets, with the pairs of blocks (low, high) that they are compared in.
+
+    `split` has per bucket (band) its largest component and how many members lie in it and outside. Blocks
+    below `outer` hold those outside; only they are compared among themselves."""
+    outer, inner = (F.ceil(F.col(n) / BLOCK).cast("long") for n in ("outside", "inside"))
+    dealt = placed.join(split, "band").withColumns({"outer": outer, "inner": inner, "outsider": F.col("component") != F.col("largest")})
+    spread = F.xxhash64("id")
+    dealt = dealt.withColumn(
+        "block", F.when(F.col("outsider"), F.pmod(spread, "outer")).otherwise(F.col("outer") + F.pmod(spread, "inner"))
+    )
+    last = F.when(F.col("outsider"), F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
+        "id", "band", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
 
 
 def near_duplicates(
@@ -248,22 +269,27 @@ def near_duplicates(
     spark = docs.sparkSession
     fewest = fewest_agreeing(threshold_percent / 100)
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
-    rows = docs.select(number.alias("id"), text_of(text_col).alias("text"))
+    text = text_of(text_col)
+    rows = docs.select(F.struct(number.alias("id"), F.xxhash64(text).alias("hash")).alias("row"), text.alias("text"))
     with arrow_rows(spark, BATCH):
         signed, _ = store(rows.mapInArrow(sign, SIGNATURES), "signatures")
     filled = signed.where("n_shingles > 0")
     same_set = ["n_shingles", "set_a", "set_b"]
-    classes, _ = store(filled.groupBy(*same_set).agg(F.min("id").alias("class")), "classes")
-    heads = filled.join(classes.withColumnRenamed("class", "id"), [*same_set, "id"], "left_semi")
+    # written once, so a class keeps its node
+    numbered = filled.groupBy(*same_set).agg(F.min("row").alias("row")).withColumn("node", F.monotonically_increasing_id())
+    classes, classes_path = store(numbered, "classes")
+    heads = filled.join(classes, [*same_set, "row"]).groupBy("node").agg(
+        F.first("signature").alias("signature"), F.first("bands").alias("bands")
+    )
+    heads, heads_path = store(heads.withColumnRenamed("node", "id"), "heads")
     banded = heads.select("id", F.explode("bands").alias("band")).distinct()
     buckets = banded.groupBy("band").agg(F.min("id").alias("pivot"), F.count("*").alias("members"))
     buckets, buckets_path = store(buckets.where("members > 1"), "buckets")
     members, members_path = store(banded.join(buckets, "band").where("id <> pivot"), "members")
 
-    signatures = heads.groupBy("id").agg(F.first("signature").alias("signature"))
     candidates = members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     in_buckets = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    signatures, signatures_path = store(signatures.join(in_buckets, "id", "left_semi"), "signatures")
+    signatures, signatures_path = store(heads.select("id", "signature").join(in_buckets, "id", "left_semi"), "signatures")
     estimated = (
         candidates.join(signatures.select(F.col("id").alias("b"), F.col("signature").alias("y")), "b")
         .join(signatures.select(F.col("id").alias("a"), F.col("signature").alias("x")), "a")
@@ -271,56 +297,71 @@ def near_duplicates(
         .select("a", "b")
     )
     pairs, pairs_path = store(estimated, "pairs")
-    texts = texts_of(rows, in_buckets)
-    links = confirmed(pairs, texts, threshold_percent)
+    wanted = classes.select("row", F.col("node").alias("id")).join(in_buckets, "id", "left_semi")
+    texts, texts_path = store(rows.join(wanted, "row").groupBy("id").agg(F.min("text").alias("text")), "candidate-texts")
+    by_id = filled.select("row.id", *same_set)
+    repeated = by_id.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    of_repeated = by_id.join(repeated, "id", "left_semi").join(classes.drop("row"), same_set).select("id", "node").distinct()
+    of_repeated, repeated_path = store(of_repeated, "repeated-ids")
+    firsts = of_repeated.groupBy("id").agg(F.min("node").alias("a"))
+    of_one_id = of_repeated.join(firsts, "id").where("a <> node").select("a", F.col("node").alias("b"))
+    with arrow_rows(spark, BATCH):
+        links, links_path = store(confirmed(pairs, texts, threshold_percent).unionAll(of_one_id), "links")
     found = components(links)
+    paths = [buckets_path, members_path, signatures_path, pairs_path, texts_path, repeated_path, links_path, heads_path]
 
     # buckets whose members, without the one all were compared with, lie in several components
     placed = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = placed.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    sizes = placed.groupBy("band", "component").agg(
+        F.count("*").alias("n"), F.sum(wide(F.xxhash64("id"))).alias("of"), F.sum(wide(F.xxhash64("id", F.lit(1)))).alias("of_too")
     )
-    split, split_path = store(split.where("low <> high").select("band", "n"), "split")
+    split = (
+        sizes.groupBy("band")
+        .agg(
+            F.max_by("component", F.struct("n", "component")).alias("largest"),
+            F.max("n").alias("inside"),
+            F.sum("n").alias("n"),
+            F.sum("of").alias("of"),
+            F.sum("of_too").alias("of_too"),
+        )
+        .where("n > inside")
+    )
+    one_each = split.groupBy("n", "of", "of_too").agg(F.min(F.struct("band", "largest", "inside", F.expr("n - inside").alias("outside"))).alias("one"))
+    split, split_path = store(one_each.select("one.*"), "split")
+    paths.append(split_path)
     if not split.isEmpty():
-        # bands with the same members need one search
-        same = placed.join(split, "band").groupBy("band", "n").agg(F.sum(F.xxhash64("id") % 2**31).alias("of"))
-        one_each = same.groupBy("of", "n").agg(F.min("band").alias("band"))
-        blocks = F.ceil(F.col("n") / BLOCK)
-        block = F.pmod(F.xxhash64("id"), blocks)
-        other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-        searched = placed.join(one_each, "band")
+        searched = placed.join(split.select("band"), "band", "left_semi")
         sets = texts.join(searched.select("id").distinct(), "id", "left_semi").mapInArrow(
             shingle_bytes, "id long, shingles binary"
         )
         with arrow_rows(spark, BATCH):
             sets, sets_path = store(sets, "sets")
-        dealt = (
-            searched.join(signatures, "id")
-            .select("id", "component", "signature", "band", block.alias("block"), other)
-            .select(
-                "id", "component", "signature", "band", "block",
-                F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-            )
-            .join(sets, "id")
-        )
+        dealt = by_block(placed, split).join(signatures, "id").join(sets, "id")
 
         def search(key: tuple, group: pa.Table) -> pa.Table:
             return bridges(key, group, fewest, threshold_percent)
 
         more = dealt.groupBy("band", "low", "high").applyInArrow(search, "a long, b long").distinct()
-        links, _ = store(links.unionAll(more), "links")
+        links, more_path = store(links.unionAll(more), "links")
         found = components(links)
-        release(spark, sets_path)
-    for path in (buckets_path, members_path, signatures_path, pairs_path, split_path):
+        paths += [sets_path, more_path]
+    for path in paths:
         release(spark, path)
 
-    named = classes.join(found.withColumnRenamed("id", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
+    # a component's smallest id
+    named = classes.join(found.withColumnRenamed("id", "node"), "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
     )
-    named, _ = store(named, "classes")
-    component = F.coalesce("component", "id")
+    least = named.groupBy("component").agg(F.min("row.id").alias("least"))
+    named, _ = store(named.join(least, "component").select(*same_set, F.col("row.id").alias("class"), "least"), "named")
+    release(spark, classes_path)
+    # a row without words goes with the other rows of its id
+    empty = signed.where("n_shingles = 0").select("row.id").distinct()
+    of_id = by_id.join(empty, "id", "left_semi").join(named, same_set).groupBy("id").agg(F.min("least").alias("of_id"))
+    component = F.coalesce("least", F.when(F.col("n_shingles") == 0, F.col("of_id")), "id")
     null_back = lambda c: F.when(c != NULL_ID, c)
-    return signed.join(named, same_set, "left").select(
+    rows = signed.select("row.id", *same_set).join(named, same_set, "left").join(of_id, "id", "left")
+    return rows.select(
         null_back(F.col("id")).alias(id_col),
         "n_shingles",
         null_back(component).alias("component_id"),
