@@ -6,7 +6,9 @@ the whole text is hashed for the rows left. Groups are counted by partial aggreg
 that a third of the rows share costs one row a task; the joins back to the rows are sort-merge joins
 on stored tables, whose hot keys adaptive execution splits.
 
-Defined cases: a null text is the empty text, and empty texts are one group. A null id is smaller
+Keys are sent to all tasks up to BROADCAST_KEYS of them, beyond that they meet the rows by shuffle.
+
+Defined cases: texts of any length are compared whole. A null text is the empty text, and empty texts are one group. A null id is smaller
 than any other. Rows that repeat an id and its text count in the group size, and all of them that
 hold the largest id are marked kept, since nothing tells them apart; `drop_exact_duplicates` leaves
 one. An empty table gives an empty result. Other columns are not looked at, whatever their names.
@@ -14,6 +16,9 @@ one. An empty table gives an empty result. Other columns are not looked at, what
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +28,9 @@ from tidemark.scratch import store
 #: Characters whose hash is the second level.
 PREFIX = 128
 
+#: Keys of up to 60 bytes that are sent to every task at most.
+BROADCAST_KEYS = 1_000_000
+
 
 def text_hash(text: str) -> Column:
     """SHA-256 of the normalised text in UTF-8, lower-case hex."""
@@ -34,20 +42,38 @@ def duplicate_groups(
 ) -> DataFrame:
     """Groups of two rows and more: text_sha256, keep_id, group_size, keep_rows (rows that hold
     keep_id)."""
+    return groups_of(candidates(docs, id_col, text_col, prefix))
+
+
+def levels(id_col: str, text_col: str, prefix: int) -> dict[str, Column]:
+    """What the first two levels look at: id, length in bytes, hash of the prefix."""
     text = text_of(text_col)
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        F.col(text_col).alias("text"),
-        F.octet_length(text).alias("bytes"),
-        F.xxhash64(lower_ascii(F.substring(text, 1, prefix))).alias("head"),
-    )
+    return {
+        "id": F.col(id_col),
+        "bytes": F.octet_length(text),
+        "head": F.xxhash64(lower_ascii(F.substring(text, 1, prefix))),
+    }
+
+
+def candidates(docs: DataFrame, id_col: str, text_col: str, prefix: int) -> DataFrame:
+    """Rows whose length and prefix another row has too: id, bytes, head, text_sha256."""
+    of = levels(id_col, text_col, prefix)
+    rows = docs.select(*[c.alias(n) for n, c in of.items()], F.col(text_col).alias("text"))
     small = rows.select("bytes", "head")
     lengths, _ = store(_repeated(small, "bytes"), "lengths")
     heads, _ = store(_repeated(small.join(lengths, "bytes", "left_semi"), "bytes", "head"), "heads")
-    whole = rows.join(heads, ["bytes", "head"], "left_semi").select(
-        "id", text_hash("text").alias("text_sha256")
-    )
-    by_id = whole.groupBy("text_sha256", "id").agg(F.count("*").alias("n"))
+    surviving = rows.join(bounded(heads), ["bytes", "head"], "left_semi")
+    return surviving.select("id", "bytes", "head", text_hash("text").alias("text_sha256"))
+
+
+def bounded(keys: DataFrame) -> DataFrame:
+    """A stored table of keys to join with rows: sent to every task if it has few enough, so that the
+    texts need not move; beyond that rows and keys meet by shuffle."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def groups_of(hashed: DataFrame) -> DataFrame:
+    by_id = hashed.groupBy("text_sha256", "id").agg(F.count("*").alias("n"))
     return (
         by_id.groupBy("text_sha256")
         .agg(
@@ -84,17 +110,28 @@ def drop_exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX
 ) -> DataFrame:
     """The documents without copies, all columns as they are: of equal texts the row with the
-    largest id, and one row only where rows repeat that id."""
-    groups, _ = store(duplicate_groups(docs, id_col, text_col, prefix), "copies")
-    sha, keep, size, same = (free_name(docs, n) for n in ("text_sha256", "keep_id", "size", "same"))
-    groups = groups.select(
-        F.col("text_sha256").alias(sha),
-        F.col("keep_id").alias(keep),
-        F.col("group_size").alias(size),
-        F.col("keep_rows").alias(same),
-    )
-    found = docs.withColumn(sha, text_hash(text_col)).join(groups, sha, "left")
-    kept = found.where(F.col(size).isNull() | F.col(id_col).eqNullSafe(F.col(keep)))
-    single = kept.where(F.col(same).isNull() | (F.col(same) == 1)).select(docs.columns)
-    several = kept.where(F.col(same) > 1).dropDuplicates([sha]).select(docs.columns)
+    largest id, and one row only where rows repeat that id.
+
+    Only texts of surviving groups are hashed; the rows to drop are named by id, length and prefix hash,
+    and by the text's hash where these three agree."""
+    hashed, _ = store(candidates(docs, id_col, text_col, prefix), "hashed")
+    placed = hashed.join(groups_of(hashed), "text_sha256")
+    is_kept = F.col("id").eqNullSafe(F.col("keep_id"))
+    key = ["id", "bytes", "head", "text_sha256"]
+    dropped, _ = store(placed.where(~is_kept | (F.col("keep_rows") > 1)).select(*key).distinct(), "dropped")
+    repeated, _ = store(placed.where(is_kept & (F.col("keep_rows") > 1)).select(*key).distinct(), "repeated")
+
+    of = levels(id_col, text_col, prefix)
+
+    def same(keys: DataFrame) -> tuple[DataFrame, Column]:
+        """The keys under names that no column has, and when a row has such a key."""
+        names = {n: free_name(docs, f"copy_{n}") for n in key}
+        found = bounded(keys).select(*[F.col(n).alias(name) for n, name in names.items()])
+        agree = [c.eqNullSafe(F.col(names[n])) for n, c in of.items()]
+        return found, reduce(and_, agree) & (text_hash(text_col) == F.col(names["text_sha256"]))
+
+    rest, agrees = same(dropped)
+    single = docs.join(rest, agrees, "left_anti")
+    again, agrees = same(repeated)
+    several = docs.join(again, agrees).dropDuplicates([again.columns[-1]]).select(docs.columns)
     return single.unionAll(several)
