@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 import zlib
 from collections import Counter
@@ -12,12 +13,14 @@ from tests.llm.conftest import table, words
 from tidemark.llm.toxicity import (
     CharModel,
     Restorer,
+    beginnings,
     char_counts,
     char_model,
     drop_toxic,
     edged,
     fit,
     held_out,
+    likelihood_ratio,
     restore,
     train,
     with_scores,
@@ -91,6 +94,54 @@ def test_forms_outside_the_first_gates_count(spark, model, word):
     assert model.scores([" ".join(made)], Restorer(model.chars))[0] >= 0.5
 
 
+@pytest.mark.parametrize("word", ["idiotic", "moronically", "stupidest", "worthlessness", "1d10ticity", "i.d.i.o.t.s"])
+def test_endings_that_no_training_row_holds_count(model, word):
+    made = prose(9_999).split()
+    made[10:10] = [word]
+    assert model.scores([" ".join(made)], Restorer(model.chars))[0] >= 0.5
+
+
+def test_beginnings_count_different_words():
+    words = {"abcdef", "abcdeg", "abcd", "abc", "abcdxy"}
+    assert beginnings(words) == {"abcd*1", "abcd*2", "abcd*3", "abcde*1", "abcde*2", "abcdx*1"}
+    assert beginnings(words, {"abcde"}) == {"abcde*1", "abcde*2"} and beginnings({"abc", ""}) == set()
+
+
+def test_one_word_of_a_stem_that_clean_texts_hold_too_is_not_enough(spark):
+    """Clean texts hold one word of a stem now and then, toxic ones several with ever other endings."""
+    made, rows, labels = random.Random(8), [], []
+    for i in range(900):
+        toxic = i % 3 == 0
+        n = made.randint(3, 6) if toxic else made.choice([0, 0, 1])
+        w = prose(i).split() + ["scorn" + words(1000 * i + k, 1) for k in range(n)]
+        made.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    docs = table(spark, *rows)
+    trained = train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert not any(w.startswith("scorn") and "*" not in w for w in trained.weights)
+    scored = with_scores(docs, trained).where(held_out()).collect()
+    assert len(scored) > 100 and all((r.score >= 0.5) == (r.doc_id % 3 == 0) for r in scored)
+
+
+def test_likelihood_ratio_of_a_table(spark):
+    """Against the sum over the four cells of a table of presence and label."""
+    rows = [("a", 30, 40), ("b", 0, 12), ("c", 50, 50), ("d", 5, 100)]
+    got = spark.createDataFrame(rows, "word string, toxic long, n long").withColumn("r", likelihood_ratio(200, 50)).collect()
+    for r in got:
+        seen = np.array([[r.toxic, r.n - r.toxic], [50 - r.toxic, 150 - r.n + r.toxic]], float)
+        expected = seen.sum(1, keepdims=True) * seen.sum(0, keepdims=True) / 200
+        want = 2 * sum(s * np.log(s / e) for s, e in zip(seen.ravel(), expected.ravel(), strict=True) if s)
+        assert r.r == pytest.approx(want)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no benchmark tables")
+def test_held_out_accuracy_on_a_whole_table(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    scored = with_scores(docs, train(docs, labels)).join(labels, "doc_id").where(held_out()).collect()
+    assert len(scored) > 50 and sum((r.score >= 0.5) == r.toxic for r in scored) >= 0.95 * len(scored)
+
+
 def test_edges_gaps_and_numbers(model):
     restorer = Restorer(model.chars)
     assert edged("(unt", "unt", "(+") == ["(unt"] and edged("++rash", "rash", "+") == [] == edged("(unt)", "unt", "+")

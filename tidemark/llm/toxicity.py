@@ -8,16 +8,19 @@
    space are one token. Viterbi decoding finds the letters that the trigram model and the costs of the
    channel like best. Tokens of letters without a repeat have one path and are left as they are; the word
    as written stays a feature beside the restored one. Tokens of digits alone stay numbers.
-3. The words of the restored text, and the letters of a token as written, are features. Those that tell
-   the labels apart best (likelihood ratio, MAX_WORDS at most) get weights by logistic regression, fitted
-   on a bounded sample: the TRAIN_ROWS labelled rows with the smallest hash, never a row held out. Of
-   near copies in it one row counts, else every word of a copied text would look telling. Each row is
-   seen whole and once for each of its features alone, since one word can be enough.
-
-Scoring is one pass over the documents with the model broadcast (its size is bounded by MAX_WORDS and
+3. The words of the restored text, and the letters of a token as written, are features, and so are the
+   beginnings of words: how many different words of the text begin with these four or five letters (one, two, three
+   and more). So an ending that no training row holds still counts. Those that tell the labels apart
+   (likelihood ratio) get weights by logistic regression with a penalty, fitted on a bounded sample: the
+   TRAIN_ROWS labelled rows with the smallest hash, never a row held out. Of near copies in it one row counts,
+   else every word of a copied text would look telling. Each row is seen whole, and once for each word that
+   is SURE to be toxic alone, since one such word is enough.
+
+Scoring is one pass over the documents with the model broadcast (its size is bounded by the sample and
 the alphabet). Inputs of a score are the text's words alone.
 
-Defined cases: a null text is empty; an empty text gets the score of a text without telling words. A null
+Defined cases: a null text is empty; an empty text gets the score of a text without telling words; texts of any
+length are read whole. Of paths through a lattice that cost the same, the one with the first spelling counts. A null
 id counts as held out and never trains. Several labels of one id: it is toxic if one says so; null labels
 are left out. Without usable labels every score is 0; with labels of one kind it is their smoothed
 share. An empty table gives an empty result. Other columns are passed through or not looked at.
@@ -44,9 +47,15 @@ from tidemark.scratch import release, store
 #: Labelled rows that are used to choose words and fit weights, at most.
 TRAIN_ROWS = 20_000
 
-#: Words with a weight, at most; toxic rows that a word must be in, and its likelihood ratio, at least:
-#: a ratio of 24 comes by chance for one word in a million.
-MAX_WORDS, LEAST_ROWS, LEAST_RATIO = 1_000, 3, 24.0
+#: Training rows with a toxic label that a feature must be in, and its likelihood ratio, at least: a ratio of
+#: 24 comes by chance for one feature in a million.
+LEAST_ROWS, LEAST_RATIO = 3, 24.0
+
+#: Letters of the beginnings of words, and up to which number their words are counted.
+BEGINNINGS, COUNTED = (4, 5), 3
+
+#: The share of toxic rows, lower bound, from which a word alone is taken for toxic.
+SURE = 0.9
 
 #: Minima of a text's shingles by which copies in the sample are found: one in common is enough.
 SKETCH = 4
@@ -266,35 +275,66 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int32()), minima], names=["text", "toxic", "minima"])
 
 
+def beginnings(words: set[str], wanted: set[str] | None = None) -> set[str]:
+    """Beginnings of the words as "abcd*2": at least two different words begin with abcd."""
+    count: dict[str, int] = {}
+    for word in words:
+        for size in BEGINNINGS:
+            begin = word[:size]
+            if len(begin) == size and (wanted is None or begin in wanted):
+                count[begin] = count.get(begin, 0) + 1
+    return {f"{begin}*{k}" for begin, n in count.items() for k in range(1, min(n, COUNTED) + 1)}
+
+
 def doc_words(batches: Iterator[pa.RecordBatch], model: CharModel) -> Iterator[pa.RecordBatch]:
+    """The features of each row with its label."""
     restorer = Restorer(model)
     for batch in batches:
         words, toxic = [], []
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found = restorer.words(text)
+            found |= beginnings(found)
             words += found
             toxic += [label] * len(found)
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(toxic, pa.int32())], names=["word", "toxic"])
 
 
-def doc_features(batches: Iterator[pa.RecordBatch], model: CharModel, index: dict[str, int]) -> Iterator[pa.RecordBatch]:
+def doc_features(
+    batches: Iterator[pa.RecordBatch], model: CharModel, index: dict[str, int], sure: set[str]
+) -> Iterator[pa.RecordBatch]:
+    """Numbers of the chosen features of each row, and of those that each of its sure words has alone."""
     restorer = Restorer(model)
     for batch in batches:
-        found = [sorted(index[w] for w in restorer.words(t) & index.keys()) for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1).cast(pa.int32())], names=["features", "toxic"])
-
-
-def choose_words(table: pd.DataFrame, rows: int, toxic_rows: int) -> pd.DataFrame:
-    """Adds the likelihood ratio of each word's presence against the label."""
-    t, n = table["toxic"].to_numpy(float), table["n"].to_numpy(float)
-    cells = [(t, toxic_rows), (n - t, rows - toxic_rows), (toxic_rows - t, toxic_rows), (rows - toxic_rows - n + t, rows - toxic_rows)]
-    margins = [n, n, rows - n, rows - n]
-    ratio = np.zeros(len(table))
-    for (seen, column), margin in zip(cells, margins, strict=True):
-        expected = margin * column / rows
-        with np.errstate(divide="ignore", invalid="ignore"):
-            ratio += np.where(seen > 0, 2 * seen * np.log(seen / expected), 0)
-    return table.assign(ratio=ratio)
+        rows, labels = [], []
+        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            words = restorer.words(text)
+            whole = numbers(words, index)
+            alone = [numbers({word}, index) for word in sorted(words & sure)]
+            some = [whole, *(one for one in alone if one != whole)]
+            rows += some
+            labels += [label] * len(some)
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(labels, pa.int32())], names=["features", "toxic"])
+
+
+def numbers(words: set[str], index: dict[str, int]) -> list[int]:
+    return sorted(index[f] for f in (words | beginnings(words)) & index.keys())
+
+
+def likelihood_ratio(rows: int, toxic_rows: int) -> Column:
+    """Of a feature's presence (`toxic` of its `n` rows) against the label."""
+    toxic, n = F.col("toxic"), F.col("n")
+    clean_rows = rows - toxic_rows
+    cells = [
+        (toxic, n, toxic_rows),
+        (n - toxic, n, clean_rows),
+        (toxic_rows - toxic, rows - n, toxic_rows),
+        (clean_rows - n + toxic, rows - n, clean_rows),
+    ]
+    ratio = F.lit(0.0)
+    for seen, margin, column in cells:
+        expected = margin * F.lit(column / rows)
+        ratio = ratio + F.when(seen > 0, 2 * seen * F.ln(seen / expected)).otherwise(0.0)
+    return ratio
 
 
 def fit(features: list[list[int]], toxic: np.ndarray, size: int) -> tuple[float, np.ndarray]:
@@ -332,11 +372,14 @@ def fit(features: list[list[int]], toxic: np.ndarray, size: int) -> tuple[float,
 class ToxicityModel:
     def __init__(self, chars: CharModel, bias: float, weights: dict[str, float]):
         self.chars, self.bias, self.weights = chars, bias, weights
+        self.beginnings = {feature.partition("*")[0] for feature in weights if "*" in feature}
 
     def scores(self, texts: list[str | None], restorer: Restorer) -> list[float]:
         out = []
         for text in texts:
-            z = self.bias + sum(self.weights[w] for w in sorted(restorer.words(text or "") & self.weights.keys()))
+            words = restorer.words(text or "")
+            found = (words | beginnings(words, self.beginnings)) & self.weights.keys()
+            z = self.bias + sum(self.weights[f] for f in sorted(found))
             out.append(1 / (1 + math.exp(-max(-35.0, min(35.0, z)))))
         return out
 
@@ -360,21 +403,18 @@ def train(
     )
     share = toxic / count
     telling = words.where((F.col("toxic") >= LEAST_ROWS) & (F.col("toxic") > F.col("n") * (share + 1) / 2))
-    ordered = telling.orderBy(F.desc("toxic"), "n", "word").limit(20 * MAX_WORDS).toPandas()
-    table = choose_words(ordered, count, toxic)
-    table = table[table["ratio"] >= LEAST_RATIO]
-    chosen = table.sort_values(["ratio", "word"], ascending=[False, True])["word"].tolist()[:MAX_WORDS]
-    index = {w: i for i, w in enumerate(chosen)}
+    table = telling.where(likelihood_ratio(count, toxic) >= LEAST_RATIO).orderBy("word").toPandas()
+    index = {w: i for i, w in enumerate(table["word"])}
+    # two rows of either label more, as for a share two deviations below the one seen
+    certain = table["toxic"] / (table["n"] + 4) >= SURE
+    sure = {w for w in table["word"][certain] if "*" not in w}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return doc_features(batches, shared.value, index)
+        return doc_features(batches, shared.value, index, sure)
 
     data = spread.mapInArrow(encode, "features array<int>, toxic int").toPandas()
-    features, toxic = [list(f) for f in data["features"]], data["toxic"].tolist()
-    alone = [([i], t) for f, t in zip(features, toxic, strict=True) for i in f if len(f) > 1]
-    labels = np.array(toxic + [t for _, t in alone], float)
-    bias, weights = fit(features + [f for f, _ in alone], labels, len(chosen))
-    return ToxicityModel(chars, bias, dict(zip(chosen, weights.tolist(), strict=True)))
+    bias, weights = fit([list(f) for f in data["features"]], data["toxic"].to_numpy(float), len(index))
+    return ToxicityModel(chars, bias, dict(zip(index, weights.tolist(), strict=True)))
 
 
 def with_scores(docs: DataFrame, model: ToxicityModel, name: str = "score", text_col: str = "text") -> DataFrame:
