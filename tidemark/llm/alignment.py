@@ -42,7 +42,7 @@ from tidemark.llm.records import text_batches
 from tidemark.llm.words import give_back
 from tidemark.scratch import store
 
-#: Chunks that a Python worker remembers.
+#: Chunks that a Python worker remembers; more are learned anew with each batch.
 REMEMBERED = 200_000
 
 #: Id pairs whose counts are sent to every task.
@@ -108,8 +108,15 @@ class PairEncoder:
         ]
         #: No piece goes on after a word has ended, or holds a line feed.
         self.cuts = not any(re.search(f"[^{BLANK}]{BLANK}|\n", p) for p in pieces)
+        #: Marks that no piece joins to a letter, so that a word and its mark stand alone.
+        letter_and = {p[i] for p in pieces for i in range(1, len(p)) if p[i] in ".," and p[i - 1].isalpha()}
         self.remembered = remembered
         self.memory: dict[str, Aligned | None] = {}
+        self.marks = {}
+        for mark in {".", ","} - letter_and:
+            ids_a = self.a.encode(mark, add_special_tokens=False).ids
+            ids_b = self.b.encode(f"a{mark}")[len(self.b.encode("a")) :]
+            self.marks[mark] = self.align(ids_a, ids_b, mark.encode())
 
     def align(self, ids_a: list[int], ids_b: list[int], raw: bytes) -> Aligned | None:
         """None if the tokens of either do not give back the bytes."""
@@ -141,22 +148,35 @@ class PairEncoder:
     def whole(self, text: str) -> Aligned:
         return self.encoded([" " + text])[0] or NO_TOKENS
 
+    def learn(self, chunks: set[str]) -> dict[str, Aligned | None]:
+        """Alignments of chunks that are not remembered; a word with a mark is the word and the mark."""
+        marked = {c for c in chunks if c[-1] in self.marks and c[c[0] == "\n" : -1].isalpha()}
+        plain = list({c[:-1] if c in marked else c for c in chunks} - self.memory.keys())
+        found = dict(zip(plain, self.encoded(plain), strict=True)) if plain else {}
+        for c in marked:
+            word = found[c[:-1]] if c[:-1] in found else self.memory[c[:-1]]
+            if word is None:
+                found[c] = None
+            else:
+                mark = self.marks[c[-1]]
+                found[c] = (word[0] + mark[0], word[1] + mark[1], f"{word[2]};{mark[2]}", word[3] + mark[3])
+        return found
+
     def aligned(self, texts: list[str]) -> list[Aligned]:
         """Alignment of each text."""
         if not self.cuts:
             return [self.whole(t) if t else NO_TOKENS for t in texts]
         parts = [self.chunks(t) for t in texts]
         memory = self.memory
-        new = list({c for chunks in parts for c in chunks if c not in memory})
-        found = dict(zip(new, self.encoded(new), strict=True)) if new else {}
+        every = [list(map(memory.get, chunks)) for chunks in parts]
+        missing = {c for chunks, some in zip(parts, every, strict=True) if None in some for c, s in zip(chunks, some, strict=True) if s is None}
+        found = self.learn(missing - memory.keys())
         if len(memory) < self.remembered:
             memory.update(found)
-            found = {}
         out = []
-        for text, chunks in zip(texts, parts, strict=True):
-            some = list(map(memory.get, chunks))
-            if found:
-                some = [found[c] if s is None and c in found else s for s, c in zip(some, chunks, strict=True)]
+        for text, chunks, some in zip(texts, parts, every, strict=True):
+            if None in some:
+                some = [found.get(c) if s is None else s for c, s in zip(chunks, some, strict=True)]
             if not some:
                 out.append(NO_TOKENS)
             elif None in some:
