@@ -248,12 +248,16 @@ def by_block(placed: DataFrame, split: DataFrame) -> DataFrame:
     """Members of split buckets, with the pairs of blocks (low, high) that they are compared in.
 
     `split` has per bucket (band) its largest component and how many members lie in it and outside. Blocks
-    below `outer` hold those outside; only they are compared among themselves."""
-    outer, inner = (F.ceil(F.col(n) / BLOCK).cast("long") for n in ("outside", "inside"))
+    below `outer` hold those outside; only they are compared among themselves. A bucket that fits one block is one."""
+    whole = F.col("outside") + F.col("inside") <= BLOCK
+    outer = F.ceil(F.col("outside") / BLOCK).cast("long")
+    inner = F.when(whole, 0).otherwise(F.ceil(F.col("inside") / BLOCK)).cast("long")
     dealt = placed.join(split, "band").withColumns({"outer": outer, "inner": inner, "outsider": F.col("component") != F.col("largest")})
     spread = F.xxhash64("id")
     dealt = dealt.withColumn(
-        "block", F.when(F.col("outsider"), F.pmod(spread, "outer")).otherwise(F.col("outer") + F.pmod(spread, "inner"))
+        "block",
+        F.when(F.col("outsider") | (F.col("inner") == 0), F.pmod(spread, "outer"))
+        .otherwise(F.col("outer") + F.pmod(spread, F.greatest("inner", F.lit(1)))),
     )
     last = F.when(F.col("outsider"), F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1
     return dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
