@@ -1,0 +1,119 @@
+"""What file footers say against the fixed schema."""
+
+from __future__ import annotations
+
+from datetime import UTC, date, datetime
+from decimal import Decimal
+
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import types as T
+
+from tests.conftest import START, change, rows
+from tidemark import RunOptions, run_snapshot
+from tidemark.scratch import store
+from tidemark.sources.catalog import table_exists
+from tidemark.sources.feed import list_feed, scan_feed
+from tidemark.sources.footers import FITS, MISFIT, TAKEN, compare_footers, footer_kind, wanted_kind
+from tidemark.spec import FeedSpec
+
+CHECK = RunOptions(check_columns=True)
+
+
+def write(feed, file, /, **columns):
+    path = feed.folder / file
+    path.parent.mkdir(parents=True, exist_ok=True)
+    pq.write_table(pa.table({n: pa.array(v, t) for n, (v, t) in columns.items()}), path)
+
+
+def verdicts(spark, feed, spec=None):
+    compared = compare_footers(spec or feed.spec(), list_feed(spark, str(feed.folder)))
+    return {(r.path.rsplit("/", 1)[1], r.name): (r.found, r.wanted, r.verdict) for r in compared.collect()}
+
+
+def test_all_verdicts(spark, feed):
+    feed.write("20210305-1.parquet", change("U", "2021-03-05 08:00:00", 1, "a", day=START))
+    write(feed, "deep/20210306-1.parquet", Op=(["U"], pa.string()), ID=([1], pa.int8()), name=([b"x"], pa.binary()), more=([1], pa.int64()))
+    write(feed, "LOAD.parquet", id=(["1"], pa.string()), day=([1.5], pa.float64()), city=(["c"], pa.large_string()))
+    found = verdicts(spark, feed)
+    plain = {n: found["20210305-1.parquet", n] for n in ("Op", "cdc_timestamp", "id", "name", "city", "day")}
+    assert {v for _, _, v in plain.values()} == {FITS} and plain["id"][:2] == ("int32", "int32")
+    assert found["20210306-1.parquet", "id"] == ("int32", "int32", FITS)
+    assert found["20210306-1.parquet", "name"] == ("binary", "string", FITS)
+    assert found["20210306-1.parquet", "more"] == ("int64", None, "extra")
+    assert found["20210306-1.parquet", "day"] == (None, "date", "missing")
+    assert found["LOAD.parquet", "id"] == ("string", "int32", MISFIT)
+    assert found["LOAD.parquet", "day"] == ("double", "date", MISFIT)
+    assert found["LOAD.parquet", "city"][2] == FITS and found["LOAD.parquet", "Op"][2] == "missing"
+
+
+ARROW = {
+    "byte": pa.int8(), "short": pa.int16(), "int": pa.int32(), "long": pa.int64(), "float": pa.float32(), "double": pa.float64(),
+    "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "date": pa.date32(), "timestamp": pa.timestamp("us", "UTC"),
+    "timestamp_ntz": pa.timestamp("us"), "decimal(9,2)": pa.decimal128(9, 2),
+}
+VALUES = {"string": "1", "binary": b"1", "boolean": True, "date": START, "timestamp": datetime(2021, 3, 5, tzinfo=UTC)}
+VALUES |= {"timestamp_ntz": datetime(2021, 3, 5), "decimal(9,2)": Decimal(1)}
+
+
+def same(written, read):
+    """Whether what is read is what was written, be it of another type."""
+    if isinstance(read, datetime):
+        day = written if isinstance(written, date) else None
+        return day is not None and (day.year, day.month, day.day) == (read.year, read.month, read.day)
+    if isinstance(read, (str, bytes, bytearray)):
+        plain = lambda v: bytes(v) if isinstance(v, (bytes, bytearray)) else str(v).encode()
+        return isinstance(written, (str, bytes)) and plain(read) == plain(written)
+    return type(read) is type(written) is date and read == written or not isinstance(written, date) and read == written
+
+
+@pytest.mark.parametrize("wanted", ARROW)
+def test_a_verdict_is_what_the_reader_does(spark, feed, wanted):
+    """For every kind of file column: what fits is read as it was written; a misfit fails or is read as something else."""
+    for n, (kind, arrow) in enumerate(ARROW.items()):
+        write(feed, f"LOAD{n}-{kind[:4]}.parquet", id=([VALUES.get(kind, 1)], arrow))
+    schema = T.StructType.fromDDL(f"id {wanted}")
+    found = verdicts(spark, feed, FeedSpec(str(feed.folder), "id", schema, START))
+    for n, kind in enumerate(ARROW):
+        name = f"LOAD{n}-{kind[:4]}.parquet"
+        one = FeedSpec(str(feed.folder / name), "id", schema, START)
+        try:
+            read = same(VALUES.get(kind, 1), scan_feed(spark, one).select("id").first()[0])
+        except Exception:
+            read = False
+        assert found[name, "id"][2] == (FITS if read else MISFIT), (kind, wanted, read)
+
+
+def test_kinds_agree_between_footer_and_schema(spark, tmp_path):
+    ddl = "a byte, b short, c int, d long, e float, f double, g string, h binary, i boolean, j date, k timestamp, l decimal(9,2)"
+    ddl += ", m array<int>, n map<string,int>, o struct<x: int>, p timestamp_ntz"
+    schema = T.StructType.fromDDL(ddl)
+    stored, path = store(spark.createDataFrame([], schema), "kinds")
+    file = next(f for f in pa.fs.LocalFileSystem().get_file_info(pa.fs.FileSelector(path.removeprefix("file:"))) if f.path.endswith(".parquet"))
+    found = [footer_kind(f.type) for f in pq.read_schema(file.path)]
+    wanted = [wanted_kind(f.dataType) for f in stored.schema.fields]
+    assert all(f == w or f in TAKEN.get(w, ()) for f, w in zip(found, wanted, strict=True)), (found, wanted)
+
+
+def test_a_run_is_refused_before_anything_is_published(spark, feed, target):
+    feed.load("LOAD1.parquet", {"id": 1, "name": "a", "day": START})
+    write(feed, "20210305-1.parquet", Op=(["U"], pa.string()), cdc_timestamp=(["2021-03-05 08:00:00.000000"], pa.string()), id=(["1"], pa.string()))
+    with pytest.raises(ValueError, match=r"20210305-1\.parquet: id is string, not int32"):
+        run_snapshot(spark, feed.spec(), START, target, options=CHECK)
+    assert not table_exists(spark, target.table)
+
+
+def test_files_outside_the_run_are_not_looked_at(spark, feed, target):
+    feed.load("LOAD1.parquet", {"id": 1, "name": "a", "day": START})
+    write(feed, "20210309-1.parquet", id=(["1"], pa.string()))
+    run_snapshot(spark, feed.spec(), START, target, options=CHECK)
+    write(feed, "LOAD2.parquet", id=(["1"], pa.string()))
+    run_snapshot(spark, feed.spec(), "2021-03-06", target, options=CHECK)
+    assert rows(spark.table(target.table), "id") == [(1,)]
+
+
+def test_a_feed_without_files(spark, feed, target):
+    run_snapshot(spark, feed.spec(path=str(feed.folder / "none")), START, target, options=CHECK)
+    assert spark.table(target.table).count() == 0

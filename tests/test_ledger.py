@@ -1,0 +1,123 @@
+"""Runs that skip files which earlier runs took in, against runs that read every file."""
+
+from __future__ import annotations
+
+import os
+import random
+from datetime import timedelta
+
+import pytest
+
+from tests.conftest import START, change, rows
+from tests.test_backfill import at, name
+from tests.test_publish import Crash
+from tidemark import RunOptions, run_snapshot
+from tidemark.plans import run as running
+from tidemark.sources.feed import scan_feed
+from tidemark.sources.ledger import ledger_path, plan_reading, read_ledger
+from tidemark.sources.snapshots import all_versions
+from tidemark.spec import Target
+
+D = [START + timedelta(days=i) for i in range(7)]
+LEDGER = RunOptions(ledger=True)
+
+
+def reading(spark, feed, target, day, last):
+    return plan_reading(spark, feed.spec(), scan_feed(spark, feed.spec()), target, last or START, day, last is None, last)
+
+
+def test_the_boundary_day_is_read_again_only_if_need_be(spark, feed, target):
+    feed.load("LOAD1.parquet", {"id": 1, "name": "a", "day": START})
+    feed.write(name(D[0]), change("U", at(D[0]), 1, "b"))
+    run_snapshot(spark, feed.spec(), D[0], target, options=LEDGER)
+    feed.write(name(D[1]), change("U", at(D[1]), 1, "c"))
+    plan = reading(spark, feed, target, D[1], D[0])
+    assert plan.names == [name(D[1])] and plan.skipped == [name(D[0])]
+    run_snapshot(spark, feed.spec(), D[1], target, options=LEDGER)
+    assert rows(spark.table(target.table), "name") == [("c",)]
+    # a late file with rows of the boundary day opens it again
+    feed.write(name(D[1], 2), change("U", at(D[1], 5), 1, "older"))
+    plan = reading(spark, feed, target, D[2], D[1])
+    assert plan.names == [name(D[1]), name(D[1], 2)] and plan.skipped == []
+    run_snapshot(spark, feed.spec(), D[2], target, options=LEDGER)
+    assert rows(spark.table(target.table), "name") == [("c",)]
+
+
+def test_a_file_with_rows_of_a_later_day_is_read_again(spark, feed, target):
+    feed.write(name(D[0]), change("I", at(D[0]), 1, "a"), change("I", at(D[1]), 2, "tomorrow"))
+    run_snapshot(spark, feed.spec(), D[0], target, options=LEDGER)
+    assert reading(spark, feed, target, D[1], D[0]).names == [name(D[0])]
+    run_snapshot(spark, feed.spec(), D[1], target, options=LEDGER)
+    assert rows(spark.table(target.table), "name") == [("a",), ("tomorrow",)]
+
+
+def test_a_file_written_again_is_new(spark, feed, target):
+    feed.write(name(D[0]), change("I", at(D[0]), 1, "a"))
+    run_snapshot(spark, feed.spec(), D[0], target, options=LEDGER)
+    feed.write(name(D[0]), change("I", at(D[0]), 1, "a"), change("I", at(D[0], 9), 2, "more"))
+    assert reading(spark, feed, target, D[0], D[0]).names == [name(D[0])]
+    run_snapshot(spark, feed.spec(), D[0], target, options=LEDGER)
+    assert rows(spark.table(target.table), "name") == [("a",), ("more",)]
+
+
+def test_nothing_is_entered_before_publication(spark, feed, target, monkeypatch):
+    feed.write(name(D[0]), change("I", at(D[0]), 1, "a"))
+    with monkeypatch.context() as patch:
+        patch.setattr(running, "publish", lambda *_: (_ for _ in ()).throw(Crash()))
+        with pytest.raises(Crash):
+            run_snapshot(spark, feed.spec(), D[0], target, options=LEDGER)
+    assert read_ledger(spark, target).count() == 0
+    run_snapshot(spark, feed.spec(), D[0], target, options=LEDGER)
+    entry = read_ledger(spark, target).first()
+    assert (entry.file_name, entry.file_date, entry.first_day, entry.as_of) == (name(D[0]), D[0], D[0], D[0])
+
+
+def test_a_table_made_anew_starts_a_new_ledger(spark, feed, target):
+    feed.write(name(D[0]), change("I", at(D[0]), 1, "a"))
+    feed.write(name(D[1]), change("I", at(D[1]), 2, "b"))
+    run_snapshot(spark, feed.spec(), D[1], target, options=LEDGER)
+    spark.sql(f"DROP TABLE {target.table}")
+    other = Target(target.table, f"{target.root}_again")
+    os.rename(ledger_path(target), ledger_path(other))
+    run_snapshot(spark, feed.spec(), D[0], other, options=LEDGER)
+    assert rows(spark.table(target.table), "name") == [("a",)]
+    run_snapshot(spark, feed.spec(), D[1], other, options=LEDGER)
+    assert rows(spark.table(target.table), "name") == [("a",), ("b",)]
+
+
+def test_partitioned_runs_read_everything(spark, feed, target):
+    feed.write(name(D[0]), change("I", at(D[0]), 1, "a", day=D[0]), change("I", at(D[0]), 2, "b", day=D[1]))
+    for day in (D[0], D[1]):
+        run_snapshot(spark, feed.spec(), day, target, "partitioned", LEDGER)
+    assert rows(spark.table(target.table), "name", "dt") == [("a", D[0]), ("b", D[1])]
+    assert read_ledger(spark, target).count() == 0
+
+
+@pytest.mark.parametrize("policy", ["keep_old", "overwrite"])
+@pytest.mark.parametrize("seed", range(4))
+def test_same_versions_as_without_a_ledger(spark, feed, target, policy, seed):
+    """Files arrive in any order, late, with rows of other days, and are now and then written again."""
+    made = random.Random(seed)
+    other = Target(f"{target.table}_full", f"{target.root}_full")
+    feed.load("LOAD1.parquet", *({"id": i, "name": f"load{i}", "day": START} for i in range(4)))
+    options = RunOptions(null_policy=policy)
+    skipped = 0
+    try:
+        for day in sorted(made.choices(D, k=9)):
+            for _ in range(made.randint(0, 3)):
+                dated = day - timedelta(days=made.choice([0, 0, 0, 1, 2]))
+                values = lambda: made.choice([None, f"n{made.randint(0, 99)}"])
+                some = [
+                    change(made.choice("IUUD"), at(dated + timedelta(days=made.choice([0, 0, 0, 0, -1, 1])), made.randint(0, 9)),
+                           made.choice([*range(7), *range(7), None] if seed % 2 else range(7)), values(), values(), day)
+                    for _ in range(made.randint(1, 6))
+                ]
+                feed.write(name(max(dated, START), made.randint(1, 4)), *some)
+            run_snapshot(spark, feed.spec(), day, other, options=options)
+            run_snapshot(spark, feed.spec(), day, target, options=RunOptions(null_policy=policy, ledger=True))
+            skipped += len(reading(spark, feed, target, day, day).skipped)
+            assert rows(spark.table(target.table)) == rows(spark.table(other.table)), day
+        assert rows(all_versions(spark, target, feed.spec().schema)) == rows(all_versions(spark, other, feed.spec().schema))
+        assert skipped or seed % 2  # null keys open their day again
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {other.table}")

@@ -14,10 +14,20 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import SparkSession
 
-from tidemark import FLAT, PARTITIONED, FeedSpec, RunOptions, RunReport, Target, run_snapshot
+from tidemark import (
+    FLAT,
+    PARTITIONED,
+    FeedSpec,
+    RunOptions,
+    RunReport,
+    Target,
+    run_logged,
+    run_snapshot,
+)
 from tidemark.functions.dates import as_date
 from tidemark.spec import MERGES
 
@@ -34,8 +44,11 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--format", default="parquet", help="format of the table's files")
     parser.add_argument("--merge", default="broadcast_delta", choices=MERGES)
     parser.add_argument("--count-rows", action="store_true", help="report rows the dates leave out")
+    parser.add_argument("--check-columns", action="store_true", help="read file footers first")
+    parser.add_argument("--ledger", action="store_true", help="skip files that earlier runs took in")
     parser.add_argument("--no-check-names", action="store_true", help="ignore odd file names")
     parser.add_argument("--buckets", type=int, help="bucket a flat table by its key")
+    parser.add_argument("--run-log", help="folder to which a row about this run is appended")
     parser.add_argument("--null-policy", default="keep_old", choices=["keep_old", "overwrite"])
     parser.add_argument("--load-rank", default="first", choices=["first", "processing_date"])
     parser.add_argument("--bad-timestamp", default="fail", choices=["fail", "drop"])
@@ -62,7 +75,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         spark = SparkSession.builder.appName(args.output_table).enableHiveSupport().getOrCreate()
         refuse_catalog_in_memory(spark)
     spec = read_feed(spark, args.feeds, args.input_table)
-    return run_snapshot(
+    run = partial(run_logged, log=args.run_log) if args.run_log else run_snapshot
+    return run(
         spark,
         spec,
         args.processing_date,
@@ -80,6 +94,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             bad_timestamp=args.bad_timestamp,
             merge=args.merge,
             check_names=not args.no_check_names,
+            check_columns=args.check_columns,
+            ledger=args.ledger,
             count_rows=args.count_rows,
         ),
     )

@@ -181,6 +181,71 @@ def _run_partitioned() -> str:
     return f"{mid} UNION ALL {_kept(_partition(A_MID, A_END), _DT)}"
 
 
+def _job_run() -> str:
+    both = f"{_load(A_START)} UNION ALL {FEED_A}"
+    mid = _kept(_latest(both, "user_id", A_START, A_MID), COLUMNS_A)
+    return _merge(mid, _latest(FEED_A, "user_id", A_MID, A_END), _A1, COLUMNS_A, overwrite=True)
+
+
+def _backfill(overwrite: bool) -> str:
+    """Every version from the one before it, the first one from the load."""
+    days = [A_START, "2024-01-08", A_MID, "2024-01-22", A_END]
+    versions, tables = [], []
+    for n, day in enumerate(days):
+        if n:
+            new = _latest(FEED_A, "user_id", days[n - 1], day)
+            made = _merge(f"SELECT * FROM v{n - 1}", new, _A1, COLUMNS_A, overwrite)
+        else:
+            made = _kept(_latest(f"{_load(day)} UNION ALL {FEED_A}", "user_id", day, day), COLUMNS_A)
+        tables.append(f"v{n} AS MATERIALIZED ({made})")
+        versions.append(f"SELECT {_plain(COLUMNS_A)}, '{day}' AS version FROM v{n}")
+    return f"WITH {', '.join(tables)} {' UNION ALL '.join(versions)}"
+
+
+def _run_report() -> str:
+    """Every run's dates and counts: change files lie on the day of their rows, so none is out of date."""
+    load, keep = f"{_load(A_START)} UNION ALL {FEED_A}", (_A1, COLUMNS_A)
+    flat = [("flat", A_START, None, 1, load, A_START), ("flat", A_MID, A_START, 0, FEED_A, A_START)]
+    flat += [("flat", A_END, A_MID, 0, FEED_A, A_MID), ("flat", A_END, A_END, 0, FEED_A, A_END)]
+    versions = [_kept(_latest(load, "user_id", A_START, A_START), COLUMNS_A)]
+    for _, day, _, _, feed, first in flat[1:]:
+        versions.append(_merge(versions[-1], _latest(feed, "user_id", first, day), *keep))
+    days = [("partitioned", A_MID, None, 1, load, A_START), ("partitioned", A_END, A_MID, 0, FEED_A, A_MID)]
+    rows = []
+    for (mode, day, last, with_load, feed, first), shown in zip(flat + days, [*versions, None, None]):
+        delta = _latest(feed, "user_id", first, day) if shown else _partition(first, day, feed)
+        read = f"SELECT count(*) FROM events WHERE CAST(ts AS date) BETWEEN DATE '{first}' AND DATE '{day}'"
+        more = "(SELECT count(*) FROM customer)" if with_load else "0"
+        published = shown or _kept(delta, _DT)
+        rows.append(
+            f"SELECT '{mode}' AS mode, '{day}' AS as_of, 'published' AS status, "
+            f"CAST({f"'{last}'" if last else 'NULL'} AS varchar) AS last_date, {with_load} AS with_load, "
+            f"({read}) + {more} AS read, 0 AS undated, 0 AS too_early, 0 AS too_late, "
+            f"""count(*) AS changed, count(*) FILTER ("Op" = 'D') AS deleted, """
+            f"(SELECT count(*) FROM ({published}) AS shown) AS published FROM ({delta}) AS delta"
+        )
+    return " UNION ALL ".join(rows)
+
+
+def _refused_runs() -> str:
+    reasons = [
+        ("flat", "2023-12-31", f"run date 2023-12-31 lies before cdc_start_date {A_START}"),
+        ("flat", str(A_START), f"run date {A_START} lies before the last published date {A_MID}"),
+        ("flat", "15.01.2024", "expected a date as YYYY-MM-DD, got '15.01.2024'"),
+        ("partitioned", str(A_END), "table is not partitioned by dt: use a flat run for it"),
+        ("partitioned", str(A_END), "a partitioned run needs partition_date in the feed spec"),
+        ("hourly", str(A_END), "mode must be one of ('flat', 'partitioned'), not 'hourly'"),
+        ("write", str(A_END), "versions of a partitioned table can only be written whole"),
+    ]
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    values = ", ".join(f"({', '.join(map(quoted, row))})" for row in reasons)
+    shown = _kept(_latest(f"{_load(A_START)} UNION ALL {FEED_A}", "user_id", A_START, A_MID), COLUMNS_A)
+    return (
+        f"SELECT mode, as_of, 'refused' AS status, reason, n_rows FROM (VALUES {values}) AS r (mode, as_of, reason), "
+        f"(SELECT count(*) AS n_rows FROM ({shown}) AS shown) AS n"
+    )
+
+
 def _after_crash() -> str:
     """Both modes: the previous rows, and what a run from the middle day to the last makes of them."""
     changes = _latest(FEED_A, "user_id", A_MID, A_END)
@@ -199,7 +264,25 @@ def _after_crash() -> str:
 
 
 ORACLES: dict[str, str] = {
-    "feed_scan": _show(FEED_A, _ROW),
+    "feed_scan": _show(
+        f"SELECT * FROM ({FEED_A}) AS a UNION ALL SELECT * FROM ({LOAD_A.format(stamp='NULL')}) AS load",
+        (*_ROW, "is_change"),
+    ),
+    "feed_footers": """
+        WITH wanted AS (
+            SELECT * FROM (VALUES ('Op', 'string'), ('cdc_timestamp', 'string'), ('user_id', 'int64'),
+                           ('event_type', 'string'), ('value', 'double'), ('event_date', 'date')) AS w (name, wanted)
+        ),
+        changed AS (
+            SELECT * FROM (VALUES ('narrow', 'user_id', 'int32', 'fits'), ('missing', 'event_type', NULL, 'missing'),
+                           ('misfit', 'value', 'string', 'misfit')) AS c (export, name, found, verdict)
+        ),
+        exports AS (SELECT unnest(['plain', 'narrow', 'missing', 'extra', 'misfit']) AS export)
+        SELECT export, name, CASE WHEN verdict IS NULL THEN wanted ELSE found END AS found, wanted,
+               coalesce(verdict, 'fits') AS verdict
+        FROM exports CROSS JOIN wanted LEFT JOIN changed USING (export, name)
+        WHERE EXISTS (SELECT * FROM events)
+        UNION ALL SELECT 'extra', 'more', 'double', NULL, 'extra' WHERE EXISTS (SELECT * FROM events)""",
     "feed_scan_files": _show(FEED_A, _ROW),
     "feed_scan_selected_files": _show(
         f"SELECT * FROM ({FEED_A}) AS feed "
@@ -267,6 +350,13 @@ ORACLES: dict[str, str] = {
         SELECT '{A_START}' AS version, count(*) AS n_rows FROM ({PREVIOUS_A}) AS a
         UNION ALL SELECT '{A_END}', count(*) FROM ({_merged_a}) AS b""",
     "run_flat": _show(_run_flat(), COLUMNS_A),
+    "run_flat_ledger": _show(_run_flat(), COLUMNS_A),
+    "feed_ledger": f"""
+        SELECT DISTINCT CASE WHEN day <= DATE '{A_START}' THEN '{A_START}'
+                             WHEN day <= DATE '{A_MID}' THEN '{A_MID}' ELSE '{A_END}' END AS as_of,
+               CAST(day AS varchar) AS file_date, CAST(day AS varchar) AS first_day, CAST(day AS varchar) AS last_day
+        FROM (SELECT CAST(ts AS date) AS day FROM events) AS days
+        WHERE day BETWEEN DATE '{A_START}' AND DATE '{A_END}'""",
     "run_flat_bucketed": _show(_run_flat(), COLUMNS_A),
     "bucket_files": f"""
         SELECT count(DISTINCT user_id) * 0 + 8 AS buckets, 1 AS most_files
@@ -280,10 +370,16 @@ ORACLES: dict[str, str] = {
         SELECT publication, 1 AS files FROM (VALUES (1), (2), (3)) AS p (publication)
         WHERE EXISTS (SELECT * FROM supplier)""",
     "max_records": """
-        SELECT 'whole' AS kind, least(50, count(*)) AS largest, count(*) AS n_rows FROM events
-        UNION ALL SELECT 'daily', least(50, max(n)), CAST(sum(n) AS bigint)
-        FROM (SELECT count(*) AS n FROM events GROUP BY CAST(ts AS date)) AS days""",
+        WITH cap AS (SELECT greatest(1, count(*) // 100) AS most FROM events)
+        SELECT 'whole' AS kind, least(most, count(*)) AS largest, count(*) AS n_rows FROM events, cap GROUP BY most
+        UNION ALL SELECT 'daily', least(most, max(n)), CAST(sum(n) AS bigint)
+        FROM (SELECT count(*) AS n FROM events GROUP BY CAST(ts AS date)) AS days, cap GROUP BY most""",
     "run_partitioned": _show(_run_partitioned(), _DT),
+    "job_run": _show(_job_run(), COLUMNS_A),
+    "run_report": _run_report(),
+    "refused_runs": _refused_runs(),
+    "backfill": _backfill(overwrite=False),
+    "backfill_overwrite": _backfill(overwrite=True),
     "build_without_publishing": _show(_bootstrap(A_START, _LOAD_FIRST), COLUMNS_A),
     "table_state": f"""
         SELECT 0 AS existed_before, 1 AS exists_after, count(*) AS n_rows

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import replace
 from datetime import date
 
@@ -10,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import job
+from tidemark.functions.files import write_text
 from tidemark.functions.frames import empty_frame
 from tidemark.functions.names import cols
 from tidemark.operators.changes import (
@@ -19,6 +23,7 @@ from tidemark.operators.changes import (
     within_dates,
 )
 from tidemark.operators.merge import merge_snapshot, partition_rows
+from tidemark.plans.backfill import run_backfill
 from tidemark.plans.build import RunWindow, build_snapshot, latest_in_window
 from tidemark.plans.feeds import (
     A_END,
@@ -39,7 +44,8 @@ from tidemark.plans.feeds import (
     previous_b,
     skewed_b,
 )
-from tidemark.plans.run import run_snapshot
+from tidemark.plans.log import logged, read_log, run_logged
+from tidemark.plans.run import COUNTS, EFFECTS, run_snapshot
 from tidemark.scratch import scratch_path, store
 from tidemark.sinks.publish import publish_partition, publish_version, resume
 from tidemark.sinks.record import WRITTEN, note, publication
@@ -62,15 +68,19 @@ from tidemark.sources.feed import (
     select_files,
     select_load_files,
 )
+from tidemark.sources.footers import compare_footers
+from tidemark.sources.ledger import read_ledger
 from tidemark.sources.snapshots import all_versions, load_or_empty, version_as_of
 from tidemark.spec import (
     FILE_NAME,
     FLAT,
+    IS_CHANGE,
     OP,
     PARTITION,
     PARTITIONED,
     ROW_INDEX,
     STAMP,
+    VERSION,
     FeedSpec,
     RunOptions,
     Target,
@@ -119,7 +129,9 @@ def _target(spark: SparkSession, label: str) -> Target:
 
 @query("feed_scan")
 def feed_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(feed_a(spark, folder).select(OP, STAMP, *SPEC_A.columns))
+    """Load and change files of feed A in one scan, told apart by the names of their files."""
+    rows = scan_feed(spark, _exported(spark, folder))
+    return plain(rows.select(OP, STAMP, *SPEC_A.columns, F.col(IS_CHANGE).alias("is_change")))
 
 
 @query("feed_scan_files")
@@ -161,6 +173,28 @@ def feed_files_listed(spark: SparkSession, folder: str) -> DataFrame:
     return plain(listed.select("kind", "file_date").distinct())
 
 
+@query("feed_footers")
+def feed_footers(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns in the footers of five exports of feed A: as it is, with a narrower integer, without a column,
+    with one more, and with a number written as text."""
+    feed, fields = feed_a(spark, folder), SPEC_A.schema.fields
+    retyped = lambda name, kind: T.StructType([T.StructField(f.name, kind if f.name == name else f.dataType) for f in fields])
+    exports = {
+        "plain": (feed, SPEC_A.schema),
+        "narrow": (feed.withColumn("user_id", F.col("user_id").cast("int")), retyped("user_id", T.IntegerType())),
+        "missing": (feed, T.StructType([f for f in fields if f.name != "event_type"])),
+        "extra": (feed.withColumn("more", F.lit(1.5)), T.StructType([*fields, T.StructField("more", T.DoubleType())])),
+        "misfit": (feed.withColumn("value", F.col("value").cast("string")), retyped("value", T.StringType())),
+    }
+    compared = None
+    for label, (rows, schema) in exports.items():
+        path = export_files(rows, replace(SPEC_A, schema=schema, partition_date=None))
+        found = compare_footers(SPEC_A, list_feed(spark, path)).drop("path").distinct()
+        found = found.select(F.lit(label).alias("export"), "*")
+        compared = found if compared is None else compared.unionByName(found)
+    return compared
+
+
 @query("full_load_rows")
 def full_load_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The load files of an exported feed, which hold no envelope columns."""
@@ -412,11 +446,12 @@ def partition_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("max_records")
 def max_records(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of the largest file and of all files, of a whole write and of a day published again, when a
-    file may hold fifty."""
+    file may hold a hundredth of all rows."""
     rows = feed_a(spark, folder).select(*SPEC_A.columns, F.col("event_date").alias(PARTITION))
-    flat = replace(_target(spark, "records_flat"), max_records_per_file=50)
+    most = max(1, rows.count() // 100)
+    flat = replace(_target(spark, "records_flat"), max_records_per_file=most)
     overwrite_table(rows.drop(PARTITION), flat)
-    daily = replace(_target(spark, "records_daily"), max_records_per_file=50)
+    daily = replace(_target(spark, "records_daily"), max_records_per_file=most)
     write_table(rows, daily, partition_keys=[PARTITION])
     publish_partition(rows.where(F.col(PARTITION) == F.lit(A_END)), daily, A_END)
     sizes = [
@@ -505,6 +540,26 @@ def run_flat(spark: SparkSession, folder: str) -> DataFrame:
     return plain(spark.table(target.table))
 
 
+def _run_ledger(spark: SparkSession, folder: str) -> Target:
+    """The same runs with a ledger, the last day twice more."""
+    spec, target = _exported(spark, folder), _target(spark, "run_ledger")
+    for day in (A_START, A_MID, A_END, A_END, A_END):
+        run_snapshot(spark, spec, day, target, options=RunOptions(ledger=True))
+    return target
+
+
+@query("run_flat_ledger")
+def run_flat_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    return plain(spark.table(_run_ledger(spark, folder).table))
+
+
+@query("feed_ledger")
+def feed_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The days whose files each run took in: none twice, and none by the repeated runs."""
+    entries = read_ledger(spark, _run_ledger(spark, folder))
+    return plain(entries.select("as_of", "file_date", "first_day", "last_day").distinct())
+
+
 @query("run_flat_bucketed")
 def run_flat_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     """The same with a table bucketed by its key and merges that keep the buckets."""
@@ -538,6 +593,84 @@ def run_partitioned(spark: SparkSession, folder: str) -> DataFrame:
     return plain(spark.table(target.table))
 
 
+@query("job_run")
+def job_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs by the command line's arguments and a file of feed settings."""
+    spec, target = _exported(spark, folder), _target(spark, "job")
+    settings = {
+        "path": spec.path,
+        "primary_keys": list(spec.primary_keys),
+        "cdc_start_date": str(spec.cdc_start_date),
+        "schema": spec.schema.simpleString().removeprefix("struct<").removesuffix(">"),
+    }
+    feeds = scratch_path(spark, "feeds")
+    write_text(spark, f"{feeds}/feeds.json", json.dumps({"users": settings}))
+    common = ["--feeds", f"{feeds}/feeds.json", "--input-table", "users", "--null-policy", "overwrite"]
+    common += ["--output-table", target.table, "--output-root", target.root]
+    for day in (A_MID, A_END):
+        job.main([*common, "--processing-date", str(day)], spark)
+    return plain(spark.table(target.table))
+
+
+@query("run_report")
+def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of four flat and two partitioned runs over exported files."""
+    spec, log = _exported(spark, folder), scratch_path(spark, "log")
+    runs = {FLAT: (A_START, A_MID, A_END, A_END), PARTITIONED: (A_MID, A_END)}
+    for mode, days in runs.items():
+        target = _target(spark, f"logged_{mode}")
+        for day in days:
+            run_logged(spark, spec, day, target, mode, log=log)
+    wanted = ["mode", "as_of", "status", "last_date", "with_load", *COUNTS, *EFFECTS]
+    return plain(read_log(spark, log).select(*wanted).withColumn("with_load", F.col("with_load").cast("int")))
+
+
+@query("refused_runs")
+def refused_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of runs and writes that are refused before any work, and the rows of the table after them."""
+    spec, log = _exported(spark, folder), scratch_path(spark, "log")
+    target = _target(spark, "refusing")
+    run_snapshot(spark, spec, A_MID, target)
+    attempts = [
+        (spec, "2023-12-31", FLAT),
+        (spec, str(A_START), FLAT),
+        (spec, "15.01.2024", FLAT),
+        (spec, str(A_END), PARTITIONED),
+        (replace(spec, partition_date=None), str(A_END), PARTITIONED),
+        (spec, str(A_END), "hourly"),
+    ]
+    for of, day, mode in attempts:
+        with suppress(ValueError):
+            run_logged(spark, of, day, target, mode, log=log)
+    with suppress(ValueError), logged(spark, log, target.table, "write", A_END):
+        write_table(spark.table(target.table), target, version=str(A_END), partition_keys=["event_date"])
+    n_rows = F.lit(spark.table(target.table).count()).alias("n_rows")
+    refused = read_log(spark, log).select("mode", "as_of", "status", "reason")
+    # the table's name and folder differ from run to run
+    named = F.replace(F.col("reason"), F.lit(target.table), F.lit("table"))
+    return refused.withColumn("reason", named).select("*", n_rows)
+
+
+BACKFILL = [A_START, date(2024, 1, 8), A_MID, date(2024, 1, 22), A_END]
+
+
+def _backfill(spark: SparkSession, folder: str, **how: str) -> DataFrame:
+    spec, target = _exported(spark, folder), _target(spark, "backfill")
+    run_backfill(spark, spec, BACKFILL, target, RunOptions(**how))
+    return plain(all_versions(spark, target, spec.schema))
+
+
+@query("backfill")
+def backfill(spark: SparkSession, folder: str) -> DataFrame:
+    """Five versions of feed A in one pass over its files, as single runs would publish them."""
+    return _backfill(spark, folder)
+
+
+@query("backfill_overwrite")
+def backfill_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    return _backfill(spark, folder, null_policy="overwrite")
+
+
 @query("build_without_publishing")
 def build_without_publishing(spark: SparkSession, folder: str) -> DataFrame:
     """The snapshot of the last day from files, as a frame."""

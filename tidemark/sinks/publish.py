@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,17 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.files import matching, remove
 from tidemark.sinks.record import STAGING, WRITTEN, clear, pending, record_folder, staging_root
 from tidemark.sinks.tables import (
+    begin,
     move_back,
     overwrite_table,
     point_table,
     release_days,
     rewrite_table,
     same_folder,
+    show,
     show_day,
     write_day,
+    write_versions,
 )
 from tidemark.sources.catalog import current_version, describe, last_partition, table_exists
-from tidemark.spec import FLAT, PARTITION, Target
+from tidemark.spec import FLAT, PARTITION, VERSION, Target
 
 
 def publish_version(df: DataFrame, target: Target, version: date) -> None:
@@ -34,6 +38,24 @@ def publish_version(df: DataFrame, target: Target, version: date) -> None:
     (rewrite_table if again else overwrite_table)(df, target, str(version))
 
 
+def publish_versions(df: DataFrame, target: Target, versions: Sequence[date]) -> None:
+    """Publish several snapshots, told apart by the column `version`, and point the table at the last one.
+
+    All of them are later than the current one, so they go into folders that nothing refers to yet. Until the
+    table moves, a publication that stops is cleared as a whole."""
+    spark = df.sparkSession
+    finish_publication(spark, target)
+    refuse_unknown_files(spark, target, "version=*")
+    current = current_version(spark, target.table)
+    if current is not None and versions[0] <= current:
+        raise ValueError(f"version {versions[0]} is not later than the current one, {current}")
+    schema = df.drop(VERSION).schema
+    *others, last = [target.version_path(version) for version in versions]
+    begin(spark, target, schema, last, also=others)
+    write_versions(df, target, [str(version) for version in versions])
+    show(spark, target, schema, last)
+
+
 def refuse_unknown_files(spark: SparkSession, target: Target, pattern: str) -> None:
     """Refuse to replace data below the root while the catalog has no such table: it may
     belong to another catalog, as after a session whose catalog was kept in memory only."""
@@ -63,8 +85,10 @@ def finish_publication(spark: SparkSession, target: Target) -> str | None:
     if state == WRITTEN and ours:
         point_table(spark, made.of(target), made.columns, made.path, made.partition_keys or None)
         shown = made.path
-    elif state != WRITTEN and not _inside(location, made.path):
-        remove(spark, made.path)
+    elif state != WRITTEN:
+        for folder in (made.path, *made.also):
+            if not _inside(location, folder):
+                remove(spark, folder)
     clear(spark, target)
     _release_copies(spark, target)
     return shown

@@ -40,7 +40,8 @@ class Publication:
     """Files of one folder and the catalog entry that shows them.
 
     `before` is the creation time of the entry that the publication replaces, None when there
-    was none: an entry made since by other means is not touched."""
+    was none: an entry made since by other means is not touched. `also` are folders of
+    earlier versions that are written along."""
 
     table: str
     path: str
@@ -50,6 +51,7 @@ class Publication:
     buckets: int | None
     bucket_keys: tuple[str, ...]
     before: str | None
+    also: tuple[str, ...] = ()
 
     @property
     def columns(self) -> T.StructType:
@@ -70,6 +72,7 @@ def publication(
     path: str,
     partition_keys: Sequence[str] | None,
     before: str | None,
+    also: Sequence[str] = (),
 ) -> Publication:
     return Publication(
         table=target.table,
@@ -80,6 +83,7 @@ def publication(
         buckets=target.buckets,
         bucket_keys=target.bucket_keys,
         before=before,
+        also=tuple(also),
     )
 
 
@@ -103,7 +107,7 @@ def pending(spark: SparkSession, target: Target) -> tuple[str, Publication] | No
         text = read_text(spark, f"{record_folder(target)}/{state}.json")
         if text is not None:
             found = json.loads(text)
-            for name in ("partition_keys", "bucket_keys"):
+            for name in ("partition_keys", "bucket_keys", "also"):
                 found[name] = tuple(found[name])
             made = Publication(**found)
             if _last_name(made.table) == _last_name(target.table):

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.files import matching, remove
+from tidemark.functions.frames import empty_frame
 from tidemark.functions.names import cols, quoted
-from tidemark.scratch import on_release, release, scratch_path
+from tidemark.scratch import on_release, release, scratch_path, store
 from tidemark.sinks.record import (
     STAGING,
     WRITING,
@@ -21,7 +23,7 @@ from tidemark.sinks.record import (
     staging_root,
 )
 from tidemark.sources.catalog import describe, table_exists
-from tidemark.spec import Target
+from tidemark.spec import VERSION, Target
 
 # Below a table's root: a folder for each publication of a partition. Readers of the root by path
 # see none of them, the catalog says which one counts.
@@ -160,16 +162,39 @@ def create_entry(
     spark.catalog.refreshTable(target.table)
 
 
+def write_versions(df: DataFrame, target: Target, versions: Sequence[str]) -> None:
+    """Write the rows of several versions, told apart by their column, each into its folder.
+
+    Other versions below the root stay. One without rows gets a folder without rows."""
+    spark = df.sparkSession
+    payload = df.drop(VERSION)
+    if target.buckets:  # only a write of its own can put a version into buckets
+        stored, _ = store(df, "versions")
+        for version in versions:
+            rows = stored.where(F.col(VERSION) == F.lit(version).cast("date")).drop(VERSION)
+            write_files(in_buckets(rows, target), target.version_path(version), target)
+        return
+    writer = sized_by_partition(df, [VERSION]).write.format(target.fmt).mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(VERSION)
+    if target.max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", target.max_records_per_file)
+    writer.save(target.root)
+    for version in versions:
+        if not matching(spark, target.version_path(version)):
+            write_files(empty_frame(spark, payload.schema), target.version_path(version), target)
+
+
 def begin(
     spark: SparkSession,
     target: Target,
     schema: T.StructType,
     path: str,
     partition_keys: Sequence[str] | None = None,
+    also: Sequence[str] = (),
 ) -> None:
-    """Announce that the folder is about to be written."""
+    """Announce that the folder, and others with it, is about to be written."""
     before = (describe(spark, target.table) or {}).get("created_time")
-    note(spark, target, WRITING, publication(target, schema, path, partition_keys, before))
+    note(spark, target, WRITING, publication(target, schema, path, partition_keys, before, also))
 
 
 def show(

@@ -22,8 +22,10 @@ LOAD_PREFIX = "LOAD"
 _LISTING = (
     T.StructType()
     .add("path", "string")
+    .add("file_path", "string")
     .add("file_name", "string")
     .add("length", "long")
+    .add("modified", "timestamp")
     .add("kind", "string")
     .add("file_date", "date")
 )
@@ -67,13 +69,22 @@ def list_feed(spark: SparkSession, path: str) -> DataFrame:
     name = F.col("_metadata.file_name")
     return files.select(
         "path",
+        _plain_path(F.col("_metadata.file_path")).alias("file_path"),
         name.alias("file_name"),
         "length",
+        F.col("modificationTime").alias("modified"),
         file_kind(name).alias("kind"),
         file_day(name).alias("file_date"),
     )
 
 
+def list_selected(listed: DataFrame, first: date, last: date, with_load: bool) -> DataFrame:
+    """The listed files that a run over these days reads."""
+    day = F.substring("file_name", 1, 8).between(compact(first), compact(last))
+    change = (F.col("kind") == "change") & day
+    return listed.where(change | (F.col("kind") == "load") if with_load else change)
+
+
 def scan_feed(spark: SparkSession, spec: FeedSpec) -> DataFrame:
     """All rows below the feed path under the fixed schema, with their position.
 

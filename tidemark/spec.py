@@ -12,11 +12,13 @@ from pyspark.sql import types as T
 from tidemark.functions.dates import as_date
 
 # The envelope columns the exporter puts in front of every row,
-# the only operation code with a meaning of its own, and the partition column.
+# the only operation code with a meaning of its own, the partition column, and what
+# the folder of a version is named after.
 OP = "Op"
 STAMP = "cdc_timestamp"
 DELETE = "D"
 PARTITION = "dt"
+VERSION = "version"
 
 # Columns added while a feed is processed; a payload may not use this prefix.
 RESERVED = "_cdc_"
@@ -128,7 +130,7 @@ class Target:
         return replace(self, bucket_keys=keys) if self.buckets else self
 
     def version_path(self, version: date | str) -> str:
-        return f"{self.root}/version={version}"
+        return f"{self.root}/{VERSION}={version}"
 
 
 @dataclass(frozen=True)
@@ -144,7 +146,10 @@ class RunOptions:
                   changes pass a size check; split: shuffle both sides, a hot old key may
                   span tasks; sort_merge: shuffle both sides once
     check_names   refuse feed folders holding files that are neither load nor change
-    count_rows    report how many rows the date window left out
+    check_columns refuse feed files whose footers show columns that do not fit the schema
+    ledger        keep a list of the files read, and read files of the last published day
+                  again only where that can change a row; flat runs
+    count_rows    report how many rows the date window left out, and what the run changed
     """
 
     null_policy: str = "keep_old"
@@ -152,6 +157,8 @@ class RunOptions:
     bad_timestamp: str = "fail"
     merge: str = "broadcast_delta"
     check_names: bool = True
+    check_columns: bool = False
+    ledger: bool = False
     count_rows: bool = False
 
     def __post_init__(self):
