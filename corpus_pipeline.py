@@ -2,7 +2,18 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; `run` writes it as Parquet into the shared
 scratch folder and hands what it reads back to the next stage. All stages but the last return
-the columns of documents.
+the columns of documents, whatever others there are, under names of their own or of an operator's.
+
+Defined cases, for all stages: null texts count as empty ones and stay null; texts of any length are whole; an
+empty table leaves every stage empty. What a stage does with nulls, ties and repeated rows:
+
+* toxicity: an empty text has no telling words and stays; each row is judged by its text alone;
+* exact dedup: of equal texts the row with the largest id stays, a null id counts as the smallest, and of rows that
+  repeat that id one stays; all empty texts are equal;
+* near dedup: a text without words is linked with nothing; rows that share an id go or stay together; of a group
+  the rows with the smallest id stay, a null id being the smallest;
+* mix sources: a null source is a source; every row stays, rows that repeat an id and a source are drawn together;
+* pack: each row is a document, an empty one its end id alone.
 """
 
 from __future__ import annotations
@@ -16,7 +27,7 @@ from tidemark.llm.near_dups import drop_near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.queries import END_ID, MAX_REPEATS, tokenizer
 from tidemark.llm.toxicity import drop_toxic
-from tidemark.scratch import store
+from tidemark.scratch import owned_scratch, release, scratch_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +68,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with owned_scratch():  # what a stage stores on its way goes when its result is written
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        if before is not None:
+            release(spark, before)
+        docs, before = spark.read.schema(made.schema).parquet(path), path
     return docs
