@@ -31,7 +31,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -60,6 +60,9 @@ SURE = 0.9
 #: Minima of a text's shingles by which copies in the sample are found: one in common is enough.
 SKETCH = 4
 
+#: Features of training rows that a task holds before it hands them on.
+HELD = 50_000
+
 #: Decoded tokens that a Python worker remembers.
 REMEMBERED = 50_000
 
@@ -287,16 +290,27 @@ def beginnings(words: set[str], wanted: set[str] | None = None) -> set[str]:
 
 
 def doc_words(batches: Iterator[pa.RecordBatch], model: CharModel) -> Iterator[pa.RecordBatch]:
-    """The features of each row with its label."""
+    """The features of each row with its label, about HELD of them at a time."""
     restorer = Restorer(model)
+    words: list[str] = []
+    toxic: list[int] = []
+
+    def flush() -> pa.RecordBatch:
+        done = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(toxic, pa.int32())], names=["word", "toxic"])
+        words.clear()
+        toxic.clear()
+        return done
+
     for batch in batches:
-        words, toxic = [], []
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = restorer.words(text)
+        for text, label in zip(batch.column(0), batch.column(1), strict=True):
+            found = restorer.words(text.as_py())
             found |= beginnings(found)
             words += found
-            toxic += [label] * len(found)
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(toxic, pa.int32())], names=["word", "toxic"])
+            toxic += [label.as_py()] * len(found)
+            if len(words) >= HELD:
+                yield flush()
+    yield flush()
+    give_back()
 
 
 def doc_features(
@@ -304,20 +318,26 @@ def doc_features(
 ) -> Iterator[pa.RecordBatch]:
     """Numbers of the chosen features of each row, and of those that each of its sure words has alone."""
     restorer = Restorer(model)
+    wanted = begun(index)
     for batch in batches:
         rows, labels = [], []
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = restorer.words(text)
-            whole = numbers(words, index)
-            alone = [numbers({word}, index) for word in sorted(words & sure)]
+        for text, label in zip(batch.column(0), batch.column(1), strict=True):
+            words = restorer.words(text.as_py())
+            whole = numbers(words, index, wanted)
+            alone = [numbers({word}, index, wanted) for word in sorted(words & sure)]
             some = [whole, *(one for one in alone if one != whole)]
             rows += some
-            labels += [label] * len(some)
+            labels += [label.as_py()] * len(some)
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(labels, pa.int32())], names=["features", "toxic"])
 
 
-def numbers(words: set[str], index: dict[str, int]) -> list[int]:
-    return sorted(index[f] for f in (words | beginnings(words)) & index.keys())
+def begun(features: Iterable[str]) -> set[str]:
+    """The beginnings that some features count."""
+    return {feature.partition("*")[0] for feature in features if "*" in feature}
+
+
+def numbers(words: set[str], index: dict[str, int], wanted: set[str]) -> list[int]:
+    return sorted(index[f] for f in (words | beginnings(words, wanted)) & index.keys())
 
 
 def likelihood_ratio(rows: int, toxic_rows: int) -> Column:
@@ -372,7 +392,7 @@ def fit(features: list[list[int]], toxic: np.ndarray, size: int) -> tuple[float,
 class ToxicityModel:
     def __init__(self, chars: CharModel, bias: float, weights: dict[str, float]):
         self.chars, self.bias, self.weights = chars, bias, weights
-        self.beginnings = {feature.partition("*")[0] for feature in weights if "*" in feature}
+        self.beginnings = begun(weights)
 
     def scores(self, texts: list[str | None], restorer: Restorer) -> list[float]:
         out = []
