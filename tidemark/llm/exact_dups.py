@@ -115,7 +115,8 @@ def drop_exact_duplicates(
     Only texts of surviving groups are hashed; the rows to drop are named by id, length and prefix hash,
     and by the text's hash where these three agree."""
     hashed, _ = store(candidates(docs, id_col, text_col, prefix), "hashed")
-    placed = hashed.join(groups_of(hashed), "text_sha256")
+    groups, _ = store(groups_of(hashed), "copies")
+    placed = hashed.join(bounded(groups), "text_sha256")
     is_kept = F.col("id").eqNullSafe(F.col("keep_id"))
     key = ["id", "bytes", "head", "text_sha256"]
     dropped, _ = store(placed.where(~is_kept | (F.col("keep_rows") > 1)).select(*key).distinct(), "dropped")
