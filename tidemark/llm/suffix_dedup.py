@@ -13,8 +13,10 @@ anchors at the same offset, and neighbouring windows mostly share theirs: one pl
 1. First digit, over the whole corpus: anchors meet by the hash of their gram. An anchor's context is all
    bytes of all windows that can hold it. Equal contexts (64 bits beside the 64 of the gram) repeat as a
    whole, so all but the earliest are settled at once, within a task before the shuffle already;
-   copies cost one row a task. Anchors alone with their gram leave. A gram with OPEN contexts in a batch is
-   dealt by context instead; two marks a batch tell its other anchors, which stay with the gram.
+   copies cost one row a task. Anchors alone with their gram leave. A gram with OPEN contexts in a batch, or in
+   the batches that a task has read, is dealt by context instead; two marks a batch tell its other anchors, which
+   stay with the gram. So a gram that is in every text leaves a task's first OPEN contexts there, and from each
+   further batch three contexts and two marks at most.
 2. Second digit: anchors left, one for each different context of a gram, fetch their bytes and are
    dealt by which side of the gram a window may extend to: in each of FAMILIES cases the windows share 83
    bytes, so a frequent line does not gather all its occurrences in one group.
@@ -58,6 +60,9 @@ FAMILIES = 4
 #: which on its windows are; windows that a task holds to settle equal ones.
 OPEN, GROUP, HELD = 64, 20_000, 200_000
 
+#: Contexts of a gram in a batch from which on a task counts them over its batches, and the most grams so counted.
+FEW, TALLIED = 4, 1_000_000
+
 #: Kinds of rows of step 1: an anchor, a settled span, an anchor dealt by context, a mark of its gram.
 ANCHOR, SETTLED, DEALT, MARK = range(4)
 
@@ -139,11 +144,39 @@ def context_hash(data: np.ndarray, at: np.ndarray, before: np.ndarray, after: np
     return mixed(total)
 
 
-def find_anchors(batches: Iterator[pa.RecordBatch], threshold: int, open_: int) -> Iterator[pa.RecordBatch]:
+class Tally:
+    """How many contexts the batches of a task have held of grams that had `few` and more in one of them.
+
+    Beyond `most` grams the rarer ones are forgotten, which changes what is dealt how, not the result."""
+
+    def __init__(self, few: int, most: int):
+        self.few, self.most = few, most
+        self.grams, self.counts = np.empty(0, U), np.empty(0, np.int64)
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        if not len(self.grams):
+            return np.zeros(len(grams), np.int64)
+        place = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        return np.where(self.grams[place] == grams, self.counts[place], 0)
+
+    def add(self, grams: np.ndarray, counts: np.ndarray) -> None:
+        many = counts >= self.few
+        self.grams, place = np.unique(np.r_[self.grams, grams[many]], return_inverse=True)
+        self.counts = np.bincount(place, np.r_[self.counts, counts[many]], len(self.grams)).astype(np.int64)
+        if len(self.grams) > self.most:
+            kept = np.sort(np.argsort(-self.counts, kind="stable")[: self.most // 2])
+            self.grams, self.counts = self.grams[kept], self.counts[kept]
+
+
+def find_anchors(
+    batches: Iterator[pa.RecordBatch], threshold: int, open_: int, few: int = FEW, tallied: int = TALLIED
+) -> Iterator[pa.RecordBatch]:
     """Anchors of texts; of equal contexts in a batch all but the earliest as settled spans, merged:
     their `context` is the end, and the key of their row is arbitrary. A gram with `open_` different
-    contexts in a batch has rows keyed by context, and two marks."""
+    contexts in a batch, or in the batches of this task so far and some in this one, has rows keyed by
+    context, and two marks."""
     reach = threshold - GRAM
+    tally = Tally(few, tallied)
     for batch in batches:
         parts = []
         for ids, data, bounds in runs(batch):
@@ -176,8 +209,11 @@ def find_anchors(batches: Iterator[pa.RecordBatch], threshold: int, open_: int)
         runs_ = np.flatnonzero(np.r_[True, gram[heads][1:] != gram[heads][:-1]])
         counts = np.diff(np.r_[runs_, len(heads)])
         dealt = np.empty(len(order), bool)
-        dealt[order] = np.repeat(counts >= open_, counts)[np.cumsum(~np.r_[False, same]) - 1]
-        marks = runs_[counts >= max(open_, 2)]
+        grams = gram[heads][runs_]
+        is_open = (counts >= open_) | ((counts > 1) & (counts + tally.of(grams) >= open_))
+        tally.add(grams, counts)
+        dealt[order] = np.repeat(is_open, counts)[np.cumsum(~np.r_[False, same]) - 1]
+        marks = runs_[is_open & (counts > 1)]
         marks = heads[np.r_[marks, marks + 1]]
         gram_key = np.where(dealt, mixed(gram ^ mixed(context)), gram)
         columns = [
@@ -433,10 +469,10 @@ def remove_repeats(
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     rows = docs.select(number.alias("id"), text_of(text_col).alias("text"))
 
-    open_, held = OPEN, HELD
+    open_, held, few, tallied = OPEN, HELD, FEW, TALLIED
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return find_anchors(batches, threshold, open_)
+        return find_anchors(batches, threshold, open_, few, tallied)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return cut_contexts(batches, threshold, held)
