@@ -10,11 +10,12 @@
    draw's place in its source's stream of tokens, and the draws that start before the quota are the
    mixture: full epochs, then a part of one.
 
-Only blocks and documents within a block are ever numbered in one group, so a source that holds a third
-of all rows is many groups. The table of sources has a row per source; Spark checks its size
+Only documents within a block, blocks within a shard of their keys, and the 4,096 shards of an epoch are ever
+numbered in one group, so a source that holds a third of all rows is many groups. The table of sources has a row per source; Spark checks its size
 before it broadcasts it. Everything is DataFrame code.
 
-Defined cases: a null source is a source; a null text counts as empty, and each document counts one
+Defined cases: a null source is a source; texts of any length count whole; draws whose hashes tie go by id; a
+null text counts as empty, and each document counts one
 token for its end, so an empty one is drawn too. Rows that repeat source and id are one unit, drawn
 together. An empty table gives an empty mixture. Without a budget the smallest one is taken that draws
 every document at least once.
@@ -31,6 +32,9 @@ from tidemark.scratch import store
 #: Rounds of five halvings each: an exponent within 2^-40.
 ROUNDS, HALVINGS = 8, 5
 
+#: Hexadecimal digits of a block's key that name its shard: 4,096 shards an epoch.
+SHARD_DIGITS = 3
+
 
 def word_tokens(text_col: str = "text") -> Column:
     """Words between ASCII white space, and one for the end."""
@@ -125,13 +129,31 @@ def mix(
     blocks = dealt.groupBy("source", "block", "epochs").agg(F.sum("tokens").alias("block_tokens"))
     epoch = F.explode(F.sequence(F.lit(0), F.col("epochs") - 1)).alias("epoch")
     some = F.col("epochs") > 0
-    in_epoch = Window.partitionBy("source", "epoch").orderBy(key(seed, F.col("epoch"), F.col("block")), "block")
-    before = F.sum("block_tokens").over(in_epoch) - F.col("block_tokens")
-    offsets = (
-        blocks.where(some).select("source", "block", "block_tokens", epoch)
-        .withColumn("block_start", before)
-        .select(F.col("source").alias("of_"), F.col("block").alias("block_"), F.col("epoch").alias("epoch_"), "block_start")
-    )
+    order = key(seed, F.col("epoch"), F.col("block"))
+    ranked = blocks.where(some).select("source", "block", "block_tokens", epoch).withColumn("order", order)
+    ranked, _ = store(ranked.withColumn("shard", F.substring("order", 1, SHARD_DIGITS)), "blocks")
+    # blocks are put in a row shard by shard of their key, so that no source is numbered in one group
+    in_epoch = Window.partitionBy("source", "epoch").orderBy("shard")
+    shards = ranked.groupBy("source", "epoch", "shard").agg(F.sum("block_tokens").alias("shard_tokens")).select(
+        F.col("source").alias("of_source"),
+        F.col("epoch").alias("of_epoch"),
+        F.col("shard").alias("of_shard"),
+        (F.sum("shard_tokens").over(in_epoch) - F.col("shard_tokens")).alias("shard_start"),
+    )
+    in_shard = Window.partitionBy("source", "epoch", "shard").orderBy("order", "block")
+    before = F.sum("block_tokens").over(in_shard) - F.col("block_tokens")
+    in_row = ranked.withColumn("before", before).join(
+        shards,
+        F.col("source").eqNullSafe(F.col("of_source"))
+        & (F.col("epoch") == F.col("of_epoch"))
+        & (F.col("shard") == F.col("of_shard")),
+    )
+    offsets = in_row.select(
+        F.col("source").alias("of_"),
+        F.col("block").alias("block_"),
+        F.col("epoch").alias("epoch_"),
+        (F.col("shard_start") + F.col("before")).alias("block_start"),
+    )
     in_block = Window.partitionBy("source", "block", "epoch").orderBy(
         key(seed, F.col("epoch"), F.col("id")), "id"
     )
