@@ -10,7 +10,7 @@ terminal are stored.
 Documents are read where they lie: nothing is shuffled, a task remembers a bounded number of pre-tokens,
 and its memory is that of a batch.
 
-Defined cases: a null or empty text has no token; of segmentations with equal scores the one with
+Defined cases: a null or empty text has no token; texts of any length are counted whole; of segmentations with equal scores the one with
 fewer tokens counts. Every single byte must be a piece, so each pre-token has a segmentation. Ids are
 passed through as they are, repeated or null. An empty table gives an empty result. Other columns are
 not looked at.
