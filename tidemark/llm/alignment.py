@@ -23,9 +23,11 @@ highest count are all best; an empty table gives no row. Other columns are not l
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
@@ -43,7 +45,7 @@ from tidemark.llm.words import give_back
 from tidemark.scratch import store
 
 #: Chunks that a Python worker remembers; more are learned anew with each batch.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 #: Id pairs whose counts are sent to every task.
 FREQUENT = 1_000_000
@@ -54,6 +56,9 @@ PARTITION = 2**36
 #: How sentencepiece writes a blank.
 BLANK = "▁"
 
+#: White space at an end or beside other white space; elsewhere every blank and line feed is a cut.
+ODD_BLANKS = re.compile(r"\A\s|\s\s|\s\Z")
+
 #: A and B tokens, the groups as text, and the links as pair codes.
 Aligned = tuple[int, int, str, bytes]
 
@@ -64,15 +69,17 @@ _pairs: dict[tuple, PairEncoder] = {}
 
 def common_ends(short: list[int], long: list[int]) -> list[tuple[int, int]]:
     """Places, in both ascending lists, of the numbers that both have."""
-    found, low = [], 0
+    found, low, size = [], 0, len(long)
     for place, end in enumerate(short):
-        high, step = low, 1
-        while high < len(long) and long[high] < end:
-            low, high, step = high + 1, high + step, 2 * step
-        low = bisect_left(long, end, low, min(high, len(long)))
-        if low == len(long):
+        if low == size:
             break
-        if long[low] == end:
+        if long[low] < end:
+            high, step = low + 1, 1
+            while high < size and long[high] < end:
+                low, step = high, 2 * step
+                high += step
+            low = bisect_left(long, end, low + 1, min(high, size))
+        if low < size and long[low] == end:
             found.append((place, low))
             low += 1
     return found
@@ -120,20 +127,21 @@ class PairEncoder:
 
     def align(self, ids_a: list[int], ids_b: list[int], raw: bytes) -> Aligned | None:
         """None if the tokens of either do not give back the bytes."""
-        tokens_a, tokens_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(tokens_a) != raw or b"".join(tokens_b) != raw:
+        of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        if b"".join(map(of_a, ids_a)) != raw or b"".join(map(of_b, ids_b)) != raw:
             return None
-        ends_a, ends_b = list(accumulate(map(len, tokens_a))), list(accumulate(map(len, tokens_b)))
+        ends_a = list(accumulate(map(len, map(of_a, ids_a))))
+        ends_b = list(accumulate(map(len, map(of_b, ids_b))))
         if len(ends_a) <= len(ends_b):
             common = common_ends(ends_a, ends_b)
         else:
             common = [(a, b) for b, a in common_ends(ends_b, ends_a)]
-        groups, from_a, from_b = [], 0, 0
+        groups, codes, from_a, from_b, bits = [], [], 0, 0, self.low_bits
         for a, b in common:
             groups.append(",".join(map(str, ids_a[from_a : a + 1])) + "|" + ",".join(map(str, ids_b[from_b : b + 1])))
+            codes.append(ids_a[a] << bits | ids_b[b])
             from_a, from_b = a + 1, b + 1
-        codes = np.array([ids_a[a] << self.low_bits | ids_b[b] for a, b in common], self.dtype)
-        return len(ids_a), len(ids_b), ";".join(groups), codes.tobytes()
+        return len(ids_a), len(ids_b), ";".join(groups), array(self.dtype.char, codes).tobytes()
 
     def encoded(self, chunks: list[str]) -> list[Aligned | None]:
         """Alignments of chunks on their own."""
@@ -164,8 +172,17 @@ class PairEncoder:
 
     def aligned(self, texts: list[str]) -> list[Aligned]:
         """Alignment of each text."""
-        if not self.cuts:
+        collecting = gc.isenabled()
+        gc.disable()  # millions of small objects, no cycles
+        try:
+            if self.cuts:
+                return self._aligned(texts)
             return [self.whole(t) if t else NO_TOKENS for t in texts]
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _aligned(self, texts: list[str]) -> list[Aligned]:
         parts = [self.chunks(t) for t in texts]
         memory = self.memory
         every = [list(map(memory.get, chunks)) for chunks in parts]
@@ -192,12 +209,9 @@ class PairEncoder:
         none, and where that is not so, all between two cuts, with the blank."""
         if not text:
             return []
-        parts = text.replace("\n", " \n").split(" ")
-        for part in parts:
-            inner = part[1:] if part[:1] == "\n" else part
-            if not inner or inner[0].isspace() or inner[-1].isspace():
-                return [" " + p for p in CUT.split(text)]
-        return parts
+        if ODD_BLANKS.search(text):
+            return [" " + p for p in CUT.split(text)]
+        return text.replace("\n", " \n").split(" ")
 
 
 def code_layout(path_a: str, path_b: str) -> tuple[int, np.dtype]:
