@@ -34,19 +34,22 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import CUT, WRITTEN
 from tidemark.llm.common import text_of
-from tidemark.llm.records import text_batches
 from tidemark.llm.words import give_back
 from tidemark.scratch import store
 
 #: Chunks that a Python worker remembers; more are learned anew with each batch.
 REMEMBERED = 150_000
 
+#: Bytes of text worked on at a time; a longer text is worked on alone.
+PIECE = 1_500_000
+
 #: Id pairs whose counts are sent to every task.
 FREQUENT = 1_000_000
 
@@ -239,12 +242,25 @@ ENCODED_ARROW = pa.schema(
 )
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts, about PIECE bytes at a time; only these are Python objects."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < len(batch):
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + PIECE, "right")))
+            some = batch.slice(begin, end - begin)
+            yield some.column(0).to_pylist(), some.column(1).to_pylist()
+            begin = end
+
+
 def encode_partition(
     batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, layout: tuple[int, np.dtype], keep: bool
 ) -> Iterator[pa.RecordBatch]:
     encoder = pair_encoder(path_a, path_b, layout)
     row = TaskContext.get().partitionId() * PARTITION
-    for ids, texts in text_batches(batches):
+    for ids, texts in pieces(batches):
         columns: list[list] = [[] for _ in ENCODED_ARROW]
         for doc, (n_a, n_b, groups, codes) in zip(ids, encoder.aligned(texts), strict=True):
             digest = hashlib.sha256(groups.encode()).hexdigest() if n_a else ""
