@@ -29,6 +29,10 @@ from tidemark.llm.queries import END_ID, MAX_REPEATS, tokenizer
 from tidemark.llm.toxicity import drop_toxic
 from tidemark.scratch import owned_scratch, release, scratch_path
 
+#: Chunks whose ids a worker of the last stage remembers, and characters that it cuts into chunks at a time: less than
+#: packing alone may take, since by then the executor's heap has its full size.
+REMEMBERED, CUT_AT_ONCE = 100_000, 1_000_000
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go."""
@@ -52,7 +56,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens."""
-    return pack_documents(docs, tokenizer("word_bpe_49k.json"), END_ID)
+    words = tokenizer("word_bpe_49k.json")
+    return pack_documents(docs, words, END_ID, remembered=REMEMBERED, cut_at_once=CUT_AT_ONCE)
 
 
 STAGES = [

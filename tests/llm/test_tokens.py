@@ -8,12 +8,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 
 from tests.llm.conftest import odd_rows
+from tidemark.llm import packing
 from tidemark.llm.chunks import ChunkEncoder
-from tidemark.llm.packing import pack, pack_documents
+from tidemark.llm.packing import PIECES_ARROW, pack, pack_documents, pack_partition, some_texts
 from tidemark.llm.records import frame, read_at, read_records, unframe, write_records
 from tidemark.llm.token_counts import TokenCounter, read_ranks, token_counts, zipf_scores
 
@@ -163,3 +165,46 @@ def test_prefixes_are_scored_once():
     counter = TokenCounter(scores, r"\S+")
     counter.learn({"ab", "abc", "abcd", "abce", "b"})
     assert counter.known == {w: best(w.encode(), scores)[::-1] for w in ("ab", "abc", "abcd", "abce", "b")}
+
+
+def test_texts_are_taken_in_order_a_few_at_a_time():
+    texts = ["ab", "", "c" * 9, "d", "e", "", "fgh", "i"]
+    groups = list(some_texts(texts, 4))
+    assert groups == [["ab", "", "c" * 9], ["d", "e", "", "fgh"], ["i"]]
+    assert list(some_texts([], 4)) == [] and list(some_texts(["", ""], 4)) == [["", ""]]
+
+
+def test_packing_cuts_few_texts_at_a_time(monkeypatch):
+    """A chunk is an object while its text is worked on, so a whole Arrow batch is not cut at once."""
+    seen, encode = [], ChunkEncoder(WORDS, False)
+
+    class Recorder:
+        dtype = encode.dtype
+
+        def encode_all(self, texts):
+            seen.append(sum(map(len, texts)))
+            return encode.encode_all(texts)
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    monkeypatch.setattr(packing, "encoder", lambda *_: Recorder())
+    monkeypatch.setattr(packing, "TaskContext", Context)
+    texts = [f"{i % 7} some words " * 3_500 for i in range(90)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(90)), pa.array(texts)], names=["id", "text"])
+    done = list(pack_partition(iter([batch]), WORDS, 2, 4096, 1.0, 1 / 4096, 2_000_000, False, 10, 1_000_000))
+    assert {b.schema for b in done} == {PIECES_ARROW} and sum(b.num_rows for b in done) >= 90
+    assert sum(seen) == sum(map(len, texts)) > 4_000_000
+    assert max(seen) < 1_000_000 + max(map(len, texts))
+
+
+def test_remembering_fewer_chunks_packs_the_same(odd):
+    frames = [pack_documents(odd, WORDS, 2), pack_documents(odd, WORDS, 2, remembered=3, cut_at_once=50)]
+    whole, parts = (sorted(map(tuple, frame.collect()), key=repr) for frame in frames)
+    assert whole == parts

@@ -44,9 +44,15 @@ def encoder(path: str, keeps_blanks: bool, remembered: int = REMEMBERED) -> Chun
     """The encoder of this Python worker for a tokenizer file."""
     if (path, keeps_blanks) not in _encoders:
         _encoders[path, keeps_blanks] = ChunkEncoder(path, keeps_blanks, remembered)
+    _encoders[path, keeps_blanks].remembered = remembered
     return _encoders[path, keeps_blanks]
 
 
+def forget() -> None:
+    """Drop the encoders of this Python worker: it is kept for tasks of other operators, and so would they be."""
+    _encoders.clear()
+
+
 class ChunkEncoder:
     def __init__(self, path: str, keeps_blanks: bool, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -26,9 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import encoder
+from tidemark.llm.chunks import REMEMBERED, encoder
 from tidemark.llm.common import text_of
-from tidemark.llm.records import text_batches
+from tidemark.llm.records import PIECE, text_batches
 from tidemark.llm.words import give_back
 
 #: (document, start, length, sequence, offset), documents and sequences numbered in the window.
@@ -81,6 +81,18 @@ def pack(lengths: list[int], capacity: int, linear: float, quadratic: float) ->
     return pieces, first + count
 
 
+def some_texts(texts: list[str], size: int) -> Iterator[list[str]]:
+    """The texts in order, about `size` characters at a time; a longer text is alone or the last of its group."""
+    begin = held = 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= size:
+            yield texts[begin : i + 1]
+            begin, held = i + 1, 0
+    if begin < len(texts):
+        yield texts[begin:]
+
+
 def pack_partition(
     batches: Iterator[pa.RecordBatch],
     tokenizer: str,
@@ -90,9 +102,11 @@ def pack_partition(
     quadratic: float,
     window_tokens: int,
     keeps_blanks: bool,
+    remembered: int,
+    cut_at_once: int,
 ) -> Iterator[pa.RecordBatch]:
     """Packs the documents of one partition, window by window."""
-    encode = encoder(tokenizer, keeps_blanks)
+    encode = encoder(tokenizer, keeps_blanks, remembered)
     width = encode.dtype.itemsize
     end = np.array([end_id], encode.dtype).tobytes()
     done = TaskContext.get().partitionId() * PARTITION
@@ -115,7 +129,8 @@ def pack_partition(
 
     for numbers, texts in text_batches(batches):
         ids += numbers
-        tokens += [raw + end for raw in encode.encode_all(texts)]
+        for some in some_texts(texts, cut_at_once):
+            tokens += [raw + end for raw in encode.encode_all(some)]
         held += sum(len(t) for t in tokens[-len(texts) :]) // width
         if held >= window_tokens:
             yield flush()
@@ -135,11 +150,18 @@ def pack_documents(
     keeps_blanks: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
+    remembered: int = REMEMBERED,
+    cut_at_once: int = PIECE,
 ) -> DataFrame:
-    """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    The last two bound a Python worker's memory and leave the result as it is: chunks whose ids it keeps, and characters
+    of texts that are cut into chunks at a time, about."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return pack_partition(batches, tokenizer, end_id, capacity, linear, quadratic, window_tokens, keeps_blanks)
+        return pack_partition(
+            batches, tokenizer, end_id, capacity, linear, quadratic, window_tokens, keeps_blanks, remembered, cut_at_once
+        )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(run, PIECES)

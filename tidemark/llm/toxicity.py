@@ -36,9 +36,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.chunks import forget
 from tidemark.llm.common import free_name, text_of
 from tidemark.llm.near_dups import FACTORS, SUMMANDS, set_of
 from tidemark.llm.words import give_back
@@ -63,6 +65,9 @@ SKETCH = 4
 #: Features of training rows that a task holds before it hands them on.
 HELD = 50_000
 
+#: Characters whose trigrams are counted at a time, about: each takes some 40 bytes meanwhile.
+COUNTED_AT_ONCE = 1_000_000
+
 #: Decoded tokens that a Python worker remembers.
 REMEMBERED = 50_000
 
@@ -90,20 +95,31 @@ CODES[LATIN] = 1
 
 def char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Trigrams of words with their edges, as one number of 3 * 10 bits, and their counts."""
+    forget()  # the worker may come from an operator that encodes
+    give_back()
     for batch in batches:
-        texts = batch.column(0).to_pylist()
-        for some in np.array_split(np.arange(len(texts)), max(1, sum(map(len, texts)) // 4_000_000)):
-            joined = " ".join(["", "", *(texts[i].lower() for i in some), ""])
-            points = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4")
-            code = CODES[np.minimum(points, LATIN)]
-            one, two, three = code[:-2].copy(), code[1:-1], code[2:]
-            one[two == 0] = 0
-            word = (two | three) > 0
-            gram, n = np.unique((one << 20 | two << 10 | three)[word], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int32()), pa.array(n, pa.int64())], names=["gram", "n"])
+        texts, counted = batch.column(0), []
+        size = pc.sum(pc.utf8_length(texts)).as_py() or 0
+        for some in np.array_split(np.arange(len(texts)), max(1, size // COUNTED_AT_ONCE)):
+            counted.append(trigrams([text.lower() for text in texts.take(pa.array(some)).to_pylist()]))
+        gram, place = np.unique(np.concatenate([gram for gram, _ in counted]), return_inverse=True)
+        n = np.zeros(len(gram), np.int64)
+        np.add.at(n, place, np.concatenate([n for _, n in counted]))
+        yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int32()), pa.array(n, pa.int64())], names=["gram", "n"])
     give_back()
 
 
+def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of some texts in lower case and their counts."""
+    joined = " ".join(["", "", *texts, ""])
+    points = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4")
+    code = CODES[np.minimum(points, LATIN)]
+    one, two, three = code[:-2].copy(), code[1:-1], code[2:]
+    one[two == 0] = 0
+    word = (two | three) > 0
+    return np.unique((one << 20 | two << 10 | three)[word], return_counts=True)
+
+
 class CharModel:
     """Interpolated trigram probabilities of letters; 0 is the edge of a word."""
 
